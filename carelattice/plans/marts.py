@@ -43,7 +43,9 @@ def medication_adherence(drugs: DataFrame, min_window: int = 30, method: str = "
         .select(
             *key, "drug_source_label", "fill_count", "first_fill_date", "last_fill_end_date",
             "total_days_on_hand", "observation_window_days",
-            F.round(F.least(share, F.lit(1.0)), 4).alias("pdc_score"),
+            F.least(
+                c.exact_mean(F.col("total_days_on_hand"), F.col("observation_window_days"), 4), F.lit(1.0)
+            ).alias("pdc_score"),
             F.when(share >= 0.8, "adherent").when(share >= 0.6, "partially_adherent")
             .otherwise("non_adherent").alias("adherence_category"),
         )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelattice.functions.columns import as_of_date
 from carelattice.plans import playbook as p
+from carelattice.plans.staging import member_months, stg_members
 from carelattice.sources.seeds import ICD10_HCC, seed
 from suite.views import AS_OF, exact_mean, load, with_views
 
@@ -59,6 +60,12 @@ def readmissions(spark, sf):
     return p.readmissions(*load(spark, sf, "claims", "providers"), days=90, min_cases=10)
 
 
+def pmpm_by_enrolment(spark, sf):
+    (raw,) = load(spark, sf, "eligibility")
+    months = member_months(stg_members(raw.filter("row_key % 50 <> 49")), DAY(AS_OF))
+    return p.pmpm_by_enrolment(months, *load(spark, sf, "member_claims"))
+
+
 def stays_with_next(spark, sf):
     return p.stays_with_next(*load(spark, sf, "claims"))
 
@@ -68,6 +75,7 @@ QUERIES = {
     "claim_running": claim_running,
     "hcc_risk": hcc_risk,
     "pmpm": pmpm,
+    "pmpm_by_enrolment": pmpm_by_enrolment,
     "provider_metrics": provider_metrics,
     "provider_ranking": provider_ranking,
     "readmissions": readmissions,
@@ -144,8 +152,23 @@ ORACLES = {
             {exact_mean('total_allowed','member_count',2)} as pmpm_allowed from cells)
         select cast(claim_month as date) as claim_month, plan_type, metal_level, member_count, total_paid, total_allowed,
           total_copay, pmpm_paid, pmpm_allowed, lag(pmpm_paid) over w as prev_month_pmpm,
-          round((pmpm_paid - lag(pmpm_paid) over w) / nullif(lag(pmpm_paid) over w, 0) * 100, 1) as mom_change_pct
+          round((pmpm_paid - lag(pmpm_paid) over w) / nullif(lag(pmpm_paid) over w, 0) * 100, 1) + 0.0 as mom_change_pct
         from priced window w as (partition by plan_type, metal_level order by claim_month)""", members=MEMBERS),
+    "pmpm_by_enrolment": with_views(f"""
+        with covered as (
+          select mem_id, upper(plan_type) as plan_type, metal_level,
+            unnest(generate_series(date_trunc('month', effective_date::date)::date,
+              date_trunc('month', coalesce(try_cast(nullif(termination_date, 'Active') as date), date '{AS_OF}'))::date,
+              interval 1 month))::date as coverage_month
+          from eligibility
+          where row_key % 50 <> 49
+            and (termination_date = 'Active' or try_cast(termination_date as date) >= date '{AS_OF}')),
+        monthly as (
+          select mem_id, date_trunc('month', claim_date)::date as coverage_month, sum(paid_amount) as paid
+          from member_claims group by all)
+        select coverage_month, plan_type, metal_level, count(*) as member_months,
+          {exact_mean('coalesce(sum(paid), 0)', 'count(*)', 2)} as pmpm_paid
+        from covered left join monthly using (mem_id, coverage_month) group by 1, 2, 3"""),
     "provider_metrics": with_views(METRICS),
     "provider_ranking": with_views("""
         with ranked as (

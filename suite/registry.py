@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook"]
+MODULES = ["playbook", "warehouse", "quality", "population"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
