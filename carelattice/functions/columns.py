@@ -185,5 +185,5 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def exact_mean(total: Column, n: Column, places: int) -> Column:
     """Mean of a decimal total rounded half up, divided in decimal arithmetic so that ties do
     not depend on how a double happens to be stored."""
-    mean = total.cast("decimal(28,6)") / F.nullif(n, F.lit(0)).cast("decimal(12,0)")
+    mean = total.cast("decimal(28,6)") / F.nullif(n, F.lit(0)).cast("decimal(18,0)")
     return F.round(mean, places).cast("double")

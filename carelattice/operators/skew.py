@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 100_000
+TRACKED_KEYS = 10_000
+MAX_SMALL_FILES = 64
 BLOCK_ROWS = 1_000_000
 
 
@@ -66,13 +67,27 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def small_input(df: DataFrame) -> bool:
+    """Whether the files behind ``df`` are few and together below
+    ``carelattice.hot.minInputBytes``: then even one task can take all of it."""
+    spark = df.sparkSession
+    limit = int(spark.conf.get("carelattice.hot.minInputBytes", str(1 << 28)))
+    files = df.inputFiles() if limit else []
+    if not files or len(files) > MAX_SMALL_FILES:
+        return False
+    sizes = spark.read.format("binaryFile").load(files).select("length")  # contents stay unread
+    return sizes.agg(F.sum("length")).first()[0] < limit
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
     """Hashes of the keys that hold too many rows for one task, at most ``MAX_HOT_KEYS``.
 
-    One pass with a mergeable sketch; the driver receives one row. Settings:
-    ``carelattice.hot.share`` (share of all rows) and ``carelattice.hot.minRows``. Counting a
-    key as hot by mistake costs time, never correctness.
+    One pass over the key columns with a mergeable sketch; the driver receives one row.
+    Settings: ``carelattice.hot.share`` (share of all rows) and ``carelattice.hot.minRows``.
+    Counting a key as hot by mistake costs time, never correctness.
     """
+    if small_input(df):
+        return []
     spark = df.sparkSession
     share = float(spark.conf.get("carelattice.hot.share", "0.001"))
     floor = int(spark.conf.get("carelattice.hot.minRows", "5000000"))

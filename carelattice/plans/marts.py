@@ -78,7 +78,7 @@ def condition_drug_pairs(conditions: DataFrame, drugs: DataFrame, days: int = 90
         drugs.filter(F.col("drug_exposure_start_date").isNotNull())
         .groupBy("person_id", "drug_source_value", fill_day.alias("filled"))
         .agg(
-            F.count("drug_exposure_id").alias("fills"),  # the id is unique
+            F.count(F.lit(1)).alias("fills"),  # drug_exposure_id is unique
             F.min("drug_source_label").alias("label"),
         )
         .withColumn("bucket", F.floor(F.col("filled") / width))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook", "warehouse", "quality", "population"]
+MODULES = ["playbook", "warehouse", "quality", "population", "features"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
