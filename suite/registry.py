@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook", "warehouse", "quality", "population", "features"]
+MODULES = ["playbook", "warehouse", "quality", "population", "features", "governance"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
