@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType, StructType
@@ -87,7 +88,8 @@ class Keyring:
         self.ids = list(raw)
         self.current = current
         names = ", ".join(f"k{i} binary" for i in range(len(raw)))
-        self._table = spark.createDataFrame([tuple(bytearray(k) for k in raw.values())], names)
+        row = pd.DataFrame([list(raw.values())], columns=[f"k{i}" for i in range(len(raw))])
+        self._table = spark.createDataFrame(row, names)  # a local relation: read without a job
 
     def key(self, kid: str | None = None) -> Column:
         place = self.ids.index(kid or self.current)
