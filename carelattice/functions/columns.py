@@ -34,7 +34,8 @@ def age(born: Column | str, as_of: Column, method: str = "completed") -> Column:
         case "boundary":
             return F.year(as_of) - F.year(born)
         case "completed":
-            return F.floor(F.months_between(as_of, born, False) / 12).cast("int")
+            before_birthday = (F.month(as_of) * 100 + F.dayofmonth(as_of)) < (F.month(born) * 100 + F.dayofmonth(born))
+            return F.year(as_of) - F.year(born) - before_birthday.cast("int")
         case "tenths":
             return F.round(days / 365.25, 1)
         case "rounded":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook", "warehouse", "quality", "population", "features", "governance"]
+MODULES = ["playbook", "warehouse", "quality", "population", "features", "governance", "streams"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
