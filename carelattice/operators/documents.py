@@ -6,26 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def key_value_map(text: Column) -> Column:
-    """Map of "key: value" lines, split at the first colon; the last line of a key wins."""
-    lines = F.filter(F.split(text, "\n"), lambda line: line.contains(":"))
-    pairs = F.transform(lines, lambda line: F.struct(
-        F.trim(F.substring_index(line, ":", 1)).alias("key"),
-        F.trim(F.regexp_replace(line, "^[^:]*:", "")).alias("value"),
-    ))
-    # Walking backwards, a pair stays when its key was not seen yet.
-    newest = F.aggregate(
-        F.reverse(pairs), F.array().cast("array<struct<key:string,value:string>>"),
-        lambda kept, p: F.when(F.exists(kept, lambda k: k["key"] == p["key"]), kept).otherwise(
-            F.concat(kept, F.array(p))),
-    )
-    return F.map_from_entries(newest)
+def _lines(text: Column) -> Column:
+    """The lines that hold a "key: value" pair."""
+    return F.filter(F.split(text, "\n"), lambda line: line.contains(":"))
+
+
+def _key(line: Column) -> Column:
+    return F.trim(F.substring_index(line, ":", 1))
+
+
+def _value(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, "^[^:]*:", ""))
 
 
 def extract_key_values(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document and field."""
+    """One row per document and field, split at the first colon; the last line of a field wins."""
     others = [c for c in docs.columns if c != text]
-    return docs.select(*others, F.explode(key_value_map(F.col(text))).alias("field", "value"))
+    lines = docs.select(*others, F.posexplode(_lines(F.col(text))).alias("at", "line"))
+    pairs = lines.select(*others, _key(F.col("line")).alias("field"), _value(F.col("line")).alias("value"), "at")
+    return pairs.groupBy(*others, "field").agg(F.max_by("value", "at").alias("value"))
+
+
+def field_value(text: Column, label: str) -> Column:
+    """Value of the last line with this label, NULL when there is none."""
+    found = F.filter(_lines(text), lambda line: _key(line) == label)
+    return _value(F.try_element_at(found, F.lit(-1)))
 
 
 def money(value: Column) -> Column:
@@ -43,13 +48,12 @@ CLAIM_FIELDS = {
 
 def typed_claim(docs: DataFrame, text: str = "text") -> DataFrame:
     """Claim forms as typed rows; an absent or unreadable field is NULL."""
-    read = docs.withColumn("_fields", key_value_map(F.col(text)))
     out = []
     for label, (name, kind) in CLAIM_FIELDS.items():
-        value = F.col("_fields")[label]
+        value = field_value(F.col(text), label)
         typed = money(value) if kind == "money" else value.try_cast(kind)
         out.append(typed.alias(name))
-    return read.select(*[c for c in docs.columns if c != text], *out)
+    return docs.select(*[c for c in docs.columns if c != text], *out)
 
 
 def typed_lab_row(value: Column) -> Column:
@@ -79,6 +83,19 @@ def page_stats(docs: DataFrame, pages: str = "pages") -> DataFrame:
     )
 
 
+def page_stats_from_blocks(blocks: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """The same figures straight from block rows, without building the nested documents: a
+    document with very many blocks is only counted."""
+    pages = blocks.groupBy(doc, "page_number").agg(
+        F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")
+    )
+    return pages.groupBy(doc).agg(
+        F.count(F.lit(1)).cast("int").alias("total_pages"),
+        F.sum(F.col("chars") + F.col("n") - 1).alias("total_chars"),  # one newline between blocks
+        F.sum("n").alias("total_blocks"),
+    )
+
+
 def document_context(docs: DataFrame, name: str, pages: str = "pages") -> DataFrame:
     """Header and pages as one text."""
     body = F.array_join(F.transform(pages, lambda p: F.concat(

@@ -60,7 +60,7 @@ def hcc_risk(
     per_member = (
         window.join(diagnoses.select("claim_id", "icd10_code"), "claim_id")
         .select("mem_id", "icd10_code").distinct()
-        .join(F.broadcast(weights), "icd10_code")  # fixed seed table
+        .join(weights, "icd10_code")
         .groupBy("mem_id")
         .agg(F.sum("w").alias("total_hcc_weight"), F.countDistinct("hcc_code").alias("active_hcc_count"))
     )

@@ -3,6 +3,7 @@ broadcast of one never grows with the data."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 # ICD-10 prefix -> condition category.
@@ -127,7 +128,8 @@ def concept_rows() -> list[tuple[str, int, int]]:
 
 
 def seed(spark: SparkSession, name: str) -> DataFrame:
-    """``icd10_to_ccs``, ``icd10_codes``, ``icd10_concepts`` or one of the class maps."""
+    """``icd10_to_ccs``, ``icd10_codes``, ``icd10_concepts`` or one of the class maps. Built as
+    a local relation, so Spark knows the size and broadcasts it by its own rule."""
     maps = {
         "gender": GENDER_CONCEPT,
         "race": RACE_CONCEPT,
@@ -135,11 +137,13 @@ def seed(spark: SparkSession, name: str) -> DataFrame:
         "visit_class": VISIT_CLASS_CONCEPT,
     }
     if name == "icd10_to_ccs":
-        return spark.createDataFrame(prefix_categories(), "icd10_prefix string, ccs_category string")
-    if name == "icd10_codes":
+        rows, schema = prefix_categories(), "icd10_prefix string, ccs_category string"
+    elif name == "icd10_codes":
+        rows = hcc_rows()
         schema = "icd10_code string, description string, hcc_code string, hcc_weight double, category string"
-        return spark.createDataFrame(hcc_rows(), schema)
-    if name == "icd10_concepts":
-        schema = "icd10_code string, concept_id long, source_concept_id long"
-        return spark.createDataFrame(concept_rows(), schema)
-    return spark.createDataFrame(list(maps[name].items()), "source string, concept_id int")
+    elif name == "icd10_concepts":
+        rows, schema = concept_rows(), "icd10_code string, concept_id long, source_concept_id long"
+    else:
+        rows, schema = list(maps[name].items()), "source string, concept_id int"
+    names = [column.split()[0] for column in schema.split(", ")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)

@@ -86,15 +86,16 @@ def write_partitioned(
     """Replace only the partitions present in ``df``. With a lookback, rows older than
     ``as_of - lookback_days`` are left out and their partitions stay as they are.
 
-    Rows are spread over partitions and hashes of the clustering columns, so that one large
-    partition is written by several tasks.
+    Rows are rebalanced by partition and clustering columns: small cells are written
+    together, and adaptive execution splits a cell that is too large for one task.
     """
     rows = df
     if lookback_days is not None:
         rows = rows.filter(F.col(day) >= F.lit(str(as_of - timedelta(days=lookback_days))).cast("date"))
     rows = rows.withColumns(dict(by))
     if cluster_by:
-        rows = rows.repartition(*by, *cluster_by).sortWithinPartitions(*by, *cluster_by)
+        keys = [*by, *cluster_by]
+        rows = rows.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -207,7 +207,8 @@ QUERIES = {
     "scored_admissions": scored_admissions,
     "form_fields": lambda s, d: documents.extract_key_values(view(s, d, "claim_forms")),
     "typed_claims": lambda s, d: documents.typed_claim(view(s, d, "claim_forms")),
-    "page_stats": lambda s, d: documents.page_stats(pages(s, d)),
+    "page_stats": lambda s, d: documents.page_stats_from_blocks(blocks(s, d)),
+    "page_stats_nested": lambda s, d: documents.page_stats(pages(s, d)),
     "document_context": lambda s, d: documents.document_context(pages(s, d), "doc_id"),
     "bbox_extract": bbox,
 }
@@ -249,6 +250,9 @@ def oracle(sql, **extra):
 PAGES = """select doc_id, page_number, string_agg(text, chr(10) order by line_number, text, x0, y0) as text, count(*) as n
     from form_blocks group by 1, 2"""
 
+PAGE_STATS = """select doc_id, cast(count(*) as int) as total_pages, cast(sum(length(text)) as bigint) as total_chars,
+    cast(sum(n) as bigint) as total_blocks from p group by 1"""
+
 ORACLES = {
     "silver_events": oracle(O_SILVER),
     "silver_stream": oracle(O_SILVER),
@@ -302,9 +306,8 @@ ORACLES = {
           cast(null as varchar) as cpt_code, cast(null as decimal(12,2)) as billed_amount,
           cast(o_totalprice as decimal(12,2)) as allowed_amount, cast(null as decimal(12,2)) as paid_amount,
           cast(null as decimal(12,2)) as patient_amount from orders"""),
-    "page_stats": oracle("""
-        select doc_id, cast(count(*) as int) as total_pages, cast(sum(length(text)) as bigint) as total_chars,
-          cast(sum(n) as bigint) as total_blocks from p group by 1""", p=PAGES),
+    "page_stats": oracle(PAGE_STATS, p=PAGES),
+    "page_stats_nested": oracle(PAGE_STATS, p=PAGES),
     "document_context": oracle("""
         select doc_id, '# Document: ' || doc_id || chr(10) || 'Pages: ' || count(*) || ' | Chars: ' || sum(length(text))::bigint || chr(10) || chr(10)
           || string_agg('## Page ' || page_number || chr(10) || text || chr(10), chr(10) order by page_number) as context
