@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelattice.functions.columns import exact_mean
+from carelattice.functions.columns import exact_mean, json_field
 from carelattice.operators.skew import Running, hot_keys, ordered_columns
 
 # Condition categories counted as chronic.
@@ -36,18 +36,16 @@ DAY = 86400
 
 
 def readings_from_measurements(measurements: DataFrame) -> DataFrame:
-    """Heart rates of the measurement table as (person_id, ts, heart_rate, spo2, systolic)."""
+    """Heart rates of the measurement table as (person_id, ts, heart_rate). Readings may also
+    have the columns spo2 and systolic; a column they lack gives the default feature."""
     return measurements.filter(F.col("measurement_category") == "vitals_hr").select(
         "person_id", F.col("measurement_datetime").alias("ts"),
         F.col("value_as_number").alias("heart_rate"),
-        F.lit(None).cast("double").alias("spo2"), F.lit(None).cast("double").alias("systolic"),
     )
 
 
 def readings_from_silver(vitals: DataFrame) -> DataFrame:
     """Readings of silver vitals rows: the person's surrogate key and the JSON payload."""
-    from carelattice.functions.columns import json_field
-
     return vitals.select(
         "person_id", F.col("event_time").alias("ts"),
         json_field("payload", "$.heart_rate_bpm", "double").alias("heart_rate"),
@@ -86,7 +84,6 @@ def readmission_label(days: int = 30) -> Column:
 
 MICRO = 1_000_000
 COUNTS = ["visits", "conditions", "chronic", "ccs", "drugs"]
-TALLIES = [*COUNTS, *[f"{s}_{k}" for s in READINGS for k in ("sum", "n")]]
 # Order at one instant: "strictly before" questions, readings, the discharge, other facts.
 BEFORE, READING, DISCHARGE, FACT = 0, 1, 2, 3
 
@@ -126,16 +123,18 @@ def discharge_features(
     )))
 
     def facts_of(df: DataFrame, ts: Column, order: int = FACT, **counts: Column) -> DataFrame:
-        tallies = [value.cast("long").alias(name) for name, value in counts.items()]
-        return df.select("person_id", ts.alias("ts"), F.lit(order).alias("ord"), *tallies).filter("ts is not null")
+        added = [value.cast("long").alias(name) for name, value in counts.items()]
+        return df.select("person_id", ts.alias("ts"), F.lit(order).alias("ord"), *added).filter("ts is not null")
 
     onset = F.col("condition_start_datetime")
     first_seen = (
         conditions.filter(onset.isNotNull() & F.col("ccs_category").isNotNull())
         .groupBy("person_id", "ccs_category").agg(F.min(onset).alias("first_seen"))
     )
+    given = {s: c for s, c in READINGS.items() if c in readings.columns}
+    tallies = [*COUNTS, *[f"{s}_{k}" for s in given for k in ("sum", "n")]]
     read = {}
-    for short, name in READINGS.items():
+    for short, name in given.items():
         read[f"{short}_sum"] = F.round(F.col(name) * MICRO)
         read[f"{short}_n"] = F.col(name).isNotNull()
     parts = [
@@ -148,12 +147,12 @@ def discharge_features(
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if hot:
         # A hot person's facts at one instant collapse before the shuffle.
-        facts = facts.groupBy("person_id", "ts", "ord").agg(*[F.sum(t).alias(t) for t in TALLIES])
+        facts = facts.groupBy("person_id", "ts", "ord").agg(*[F.sum(t).alias(t) for t in tallies])
     timeline = questions.unionByName(facts, allowMissingColumns=True)
     counted = ordered_columns(
         timeline, ["person_id"],
         [F.col("ts"), F.col("ord"), F.col("question"), F.col("visit")], F.to_date("ts"),
-        running={f"r_{t}": Running("sum", F.col(t)) for t in TALLIES}, hot=hot,
+        running={f"r_{t}": Running("sum", F.col(t)) for t in tallies}, hot=hot,
     ).filter(F.col("question").isNotNull())
 
     def at(question: str, tally: str) -> Column:
@@ -164,7 +163,7 @@ def discharge_features(
         *[at("now", t).alias(t) for t in ("conditions", "chronic", "ccs", "drugs")],
         *[at(f"v{d}", "visits").alias(f"before_{d}") for d in LOOKBACKS],
         *[(at("now", f"{s}_{k}") - at("readings", f"{s}_{k}")).alias(f"{s}_{k}")
-          for s in READINGS for k in ("sum", "n")],
+          for s in given for k in ("sum", "n")],
     )
     flat = answers.select("person_id", "about.*", *[c for c in answers.columns if c not in ("person_id", "visit", "about")])
     within = {
@@ -182,7 +181,9 @@ def finish(df: DataFrame, keep: list[str]) -> DataFrame:
     idle = F.floor((F.unix_seconds("moment") - F.unix_seconds("prior_end")) / DAY)
     born = F.coalesce(F.nullif(F.col("year_of_birth"), F.lit(0)), F.lit(1950))
     mean = {
-        s: F.coalesce(exact_mean(F.col(f"{s}_sum"), F.col(f"{s}_n") * MICRO, 2), F.lit(0.0)) for s in READINGS
+        s: F.coalesce(exact_mean(F.col(f"{s}_sum"), F.col(f"{s}_n") * MICRO, 2), F.lit(0.0))
+        if f"{s}_n" in df.columns else F.lit(0.0)
+        for s in READINGS
     }
     values = {
         "feature_age": F.greatest(F.year("moment") - born, F.lit(0)),
@@ -238,7 +239,7 @@ def current_features(
     )
     recent = F.col("ts").between(now - F.make_dt_interval(F.lit(0), F.lit(live_hours)), now)
     read = readings.filter(recent).groupBy("person_id").agg(*[
-        e for s, c in READINGS.items() for e in (
+        e for s, c in READINGS.items() if c in readings.columns for e in (
             F.sum(F.round(F.col(c) * MICRO).cast("long")).alias(f"{s}_sum"), F.count(c).alias(f"{s}_n"))
     ])
     rows = person.select("person_id", "year_of_birth", "gender_concept_id", "race_concept_id")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from carelattice.functions.columns import as_of_date, surrogate_id
 from carelattice.operators import aggregates, anomaly, joins, population
 from carelattice.operators.windows import pct_of_total, top_k_per_group
+from carelattice.plans import marts
+from carelattice.session import materialise
 from carelattice.sources.tables import table_counts
 from suite import warehouse as w
 from suite.views import AS_OF, load, view
@@ -19,10 +21,10 @@ def DAY():
 
 
 def cohort(spark, sf):
+    drug = materialise(w.drug(spark, sf), "drug")  # read by three of the conditions
     tables = {
-        "person": w.person(spark, sf), "condition": w.condition(spark, sf), "drug": w.drug(spark, sf),
-        "visit": w.visit(spark, sf), "measurement": w.measurement(spark, sf),
-        "adherence": w.adherence(spark, sf),
+        "person": w.person(spark, sf), "condition": w.condition(spark, sf), "drug": drug,
+        "visit": w.visit(spark, sf), "adherence": marts.medication_adherence(drug),
     }
     return population.cohort(
         tables, DAY(), min_age=18, max_age=80, ccs_categories=["circulatory", "endocrine"],

@@ -240,3 +240,18 @@ def test_omop_placeholders_are_typed(spark):
                         ("omop_condition", warehouse.condition), ("omop_measurement", warehouse.measurement)):
         types = dict(build(spark, sf).dtypes)
         assert set(warehouse.NULLS[name]) <= set(types) and "void" not in types.values()
+
+
+def test_warehouse_build_agrees_with_its_own_tests(spark):
+    from carelattice.plans.warehouse import build
+    from suite.views import AS_OF, load
+
+    names = ["eligibility", "patients", "encounters", "conditions", "medications", "observations"]
+    raw = dict(zip(names, load(spark, "/root/testdata/sf0.001", *names)))
+    models = build(raw, c.as_of_date(AS_OF))
+    result = quality.model_tests(models).filter("not passed").collect()
+    # the planted faults: repeated member ids, unreadable birth dates, unknown states and ages
+    assert {(r.table_name, r.check_id) for r in result} <= {
+        ("stg_members", "unique_member_id"), ("stg_members", "not_null_date_of_birth"),
+        ("stg_members", "accepted_values_state"), ("member_roster", "accepted_values_age_bucket")}
+    assert {"omop_drug", "condition_drug_pairs"} <= set(models)
