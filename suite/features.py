@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carelattice.functions import columns as c
 from carelattice.functions.columns import as_of_date
 from carelattice.ml import features as f
 from carelattice.ml import readmission as r
+from carelattice.operators import population
 from carelattice.plans import omop
 from suite import warehouse as w
 from suite.views import AS_OF, load, view
@@ -73,7 +75,18 @@ def importances(spark, sf):
     return spark.createDataFrame(list(r.feature_importances(model).items()), "feature string, importance double")
 
 
+def board(spark, sf):
+    """Rule-scored visits stand in for predictions, so that the board has an oracle."""
+    history = visit_history(spark, sf)
+    score = (F.col("visit_occurrence_id") % 100) / 100
+    return history.select(
+        F.col("visit_occurrence_id").alias("person_id"), score.alias("score"),
+        c.bucket(score, *c.RISK_BAND).alias("risk_band"), F.col("visit_end_datetime").alias("valid_from"))
+
+
 QUERIES = {
+    "recent_predictions": lambda s, d: population.recent_predictions(board(s, d)),
+    "high_risk_board": lambda s, d: population.high_risk_board(board(s, d)),
     "discharge_features": discharge_features,
     "current_features": current_features,
     "prior_event_windows": visit_history,
@@ -156,7 +169,15 @@ RAW_CURRENT = f"""select p.person_id, p.year_of_birth, p.gender_concept_id, p.ra
     left join (select person_id, sum(value_as_number::decimal(18,6)) as s, count(*) as n from o_heart
       where measurement_datetime between {NOW} - interval 90 day and {NOW} group by 1) m on m.person_id = p.person_id"""
 
+BOARD = """select visit_occurrence_id as person_id, (visit_occurrence_id % 100)::double / 100 as score,
+    case when (visit_occurrence_id % 100)::double / 100 < 0.10 then 'low'
+      when (visit_occurrence_id % 100)::double / 100 < 0.30 then 'medium' else 'high' end as risk_band,
+    visit_end_datetime as valid_from from o_visit"""
+
 ORACLES = {
+    "recent_predictions": oracle("select * from board order by valid_from desc, person_id limit 200", board=BOARD),
+    "high_risk_board": oracle(
+        "select * from board where risk_band = 'high' order by score desc, person_id limit 200", board=BOARD),
     "discharge_features": oracle(
         finish("visit_end_datetime", "visit_occurrence_id,",
                "case when epoch(next_start) - epoch(visit_end_datetime) <= 30 * 86400 then 1 else 0 end as label,"),
