@@ -7,6 +7,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 import traceback
@@ -18,9 +19,14 @@ from suite.registry import ORACLES, QUERIES
 from suite.views import TABLES
 
 
+STRICT = bool(os.environ.get("STRICT"))
+
+
 def norm(value):
     if isinstance(value, bool) or value is None:
         return str(value)
+    if STRICT and isinstance(value, (decimal.Decimal, int, float)):
+        return repr(value)
     if isinstance(value, (decimal.Decimal, int)):
         return f"{float(value):.9g}"
     if isinstance(value, float):

@@ -92,7 +92,8 @@ def risk_report(spark, sf):
 
 
 def quantiles(spark, sf):
-    return aggregates.exact_quantiles(claims(spark, sf), "paid_amount", [0.05, 0.25, 0.5, 0.75, 0.95])
+    row = aggregates.exact_quantiles(claims(spark, sf), "paid_amount", [0.05, 0.25, 0.5, 0.75, 0.95])
+    return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
 
 
 def pipeline_counts(spark, sf):
@@ -114,7 +115,7 @@ def flagged_claims(spark, sf):
 
 
 def repeated_amount(spark, sf):
-    rows = view(spark, sf, "claims").withColumn("paid_amount", F.floor(F.col("paid_amount") / 20000) * 20000)
+    rows = view(spark, sf, "claims").withColumn("paid_amount", (F.floor(F.col("paid_amount") / 20000) * 20000).cast("long"))
     return anomaly.repeated_amount(rows, at_least=10)
 
 
@@ -242,7 +243,7 @@ ORACLES = {
           or paid_amount::double > q3 + 0.5 * (q3 - q1) then 1 else 0 end as iqr_flag
         from member_claims, quart""", quart=QUART),
     "exact_quantiles": oracle("select " + ", ".join(
-        f"quantile_cont(paid_amount::double, {q}) as q{i}" for i, q in enumerate([0.05, 0.25, 0.5, 0.75, 0.95]))
+        f"round(quantile_cont(paid_amount::double, {q}), 6) as q{i}" for i, q in enumerate([0.05, 0.25, 0.5, 0.75, 0.95]))
         + " from member_claims"),
     "global_stats": oracle("""
         select count(*) as n, round(avg(paid_amount::double), 4) as mean, round(stddev_pop(paid_amount::double), 4) as std_pop,
