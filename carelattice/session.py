@@ -16,8 +16,6 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
-    # HotSpot never compiles methods above 8,000 bytes; Spark then uses its split, compiled form.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
