@@ -22,8 +22,10 @@ def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array],
     added = StructType.fromDDL(fields)
     clash = {name.lower() for name in added.names}
     kept = [c for c in df.columns if c.lower() not in clash]
-    # the text travels under a name of its own, so it may be among the replaced columns
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
+    whole = "__text"  # the text travels under a name of its own, so it may be among the replaced columns
+    while whole in {c.lower() for c in kept}:
+        whole += "_"
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(whole))
 
     def run(batches):
         for batch in batches:

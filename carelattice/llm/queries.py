@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import quality_model, quality_rules, toxicity
+from carelattice.llm import pii, quality_model, quality_rules, toxicity, urls
 from carelattice.llm.frames import held_out
 
 
@@ -24,6 +24,16 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_bands(texts(spark, sf_dir))
 
 
+def op5_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir)
+    return pii.digests(docs, pii.train(docs)).select(
+        "doc_id", *[f"n_{k}" for k in pii.BASE], "base_sha256", "spans")
+
+
 def op9_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out(5)))
@@ -38,5 +48,7 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(5).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_compression_bands, op9_ftrl_toxicity, op10_factorisation_machine)}
+QUERIES = {f.__name__: f for f in (
+    op2_compression_bands, op5_url_trees, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+)}
 ORACLES: dict[str, str] = {}
