@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from carelattice.llm.words import column_bytes
 from carelattice.session import scratch_dir
 
+PIECE = 2 << 20
+
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -28,7 +32,7 @@ def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array],
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(whole))
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches, len(kept)):
             made = function(batch.column(len(kept)))
             arrays = batch.columns[:len(kept)] + [as_array(made[n]) for n in added.names]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added.names])
@@ -37,6 +41,17 @@ def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array],
     return source.mapInArrow(run, schema)
 
 
+def pieces(batches, text: int, limit: int = PIECE):
+    """The batches cut into runs of rows whose texts have ``limit`` bytes together at most (or one row)."""
+    for batch in batches:
+        bounds = column_bytes(batch.column(text))[1]
+        at = 0
+        while at < len(batch):
+            end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + limit, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def as_array(values) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values)
 
