@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import pii, quality_model, quality_rules, toxicity, urls
+from carelattice.llm import jaccard, pii, quality_model, quality_rules, toxicity, urls
 from carelattice.llm.frames import held_out
 
 
@@ -28,6 +28,10 @@ def op5_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(texts(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
     return pii.digests(docs, pii.train(docs)).select(
@@ -49,6 +53,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_compression_bands, op5_url_trees, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+    op2_compression_bands, op5_url_trees, op6_jaccard_join, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
 )}
 ORACLES: dict[str, str] = {}
