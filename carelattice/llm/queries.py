@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import jaccard, pii, quality_model, quality_rules, toxicity, urls
+from carelattice.llm import jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
 from carelattice.llm.frames import held_out
 
 
@@ -32,6 +32,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(texts(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(texts(spark, sf_dir))
+
+
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
     return pii.digests(docs, pii.train(docs)).select(
@@ -53,6 +57,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_compression_bands, op5_url_trees, op6_jaccard_join, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+    op2_compression_bands, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
 )}
 ORACLES: dict[str, str] = {}

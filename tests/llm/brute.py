@@ -46,3 +46,18 @@ def near_components(rows, n=5):
         if key is not None:
             least[root] = min(least.get(root, key), key)
     return {i: least.get(find(i)) if sets[i] else rows[i][0] for i in range(len(rows))}
+
+
+def repeated_words(texts, window=35):
+    """(n_words, kept words) of each text."""
+    split = [words(t) for t in texts]
+    starts = {}
+    for i, found in enumerate(split):
+        for a in range(len(found) - window + 1):
+            starts.setdefault(tuple(found[a:a + window]), []).append((i, a))
+    gone = [set() for _ in split]
+    for places in starts.values():
+        if len(places) > 1:
+            for i, a in places:
+                gone[i].update(range(a, a + window))
+    return [(len(f), [w for k, w in enumerate(f) if k not in g]) for f, g in zip(split, gone)]
