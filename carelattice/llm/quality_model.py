@@ -115,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     """One machine a shard; ``docs`` holds the rows to learn from."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
     chosen = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(rows)
-    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select(
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
         "__id", "__y", "text", F.pmod(F.xxhash64("__id"), F.lit(SHARDS)).alias("__shard"))
 
     def run(key, table):

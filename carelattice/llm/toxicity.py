@@ -19,11 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from carelattice.llm.frames import append
+from carelattice.llm.frames import append, pieces
 from carelattice.llm.words import Words, grams, spans
 
 BITS = 20
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 10_000
 SHARDS = 2
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 2.5, 0.0
@@ -77,14 +77,20 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
     """Indexes and values of the non-zero weights, and the intercept. ``docs`` holds the rows to learn from."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
     chosen = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(rows)
-    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select(
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
         "__id", "__y", "text", (F.pmod(F.xxhash64("__id"), F.lit(SHARDS))).alias("__shard"))
 
     def fit(key, table):
         table = table.sort_by([("__id", "ascending"), ("__y", "ascending")])
         order = np.random.default_rng(7).permutation(len(table))
         table = table.take(pa.array(order)).combine_chunks()
-        doc, slot, _ = features(table["text"].combine_chunks() if table["text"].num_chunks != 1 else table["text"].chunk(0))
+        docs, slots, seen = [], [], 0
+        for part in pieces(table.to_batches(), table.column_names.index("text")):
+            doc, slot, n = features(part.column("text"))
+            docs.append((doc + seen).astype(np.int32))
+            slots.append(slot.astype(np.int32))
+            seen += n
+        doc, slot = np.concatenate(docs), np.concatenate(slots)
         w, bias = ftrl(doc, slot, np.asarray(table["__y"].to_numpy(), float))
         i = np.flatnonzero(w)
         return pa.table({"i": pa.array(np.append(i, -1), pa.int64()), "w": pa.array(np.append(w[i], bias), pa.float64())})
