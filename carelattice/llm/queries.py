@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import decontaminate, jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
+from carelattice.llm import context_tree, decontaminate, jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
 from carelattice.llm.frames import held_out
 
 
@@ -20,6 +20,10 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(texts(spark, sf_dir), held_out(10))
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_bands(texts(spark, sf_dir))
 
@@ -62,6 +66,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_compression_bands, op4_simhash_windows, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+    op1_context_tree, op2_compression_bands, op4_simhash_windows, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
 )}
 ORACLES: dict[str, str] = {"op4_simhash_windows": decontaminate.ORACLE}
