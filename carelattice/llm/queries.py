@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import context_tree, decontaminate, jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
+from carelattice.llm import byte_bpe, context_tree, decontaminate, jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
 from carelattice.llm.frames import held_out
 
 
@@ -28,6 +28,12 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_bands(texts(spark, sf_dir))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # the tokenizer files' place; any rank file and pattern will do
+
+    return byte_bpe.encode(texts(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("first_word").cast("bigint").alias("first_word"), "similarity")
@@ -66,6 +72,6 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_context_tree, op2_compression_bands, op4_simhash_windows, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+    op1_context_tree, op2_compression_bands, op3_byte_bpe, op4_simhash_windows, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
 )}
 ORACLES: dict[str, str] = {"op4_simhash_windows": decontaminate.ORACLE}
