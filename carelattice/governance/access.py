@@ -45,8 +45,8 @@ def policies(spark: SparkSession) -> DataFrame:
 
 
 def evaluate_access(requests: DataFrame) -> DataFrame:
-    """Adds allow, reason and filtered_fields to rows with role, action, purpose and fields
-    (array). The first failing rule decides; an unknown role is denied."""
+    """Adds allow, reason (a code), fields_asked and filtered_fields to rows with role, action,
+    purpose and fields (array). The first failing rule decides; an unknown role is denied."""
     known = F.broadcast(policies(requests.sparkSession))  # one row per role, fixed
     rows = requests.join(known, "role", "left")
     permitted = F.filter(
@@ -54,33 +54,25 @@ def evaluate_access(requests: DataFrame) -> DataFrame:
     )
     anything = F.array_contains("purposes", "*")
     asked = F.coalesce(F.size("fields"), F.lit(0))
-    named = F.concat(F.lit("['"), F.array_join("fields", "', '"), F.lit("']"))
-    quoted = F.concat(F.lit("role '"), F.col("role"), F.lit("'"))
     open_request = asked <= 0
-    stages = [
-        (F.col("actions").isNull(), False, F.concat(F.lit("unknown role: "), F.coalesce("role", F.lit("")))),
-        (~F.array_contains("actions", F.col("action")), False,
-         F.concat(F.lit("action '"), F.col("action"), F.lit("' not allowed for "), quoted)),
-        (~(anything | F.array_contains("purposes", F.col("purpose"))), False,
-         F.concat(F.lit("purpose '"), F.col("purpose"), F.lit("' not allowed for "), quoted)),
-        (open_request, True, F.lit("no field-level restriction")),
-        (F.size("_permitted") == 0, False, F.concat(quoted, F.lit(" cannot access any of requested fields "), named)),
+    rules = [
+        (F.col("actions").isNull(), False, "role_unknown"),
+        (~F.array_contains("actions", F.col("action")), False, "action_denied"),
+        (~(anything | F.array_contains("purposes", F.col("purpose"))), False, "purpose_denied"),
+        (open_request, True, "no_fields_named"),
+        (F.size("_permitted") == 0, False, "fields_denied"),
     ]
     allow, reason = None, None
-    for test, verdict, text in stages:
+    for test, verdict, code in rules:
         test = F.coalesce(test, F.lit(True))
         allow = F.when(test, verdict) if allow is None else allow.when(test, verdict)
-        reason = F.when(test, text) if reason is None else reason.when(test, text)
-    granted = F.concat(
-        quoted, F.lit(" allowed "), F.size("_permitted").cast("string"), F.lit("/"), asked.cast("string"),
-        F.lit(" fields for purpose '"), F.col("purpose"), F.lit("'"),
-    )
+        reason = F.when(test, code) if reason is None else reason.when(test, code)
     decided = rows.withColumn("_permitted", permitted).withColumns({
-        "allow": allow.otherwise(True), "reason": reason.otherwise(granted),
+        "allow": allow.otherwise(True), "reason": reason.otherwise("fields_granted"),
     })
     seen = F.when(F.col("allow") & ~open_request, F.col("_permitted")).otherwise(F.array().cast("array<string>"))
     return decided.withColumn("filtered_fields", seen).select(
-        *requests.columns, "allow", "reason", "filtered_fields"
+        *requests.columns, "allow", "reason", asked.alias("fields_asked"), "filtered_fields"
     )
 
 

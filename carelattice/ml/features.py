@@ -54,7 +54,7 @@ def readings_from_silver(vitals: DataFrame) -> DataFrame:
     )
 
 
-def visit_history(visits: DataFrame, hot: list[int] | None = None) -> DataFrame:
+def visit_history(visits: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Each complete visit with what came before it and the start of the next one."""
     complete = visits.filter(
         F.col("visit_start_datetime").isNotNull() & F.col("visit_end_datetime").isNotNull()
@@ -63,7 +63,6 @@ def visit_history(visits: DataFrame, hot: list[int] | None = None) -> DataFrame:
     return ordered_columns(
         complete, ["person_id"],
         [F.col("visit_start_datetime"), F.col("visit_occurrence_id")],
-        F.to_date("visit_start_datetime"),
         running={
             "prior_visits": Running("rows", inclusive=False),
             "prior_stay": Running("sum", stay, inclusive=False),
@@ -93,7 +92,8 @@ def discharge_features(
     readings: DataFrame, *, reading_days: int = 30, label_days: int = 30,
 ) -> DataFrame:
     """18 features and the label for every complete visit of a known person."""
-    hot = hot_keys(visits, ["person_id"])
+    everything = [t.select("person_id") for t in (visits, conditions, drugs, readings)]
+    hot = hot_keys(reduce(DataFrame.unionAll, everything), ["person_id"])  # a few visits may have many readings
     known = visits.select(
         "person_id", "visit_occurrence_id", "visit_start_datetime", "visit_end_datetime", "visit_concept_id"
     ).join(
@@ -145,13 +145,13 @@ def discharge_features(
         facts_of(readings, F.col("ts"), READING, **read),
     ]
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if hot:
+    if hot is not None:
         # A hot person's facts at one instant collapse before the shuffle.
         facts = facts.groupBy("person_id", "ts", "ord").agg(*[F.sum(t).alias(t) for t in tallies])
     timeline = questions.unionByName(facts, allowMissingColumns=True)
     counted = ordered_columns(
         timeline, ["person_id"],
-        [F.col("ts"), F.col("ord"), F.col("question"), F.col("visit")], F.to_date("ts"),
+        [F.col("ts"), F.col("ord"), F.col("question"), F.col("visit")],
         running={f"r_{t}": Running("sum", F.col(t)) for t in tallies}, hot=hot,
     ).filter(F.col("question").isNotNull())
 

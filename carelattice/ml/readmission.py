@@ -40,11 +40,9 @@ def temporal_split(df: DataFrame, time: str = "discharge_time", tie: str = "visi
                    test_size: float = 0.2) -> DataFrame:
     """Adds ``is_test``: true for the latest ``test_size`` share of the rows, cut exactly.
 
-    Row numbers are made per hour and offset by the hours before, so no task sees all rows.
+    Row numbers are made per range of rows and offset by the ranges before, so no task sees all rows.
     """
-    numbered = sliced_running(
-        df, [], [F.col(time), F.col(tie)], F.date_trunc("hour", time), {"_row": Running("rows")}, "_all"
-    )
+    numbered = sliced_running(df, [], [F.col(time), F.col(tie)], {"_row": Running("rows")}, "_all")
     cut = F.floor(F.col("_all") * (1 - test_size))
     return numbered.withColumn("is_test", F.col("_row") > cut).drop("_row", "_all")
 
@@ -78,12 +76,12 @@ def binary_metrics(scored: DataFrame, label: str = "label", prob: str = "score")
     """ROC AUC, average precision, Brier, F1, precision, recall and positive rate in one row.
 
     Exact: rows collapse to one per distinct score, and the counts below a score are built
-    from 4,096 score slices, so neither a repeated score nor the global order needs one task.
+    per range of them, so neither a repeated score nor the global order needs one task.
     """
     y, p = F.col(label).cast("long"), F.col(prob)
     per_score = scored.groupBy(p.alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     ranked = sliced_running(
-        per_score, [], [F.col("s")], F.floor(F.col("s") * 4096),
+        per_score, [], [F.col("s")],
         {
             "pos_below": Running("sum", F.col("pos"), inclusive=False),
             "neg_below": Running("sum", F.col("neg"), inclusive=False),

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from carelattice.functions.columns import RISK_TIER, bucket
 from carelattice.operators.aggregates import exact_quantiles, global_stats
+from carelattice.session import materialise
 
 FEATURES = ("total_paid", "claim_count", "avg_paid", "std_paid")
 
@@ -159,7 +160,8 @@ def isolation_forest(
             total += depth[at] + _mean_path(size[at])
         return pd.Series(np.power(2.0, -total / len(forest) / usual))
 
-    scored = df.withColumn("anomaly_score", score(F.array(*[F.col(f).cast("double") for f in features])))
+    # written once: the quantile and every later reader take the scores, not the forest
+    scored = materialise(df.withColumn("anomaly_score", score(F.array(*[F.col(f).cast("double") for f in features]))), "scores")
     limit = exact_quantiles(scored, "anomaly_score", [1 - contamination]).first().q0
     return scored.withColumn("anomaly_label", (F.col("anomaly_score") > F.lit(limit)).cast("int"))
 

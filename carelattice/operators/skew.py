@@ -1,14 +1,14 @@
 """Ordered per-key columns (running totals, neighbours, rolling frames) that survive a hot key.
 
 A Spark window puts every row of a key in one task. That is right for ordinary keys and
-wrong for a key that holds a large share of the table. The functions here find such keys
-with a constant-size frequency sketch, keep the plain window for all other rows, and give
-the hot rows a two-level plan instead:
+wrong for a key that holds a large share of the table. The functions here count the rows of
+every key, keep the plain window for keys below an absolute number of rows, and give the rows
+of the others a two-level plan instead:
 
-* totals per (key, slice), where a slice is an ordered coarsening of the sort column such
-  as its day; the number of slices is bounded by the calendar, not by the row count;
-* a window over those small totals gives each slice its starting value;
-* a window per (key, slice) finishes the rows.
+* the rows are range-partitioned by key and order, whatever the key's distribution over time,
+  and written with the number of their range;
+* totals per (key, range) and a window over those few totals give each range its starting value;
+* a window per (key, range) finishes the rows.
 
 Frames that look at neighbouring rows run on blocks of consecutive row numbers that carry
 copies of the few rows next to the block.
@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 10_000
-MAX_SMALL_FILES = 64
+from carelattice.session import materialise
+
+HOT_ROWS = 1_000_000
 BLOCK_ROWS = 1_000_000
 
 
@@ -67,63 +67,48 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def small_input(df: DataFrame) -> bool:
-    """Whether the files behind ``df`` are few and together below
-    ``carelattice.hot.minInputBytes``: then even one task can take all of it."""
-    spark = df.sparkSession
-    limit = int(spark.conf.get("carelattice.hot.minInputBytes", str(1 << 28)))
-    files = df.inputFiles() if limit else []
-    if not files or len(files) > MAX_SMALL_FILES:
-        return False
-    sizes = spark.read.format("binaryFile").load(files).select("length")  # contents stay unread
-    return sizes.agg(F.sum("length")).first()[0] < limit
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys (as hashes, column ``hot_key``) that hold ``carelattice.hot.rows`` rows or more, or None.
 
+    An exact count per key, combined before its shuffle, on the key columns alone. The result is a
+    written table that ``split`` joins; the driver only learns whether it is empty.
+    """
+    limit = int(df.sparkSession.conf.get("carelattice.hot.rows", str(HOT_ROWS)))
+    counted = df.groupBy(key_hash(keys).alias("hot_key")).agg(F.count(F.lit(1)).alias("rows"))
+    found = materialise(counted.filter(F.col("rows") >= limit), "hot-keys")
+    return None if found.isEmpty() else found.select("hot_key")
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold too many rows for one task, at most ``MAX_HOT_KEYS``.
 
-    One pass over the key columns with a mergeable sketch; the driver receives one row.
-    Settings: ``carelattice.hot.share`` (share of all rows) and ``carelattice.hot.minRows``.
-    Counting a key as hot by mistake costs time, never correctness.
-    """
-    if small_input(df):
-        return []
-    spark = df.sparkSession
-    share = float(spark.conf.get("carelattice.hot.share", "0.001"))
-    floor = int(spark.conf.get("carelattice.hot.minRows", "5000000"))
-    found = (
-        df.select(key_hash(keys).alias("k"))
-        .agg(
-            F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .first()
-    )
-    limit = max(share * found.n, floor)
-    return [item["item"] for item in found.top or [] if item["count"] >= limit]
+def split(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, hot rows)."""
+    is_hot = key_hash(keys) == F.col("hot_key")
+    return df.join(hot, is_hot, "left_anti"), df.join(hot, is_hot, "left_semi")
 
 
-def split(df: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows); a filter on the key hash, no join."""
-    is_hot = key_hash(keys).isin([int(h) for h in hot])
-    return df.filter(~is_hot), df.filter(is_hot)
+def ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None = None,
+           name: str = "_slice") -> DataFrame:
+    """Number the rows by ranges of (key, order) of about equal size: ``parts`` of them, or as many as
+    adaptive execution finds right. The numbers are written with the rows, as ranges drawn again
+    could differ."""
+    columns = [F.col(k) for k in keys] + list(order)
+    placed = df.repartitionByRange(parts, *columns) if parts else df.repartitionByRange(*columns)
+    return materialise(placed.withColumn(name, F.spark_partition_id()), "ranges")
 
 
 def sliced_running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    slice_by: Column,
     running: Mapping[str, Running],
     group_rows: str | None = None,
 ) -> DataFrame:
-    """Running values with each (key, slice) as its own unit of work.
+    """Running values with each (key, range of rows) as its own unit of work.
 
-    ``slice_by`` must never decrease along ``order``. Used for hot keys, and with ``keys=[]``
-    for running values over a whole table without a one-task window. ``group_rows`` names a
-    column that gets the row count of the whole key.
+    Used for hot keys, and with ``keys=[]`` for running values over a whole table without a
+    one-task window. ``order`` must be total within a key. ``group_rows`` names a column that
+    gets the row count of the whole key.
     """
-    sliced = df.withColumn("_slice", slice_by)
+    sliced = ranges(df, keys, order)
     totals = sliced.groupBy(*keys, "_slice").agg(
         *[r.total().alias(f"_t_{name}") for name, r in running.items()],
         F.count(F.lit(1)).alias("_t_rows"),
@@ -166,14 +151,13 @@ def ordered_columns(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    slice_by: Column,
     *,
     running: Mapping[str, Running] | None = None,
     framed: Mapping[str, Callable[[WindowSpec], Column]] | None = None,
     before: int = 0,
     after: int = 0,
     group_rows: str | None = None,
-    hot: Sequence[int] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add running and neighbour columns per key.
 
@@ -193,11 +177,11 @@ def ordered_columns(
             added[group_rows] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return rows.withColumns(added)
 
-    if not hot:
+    if hot is None:
         return plain(df)
     ordinary, heavy = split(df, keys, hot)
     numbered = sliced_running(
-        heavy, keys, order, slice_by, {**running, "_row": Running("rows")}, group_rows
+        heavy, keys, order, {**running, "_row": Running("rows")}, group_rows
     )
     if framed:
         spread = numbered.withColumn("_copy", F.explode(_blocks(F.col("_row"), before, after)))
@@ -208,7 +192,7 @@ def ordered_columns(
     return done.unionByName(numbered.select(*done.columns))
 
 
-def ordinal(df: DataFrame, keys: Sequence[str], name: str, hot: Sequence[int] | None = None) -> DataFrame:
+def ordinal(df: DataFrame, keys: Sequence[str], name: str, hot: DataFrame | None = None) -> DataFrame:
     """Number the rows that share a key 1..n, ordered by their other columns.
 
     Rows that are equal in every column are interchangeable, so a flood of equal rows is
@@ -221,7 +205,7 @@ def ordinal(df: DataFrame, keys: Sequence[str], name: str, hot: Sequence[int] |
     def plain(rows: DataFrame) -> DataFrame:
         return rows.withColumn(name, F.row_number().over(window).cast("long"))
 
-    if not hot:
+    if hot is None:
         return plain(df)
     ordinary, heavy = split(df, keys, hot)
     first = Window.partitionBy(*keys).orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,17 +24,24 @@ def dedupe_latest(df: DataFrame, key: Sequence[str], order: Sequence[Column]) ->
     return top_k_per_group(df, key, order, 1)
 
 
+def join_nullsafe(df: DataFrame, reduced: DataFrame, key: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a table that was grouped by ``key`` back to its rows; NULL keys meet NULL keys."""
+    renamed = reduced.select(*[F.col(k).alias(f"_k_{k}") for k in key], *[c for c in reduced.columns if c not in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key])
+    return df.join(renamed, same, how).drop(*[f"_k_{k}" for k in key])
+
+
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Every row whose key occurs more than once."""
+    """Every row whose key occurs more than once; NULL keys count as equal."""
     repeated = df.groupBy(*key).count().filter("count > 1").drop("count")
-    return df.join(repeated, list(key), "left_semi")
+    return join_nullsafe(df, repeated, key, "left_semi")
 
 
 def unique_over(df: DataFrame, key: Sequence[str], name: str = "is_unique") -> DataFrame:
-    """Flag rows whose key occurs once. Counted before the join, not in a window, so that a
-    key with very many rows needs no single task."""
+    """Flag rows whose key occurs once; NULL keys count as equal. Counted before the join, not in
+    a window, so that a key with very many rows needs no single task."""
     counts = df.groupBy(*key).agg((F.count(F.lit(1)) == 1).alias(name))
-    return df.join(counts, list(key))
+    return join_nullsafe(df, counts, key)
 
 
 def change_from_previous(df: DataFrame, partition: Sequence[str], order: str, value: str,

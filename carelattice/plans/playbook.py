@@ -25,17 +25,17 @@ def enrollment_spans(segments: DataFrame, as_of: Column, gap_days: int = 0) -> D
     )
 
 
-def claim_running(claims: DataFrame, since: Column | None = None, hot: list[int] | None = None
+def claim_running(claims: DataFrame, since: Column | None = None, hot: DataFrame | None = None
                   ) -> DataFrame:
     """Cumulative, rolling 4-claim and average paid amount per member, most recent claim = 1."""
     rows = claims if since is None else claims.filter(F.col("claim_date") >= since)
     rows = rows.select(
-        "mem_id", "claim_id", "claim_date", "service_type", "allowed_amount", "paid_amount",
-        "member_copay",
+        "mem_id", "claim_id", "provider_npi", "claim_date", "service_type", "allowed_amount",
+        "paid_amount", "member_copay",
     )
     paid = F.col("paid_amount")
     done = ordered_columns(
-        rows, ["mem_id"], [F.col("claim_date"), F.col("claim_id")], F.col("claim_date"),
+        rows, ["mem_id"], [F.col("claim_date"), F.col("claim_id")],
         running={"cumulative_paid": Running("sum", paid), "_row": Running("rows")},
         framed={"rolling_4_claim_paid": lambda w: F.sum(paid).over(w.rowsBetween(-3, 0))},
         before=3, group_rows="_rows", hot=hot,
@@ -129,16 +129,18 @@ def pmpm_by_enrolment(member_months: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def provider_metrics(claims: DataFrame, providers: DataFrame, since: Column | None = None) -> DataFrame:
-    """Claims, members and costs per provider. Costs are summed per provider and member
-    first; providers join the reduced rows."""
+    """Claims, members and costs per provider. Claims are reduced to (provider, member) first,
+    which also counts members without a distinct; providers join the reduced rows. ``claim_id``
+    identifies a claim row."""
     rows = claims if since is None else claims.filter(F.col("claim_date") >= since)
-    reduced = rows.groupBy("provider_npi").agg(
-        F.countDistinct("claim_id").alias("total_claims"),
-        F.countDistinct("mem_id").alias("unique_members"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum("paid_amount").alias("paid"),
-        F.sum("allowed_amount").alias("allowed"),
-        F.sum("member_copay").alias("copay"),
+    per_member = rows.groupBy("provider_npi", "mem_id").agg(
+        F.count("claim_id").alias("claims"), F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"{c}").alias(c) for c in ("paid_amount", "allowed_amount", "member_copay")],
+    )
+    reduced = per_member.groupBy("provider_npi").agg(
+        F.sum("claims").alias("total_claims"), F.count("mem_id").alias("unique_members"),
+        F.sum("n").alias("_rows"), F.sum("paid_amount").alias("paid"),
+        F.sum("allowed_amount").alias("allowed"), F.sum("member_copay").alias("copay"),
     )
     joined = providers.select("provider_npi", "provider_name", "specialty", "tier").join(reduced, "provider_npi")
     return joined.select(
@@ -173,7 +175,7 @@ def provider_ranking(metrics: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def stays_with_next(claims: DataFrame, since: Column | None = None, hot: list[int] | None = None
+def stays_with_next(claims: DataFrame, since: Column | None = None, hot: DataFrame | None = None
                     ) -> DataFrame:
     """Inpatient stays with the member's next admission date and diagnosis."""
     rows = claims.filter(F.col("claim_type") == "inpatient")
@@ -184,7 +186,7 @@ def stays_with_next(claims: DataFrame, since: Column | None = None, hot: list[in
         "paid_amount",
     )
     return ordered_columns(
-        rows, ["mem_id"], [F.col("admit_date"), F.col("claim_id")], F.col("admit_date"),
+        rows, ["mem_id"], [F.col("admit_date"), F.col("claim_id")],
         framed={
             "next_admit_date": lambda w: F.lead("admit_date").over(w),
             "next_primary_diagnosis": lambda w: F.lead("primary_diagnosis").over(w),
@@ -195,16 +197,20 @@ def stays_with_next(claims: DataFrame, since: Column | None = None, hot: list[in
 
 def readmissions(
     claims: DataFrame, providers: DataFrame, days: int = 30, min_cases: int = 10, top: int = 25,
-    since: Column | None = None, exclude_negative: bool = False, hot: list[int] | None = None,
+    since: Column | None = None, exclude_negative: bool = False, hot: DataFrame | None = None,
+    known_providers_only: bool = True,
 ) -> DataFrame:
     """Readmission rate and cost per facility, small cells suppressed, worst first.
 
+    By default a stay of an unknown provider is no next stay either (``known_providers_only``).
     Stays shrink to one row per provider before the facility join.
     """
     gap = F.datediff("next_admit_date", "discharge_date")
     again = F.coalesce(gap <= days, F.lit(False))
     if exclude_negative:
         again = again & (gap >= 0)
+    if known_providers_only:
+        claims = claims.join(providers.select("provider_npi"), "provider_npi", "left_semi")
     stays = stays_with_next(claims, since, hot).withColumn("again", again)
     reduced = stays.groupBy("provider_npi").agg(
         F.count(F.lit(1)).alias("n"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions import columns as c
-from carelattice.operators.windows import dedupe_latest, top_k_per_group
+from carelattice.operators.windows import dedupe_latest, join_nullsafe, top_k_per_group
 
 
 def stg_members(raw: DataFrame, zip4: bool = False) -> DataFrame:
@@ -109,7 +109,7 @@ def issue_flags(raw: DataFrame, as_of: Column, child_max_age: int = 26) -> DataF
     zip_number = F.col("zip_code").try_cast("int")
     born = F.col("dob").try_cast("date")
     years = c.age(born, as_of, "tenths")
-    return raw.join(counts, "mem_id").withColumns({
+    return join_nullsafe(raw, counts, ["mem_id"]).withColumns({
         "zip_lost_zeros": F.coalesce((zip_number > 0) & (zip_number < 10000), F.lit(False)).cast("int"),
         "child_overage": F.coalesce(
             (F.col("covered_relation") == "Child") & (years > child_max_age), F.lit(False)

@@ -57,8 +57,8 @@ def session_gap(device_type: Column, missed: int = 3) -> Column:
 
 def device_sessions(readings: DataFrame, ts: str = "ts", missed: int = 3, watermark: str | None = None) -> DataFrame:
     """Sessions of continuous readings per device, by event time. Readings merge to sessions
-    within each input partition before the shuffle, so a busy device sends few rows."""
-    readings.sparkSession.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+    within each input partition before the shuffle, so a busy device sends few rows, if the session
+    has ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` (``build_session`` sets it)."""
     rows = readings.withWatermark(ts, watermark) if watermark else readings
     span = F.session_window(F.col(ts), session_gap(F.col("device_type"), missed))
     return rows.groupBy("device_id", "device_type", span.alias("w")).agg(F.count(F.lit(1)).alias("readings")).select(

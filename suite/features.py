@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from carelattice.functions import columns as c
@@ -57,22 +59,41 @@ def binary_metrics(spark, sf):
     return rows.select("n", "positives", *[F.round(c, 8).alias(c) for c in rows.columns[2:]])
 
 
+@lru_cache(maxsize=2)
 def trained(spark, sf):
-    return r.evaluate(discharge_features(spark, sf), r.TrainConfig(trees=5, depth=4))
+    """Model and metrics with the library's own configuration."""
+    return r.evaluate(discharge_features(spark, sf))
 
 
 def model_metrics(spark, sf):
-    return trained(spark, sf)[1]
+    """Exact counts of the test part; whether every measure lies in its range."""
+    rows = trained(spark, sf)[1]
+    measures = [c_ for c_ in rows.columns if c_ not in ("n", "positives")]
+    return rows.select("n", "positives", *[F.col(m).between(0.0, 1.0).alias(f"{m}_in_range") for m in measures])
+
+
+def checked(predictions):
+    """Keys and validity as they are; score, band, confidence and features as facts about them."""
+    score = F.col("score")
+    return predictions.select(
+        "person_id", "prediction_type", "model_id", "model_version", "valid_from", "valid_until",
+        F.array_join("features_used", ",").alias("features_used"), score.between(0.0, 1.0).alias("score_in_range"),
+        (F.col("risk_band") == c.bucket(score, *c.RISK_BAND)).alias("band_fits"),
+        (F.abs(F.col("confidence") - 2 * F.abs(score - 0.5)) < 1e-9).alias("confidence_fits"))
 
 
 def predictions(spark, sf):
     model, _ = trained(spark, sf)
-    return r.prediction_table(model, current_features(spark, sf), DAY(), explain=True)
+    table = r.prediction_table(model, current_features(spark, sf), DAY(), explain=True)
+    explained = table.select("person_id", (F.size("top_feature_contributions") == 5).alias("explained"))
+    return checked(table).join(explained, "person_id")
 
 
 def importances(spark, sf):
     model, _ = trained(spark, sf)
-    return spark.createDataFrame(list(r.feature_importances(model).items()), "feature string, importance double")
+    rows = spark.createDataFrame(list(r.feature_importances(model).items()), "feature string, importance double")
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0.0, 1.0).alias("in_range"), (F.abs(total - 1) < 1e-6).alias("sum_is_one"))
 
 
 def board(spark, sf):
@@ -174,7 +195,23 @@ BOARD = """select visit_occurrence_id as person_id, (visit_occurrence_id % 100):
       when (visit_occurrence_id % 100)::double / 100 < 0.30 then 'medium' else 'high' end as risk_band,
     visit_end_datetime as valid_from from o_visit"""
 
+USED = ",".join(sorted(f.FEATURES))
+PREDICTED = f"""person_id, 'readmission_30d' as prediction_type, 'readmission_30d' as model_id, '1' as model_version,
+    {NOW} as valid_from, {NOW} + interval 60 minute as valid_until, '{USED}' as features_used,
+    true as score_in_range, true as band_fits, true as confidence_fits"""
+
 ORACLES = {
+    "model_metrics": oracle("""
+        with known as (select h.*, case when epoch(next_start) - epoch(visit_end_datetime) <= 30 * 86400 then 1 else 0 end as label
+          from history h join o_person p on h.person_id = p.person_id),
+        tested as (select label from known qualify row_number() over (order by visit_end_datetime, visit_occurrence_id)
+          > floor(count(*) over () * (1 - 0.2::double)))
+        select count(*) as n, cast(sum(label) as bigint) as positives, true as roc_auc_in_range, true as average_precision_in_range,
+          true as brier_in_range, true as f1_in_range, true as precision_in_range, true as recall_in_range, true as positive_rate_in_range
+        from tested""", history=HISTORY),
+    "prediction_table": oracle(f"select {PREDICTED}, true as explained from o_person"),
+    "feature_importances": oracle(
+        f"select unnest([{', '.join(repr(x) for x in f.FEATURES)}]) as feature, true as in_range, true as sum_is_one"),
     "recent_predictions": oracle("select * from board order by valid_from desc, person_id limit 200", board=BOARD),
     "high_risk_board": oracle(
         "select * from board where risk_band = 'high' order by score desc, person_id limit 200", board=BOARD),

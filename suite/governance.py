@@ -105,7 +105,7 @@ def requests(spark, sf):
 
 def decisions(spark, sf):
     return access.evaluate_access(requests(spark, sf)).select(
-        "request_id", "allow", "reason", F.array_join("filtered_fields", ",").alias("filtered"))
+        "request_id", "allow", "reason", "fields_asked", F.array_join("filtered_fields", ",").alias("filtered"))
 
 
 def audit_query(spark, sf):
@@ -186,11 +186,8 @@ ACCESS = """
         when not (list_contains(purposes, '*') or list_contains(purposes, purpose)) then 3
         when len(wanted) = 0 then 4 when len(got) = 0 then 5 else 6 end as v from seen)
     select request_id, v in (4, 6) as allow,
-      case v when 1 then 'unknown role: ' || role when 2 then 'action ''' || action || ''' not allowed for role ''' || role || ''''
-        when 3 then 'purpose ''' || purpose || ''' not allowed for role ''' || role || ''''
-        when 4 then 'no field-level restriction'
-        when 5 then 'role ''' || role || ''' cannot access any of requested fields [''' || array_to_string(wanted, ''', ''') || ''']'
-        else 'role ''' || role || ''' allowed ' || len(got) || '/' || len(wanted) || ' fields for purpose ''' || purpose || '''' end as reason,
+      ['role_unknown', 'action_denied', 'purpose_denied', 'no_fields_named', 'fields_denied', 'fields_granted'][v] as reason,
+      cast(len(wanted) as int) as fields_asked,
       case when v = 6 then array_to_string(got, ',') else '' end as filtered
     from verdict"""
 

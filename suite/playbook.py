@@ -111,7 +111,7 @@ ORACLES = {
           case when span_end < date '{AS_OF}' then 'Terminated' else 'Active' end as status
         from spans"""),
     "claim_running": with_views(f"""
-        select mem_id, claim_id, claim_date, service_type, allowed_amount, paid_amount, member_copay,
+        select mem_id, claim_id, provider_npi, claim_date, service_type, allowed_amount, paid_amount, member_copay,
           cast(sum(paid_amount) over w as decimal(28,6)) as cumulative_paid,
           cast(sum(paid_amount) over (partition by mem_id order by claim_date, claim_id
                rows between 3 preceding and current row) as decimal(28,6)) as rolling_4_claim_paid,
@@ -184,10 +184,10 @@ ORACLES = {
         with stays as (
           select c.*, p.facility_name, p.facility_state,
             lead(c.admit_date) over (partition by c.mem_id order by c.admit_date, c.claim_id) as next_admit
-          from claims c left join providers p on c.provider_npi = p.provider_npi where c.claim_type = 'inpatient'),
+          from claims c join providers p on c.provider_npi = p.provider_npi where c.claim_type = 'inpatient'),
         flagged as (
           select *, case when next_admit is not null and next_admit - discharge_date <= 90 then 1 else 0 end as again
-          from stays where facility_name is not null)
+          from stays)
         select facility_name, facility_state, count(*) as total_discharges, cast(sum(again) as bigint) as readmissions,
           cast(round(sum(again) * 100.0 / count(*), 2) as double) as readmission_rate_pct,
           {exact_mean('sum(paid_amount)','count(*)',2)} as avg_admission_cost,

@@ -105,7 +105,13 @@ def pipeline_counts(spark, sf):
 
 def isolation_forest(spark, sf):
     features = anomaly.member_claim_features(claims(spark, sf))
-    return anomaly.isolation_forest(features, "mem_id").select("mem_id", "anomaly_score", "anomaly_label")
+    rows = anomaly.isolation_forest(features, "mem_id")
+    share = rows.agg(F.avg("anomaly_label")).scalar()
+    lowest = rows.where("anomaly_label = 1").agg(F.min("anomaly_score")).scalar()
+    highest = rows.where("anomaly_label = 0").agg(F.max("anomaly_score")).scalar()
+    return rows.select(
+        "mem_id", F.col("anomaly_score").between(0.0, 1.0).alias("score_in_range"),
+        share.between(0.0, 0.06).alias("share_fits"), (highest <= lowest).alias("labels_follow_scores"))
 
 
 def flagged_claims(spark, sf):
@@ -176,6 +182,8 @@ NEWEST = """(select {key}, string_agg({value}, ',' order by rn) as list, count(*
     select {key}, {value}, row_number() over (partition by {key} order by {order}) as rn from {table}) where rn <= {k} group by 1)"""
 
 ORACLES = {
+    "isolation_forest": oracle("""
+        select distinct mem_id, true as score_in_range, true as share_fits, true as labels_follow_scores from member_claims"""),
     "cohort": oracle(f"""
         select person_id, year_of_birth, gender_concept_id from o_person p
         where year_of_birth <= year(date '{AS_OF}') - 18 and year_of_birth >= year(date '{AS_OF}') - 80

@@ -75,7 +75,7 @@ VIEWS = {
           (select l_orderkey, min(l_suppkey) as supplier from lineitem group by l_orderkey) l
           on o.o_orderkey = l.l_orderkey""",
     "member_claims": f"""
-        select o_orderkey as claim_id, {MEMBER.format('o_custkey')} as mem_id,
+        select o_orderkey as claim_id, {MEMBER.format('o_custkey')} as mem_id, o_orderkey % 97 as provider_npi,
           cast(o_orderdate as date) as claim_date, o_orderpriority as service_type,
           cast(o_totalprice as decimal(18,6)) as allowed_amount,
           cast(cast(o_totalprice as decimal(18,6)) * cast(0.8 as decimal(3,2)) as decimal(18,6)) as paid_amount,

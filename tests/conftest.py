@@ -21,7 +21,7 @@ def every_key_hot(spark, monkeypatch):
     """Sends all keys through the plans for hot keys, with tiny blocks."""
     from carelattice.operators import skew
 
-    settings = {"carelattice.hot.minInputBytes": "0", "carelattice.hot.share": "0", "carelattice.hot.minRows": "1"}
+    settings = {"carelattice.hot.rows": "1"}
     for key, value in settings.items():
         spark.conf.set(key, value)
     monkeypatch.setattr(skew, "BLOCK_ROWS", 4)

@@ -150,8 +150,8 @@ def test_access_decisions(spark):
                                "id int, role string, action string, purpose string, fields array<string>")
     rows = access.evaluate_access(df).orderBy("id").collect()
     assert [(r.allow, r.filtered_fields) for r in rows] == [d[4:] for d in DECISIONS]
-    assert rows[7].reason == "unknown role: stranger"
-    assert rows[1].reason == "role 'clinician' allowed 2/2 fields for purpose 'clinical_care'"
+    assert (rows[7].reason, rows[7].fields_asked) == ("role_unknown", 1)
+    assert (rows[1].reason, rows[1].fields_asked) == ("fields_granted", 2)
 
 
 def test_governed_read_projects_masks_and_audits(spark, tmp_path):

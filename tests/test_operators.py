@@ -130,16 +130,25 @@ def test_spans_never_overlap_and_open_end(spark):
 
 def test_hot_key_is_found_and_others_are_not(spark):
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    for key, value in {"carelattice.hot.minRows": "1000", "carelattice.hot.share": "0.01"}.items():
-        spark.conf.set(key, value)
+    spark.conf.set("carelattice.hot.rows", "900")
     try:
-        found = skew.hot_keys(rows, ["k"])
+        found = [r.hot_key for r in skew.hot_keys(rows, ["k"]).collect()]
     finally:
-        spark.conf.unset("carelattice.hot.minRows")
-        spark.conf.unset("carelattice.hot.share")
+        spark.conf.unset("carelattice.hot.rows")
     want = spark.range(1).select(F.xxhash64(F.lit(0).cast("long"))).first()[0]
     assert found == [want]
-    assert skew.hot_keys(rows, ["k"]) == []
+    assert skew.hot_keys(rows, ["k"]) is None
+    ordinary, heavy = skew.split(rows, ["k"], spark.createDataFrame([(want,)], "hot_key long"))
+    assert heavy.count() == 6667 and ordinary.count() == 20_000 - 6667
+
+
+def test_a_key_whose_rows_share_one_day_is_split(spark, every_key_hot):
+    rows = spark.range(5000).select(F.lit("p").alias("k"), F.lit("2024-01-01").cast("date").alias("d"), "id")
+    sliced = skew.ranges(rows, ["k"], [F.col("d"), F.col("id")], 4)
+    assert sliced.select("_slice").distinct().count() > 1
+    got = skew.ordered_columns(rows, ["k"], [F.col("d"), F.col("id")], running={"n": skew.Running("rows")},
+                               framed={"back": lambda w: F.lag("id").over(w)}, before=1)
+    assert all(r.n == r.id + 1 and r.back == (r.id - 1 if r.id else None) for r in got.collect())
 
 
 def test_ordinal_numbers_floods_of_copies(spark, every_key_hot):
@@ -150,7 +159,7 @@ def test_ordinal_numbers_floods_of_copies(spark, every_key_hot):
 
 def test_running_over_whole_table_has_no_single_task_over_rows(spark):
     rows = spark.range(500).select("id", (F.col("id") % 7).alias("v"))
-    got = skew.sliced_running(rows, [], [F.col("id")], F.floor(F.col("id") / 50),
+    got = skew.sliced_running(rows, [], [F.col("id")],
                               {"s": skew.Running("sum", F.col("v")), "m": skew.Running("max", F.col("v"), False)}, "n")
     table = got.orderBy("id").toPandas()
     want = pd.Series([i % 7 for i in range(500)])
@@ -255,3 +264,13 @@ def test_warehouse_build_agrees_with_its_own_tests(spark):
         ("stg_members", "unique_member_id"), ("stg_members", "not_null_date_of_birth"),
         ("stg_members", "accepted_values_state"), ("member_roster", "accepted_values_age_bucket")}
     assert {"omop_drug", "condition_drug_pairs"} <= set(models)
+
+
+def test_null_keys_are_kept_and_counted_as_equal(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("m", 3)], "mem_id string, x int")
+    assert windows.duplicates(rows, ["mem_id"]).count() == 2
+    flags = {r.x: r.is_unique for r in windows.unique_over(rows, ["mem_id"]).collect()}
+    assert flags == {1: False, 2: False, 3: True}
+    raw = rows.withColumns({c: F.lit(None).cast("string") for c in ("dob", "email", "phone", "zip_code", "covered_relation")})
+    issues = staging.issue_flags(raw, F.lit("2024-01-01").cast("date"))
+    assert {r.x: r.duplicate_id for r in issues.collect()} == {1: 1, 2: 1, 3: 0}
