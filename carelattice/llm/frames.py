@@ -14,17 +14,15 @@ from carelattice.session import scratch_dir
 
 PIECE = 2 << 20
 
-DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-
 
 def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array], dict]) -> DataFrame:
-    """``df`` with the columns ``fields`` that ``function`` computes from the batch's texts.
+    """``df`` without the text, with the columns ``fields`` that ``function`` computes from it.
 
     Rows are neither moved nor reordered. A column of the input whose name (in any case) is among
     ``fields`` is replaced. Null texts reach ``function`` as they are.
     """
     added = StructType.fromDDL(fields)
-    clash = {name.lower() for name in added.names}
+    clash = {name.lower() for name in [*added.names, text]}
     kept = [c for c in df.columns if c.lower() not in clash]
     whole = "__text"  # the text travels under a name of its own, so it may be among the replaced columns
     while whole in {c.lower() for c in kept}:

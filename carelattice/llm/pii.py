@@ -124,7 +124,7 @@ def votes_and_features(text: str, a: int, z: int, is_base: bool) -> tuple[tuple[
     )
     features = (
         1.0, round(min(math.log2(size + 1), 8)) / 4, round(digits / size, 1), round(min(entropy, 5)) / 3,
-        float(named), float(assigned), float(harmless), float("@" in piece),
+        float(named), float(assigned), float(harmless), float("@" in piece), float(digits >= 7),
     )
     return votes, features
 
@@ -176,7 +176,7 @@ def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, rounds: int
     return posterior, reliability
 
 
-def logistic(features: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+def logistic(features: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 0.02, rounds: int = 25) -> np.ndarray:
     """Weights of a ridge logistic regression on soft targets, by Newton's method."""
     w = np.zeros(features.shape[1])
     for _ in range(rounds):

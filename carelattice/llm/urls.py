@@ -73,7 +73,7 @@ def lexical(column: pa.Array) -> dict:
 
 def with_features(pages: DataFrame) -> DataFrame:
     """Adds lexical features and the share of pages with the same last label, and last two labels, of the host."""
-    made = append(pages, "__url", "features array<double>", lexical)
+    made = append(pages.withColumn("__whole", F.col("__url")), "__whole", "features array<double>", lexical)
     for k in (1, 2):
         made = made.withColumn(f"__suffix{k}", F.substring_index("host", ".", -k))
     n = F.broadcast(made.agg(F.count("*").alias("__n")))  # one row
