@@ -2,8 +2,8 @@
 Hamming blocks, exact check.
 
 1. Shingles are hashes of five consecutive lower-cased words. A window without a shingle of any item
-   has similarity 0, so only windows around shared shingles are made: all windows of an item's
-   length that hold one (a shorter document is one window).
+   has similarity 0, so only windows around shared shingles are made: of an item's length (a shorter
+   document is one window), and with enough shared places for the similarity sought.
 2. Each window and item gets 64 SimHash bits over its shingles, each as often as it occurs. Items are indexed
    by ``RADIUS`` + 1 blocks of bits: fingerprints within ``RADIUS`` agree on one block at least, so
    the join on (length, block, value) finds all of them. Two sets of similarity 0.8 differ in
@@ -104,7 +104,11 @@ def windows(found: DataFrame, known: DataFrame) -> DataFrame:
     places = hits.groupBy("row_key", "n").agg(F.collect_set("pos").alias("places"))
     last = F.greatest(F.size("shingles") + N - 1 - F.col("n"), F.lit(0))
     around = lambda p: F.sequence(F.greatest(p - F.col("n") + N, F.lit(0)), F.greatest(F.least(p, last), F.greatest(p - F.col("n") + N, F.lit(0))))
-    starts = F.filter(F.array_distinct(F.flatten(F.transform("places", around))), lambda s: s <= last)
+    # the smaller counts of a window and an item that are similar enough sum up to this at least
+    item = F.col("n") - (N - 1)
+    need = F.ceil((F.least(item, F.size("shingles")) + item) * F.lit(SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    held = lambda s: F.size(F.filter("places", lambda p: (p >= s) & (p < s + item)))
+    starts = F.filter(F.array_distinct(F.flatten(F.transform("places", around))), lambda s: (s <= last) & (held(s) >= need))
     made = places.join(found, "row_key").withColumn("start", F.explode(starts))
     part = F.slice("shingles", F.col("start") + 1, F.col("n") - (N - 1))
     made = computed(made, part, "__part").select("row_key", "doc_id", "n", "start", F.col("__part").alias("shingles"))
