@@ -12,7 +12,8 @@ by 80 % or more, as connected components.
    pair of a bucket that still lies in two components and was not yet compared. A link is in one of
    the two or inside a component, so the components are those of all links.
 5. Pairs are verified in the order's fragments: each fragment counts its partial overlap of a pair
-   separately, and the counts are summed per pair.
+   separately, and the counts are summed per pair. The overlap of the prefixes comes first; most
+   pairs can't reach the threshold any more after it, and the others' sets are never moved.
 
 Defined results: null or blank texts have no shingle and are alone; fewer than five words make one
 shingle of them all; equal ids count as separate rows; a null id is the smallest of its component
@@ -23,18 +24,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
-from carelattice.llm.frames import pieces, stored
+from carelattice.llm.frames import identified, pieces, stored
 from carelattice.llm.words import grams, mix, words
 
 N = 5
 PERCENT = 80
 CHUNK_SHINGLES = 2_000_000   # a chunk of the counting pass
-LOCAL = 4                    # reported by a chunk from so many of its classes on
-HEAVY = 64                   # placed at the end of the order from so many classes on
+LOCAL = 2                    # reported by a chunk from so many of its classes on
+HEAVY = 16                   # placed at the end of the order from so many classes on
 HEAVY_MOST = 2**18           # of these, the most frequent
 FRAGMENTS = 4
 SEEN = 200_000               # classes that a task remembers so as to leave out copies
@@ -152,10 +153,11 @@ def with_prefixes(docs: DataFrame, heavy, n: int = N) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum(np.minimum(length, size))]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashed[order][kept].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size.astype(np.int64)), pa.array(ids.view(np.int64)), prefix],
-                names=["doc_id", "n", "class", "prefix"])
+                [batch.column(0), batch.column(2), pa.array(size.astype(np.int64)), pa.array(ids.view(np.int64)), prefix],
+                names=["doc_id", "row_key", "n", "class", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, class bigint, prefix array<bigint>")
+    return docs.select("doc_id", "text", "row_key").mapInArrow(
+        run, "doc_id bigint, row_key bigint, n bigint, class bigint, prefix array<bigint>")
 
 
 def shared_prefix_rows(sets: DataFrame) -> DataFrame:
@@ -183,16 +185,17 @@ def shared_prefix_rows(sets: DataFrame) -> DataFrame:
     again = rows.groupBy("shingle").agg(F.count("*").alias("bucket")).where("bucket > 1")
     rows = rows.join(again, "shingle")
     central = rows.groupBy("class").agg(F.count("*").alias("shared"))  # relative to the prefix's length
-    length = F.col("n") - F.floor((F.col("n") * PERCENT + 99) / 100) + 1
-    return stored(rows.join(central, "class").select("shingle", "class", "n", "pos", (F.col("shared") / length).alias("central")), "buckets")
+    before = F.row_number().over(Window.partitionBy("class").orderBy("pos")) - 1  # shared ones; a prefix at most
+    return stored(rows.join(central, "class").select(
+        "shingle", "class", "n", "pos", before.alias("before"), (F.col("shared") / prefix_length("n")).alias("central")), "buckets")
 
 
 def may_link(a: str, b: str) -> F.Column:
-    """Whether sizes and places of the common shingle leave room for a link."""
-    na, nb, pa_, pb = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
-    most = F.least(na, nb)  # shingles before the common one may be shared, too, as it need not be the first
-    rest = F.least(na - pa_, nb - pb) + F.least(pa_, pb)
-    return (most * 100 >= F.greatest(na, nb) * PERCENT) & (rest * (100 + PERCENT) >= (na + nb) * PERCENT)
+    """Whether sizes and places of the common shingle leave room for a link. Of the shingles before it,
+    only those that other classes have in their prefixes, too, can be common."""
+    na, nb, pa_, pb, ba, bb = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos", f"{a}.before", f"{b}.before"))
+    rest = F.least(na - pa_, nb - pb) + F.least(ba, bb)
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT) & (rest * (100 + PERCENT) >= (na + nb) * PERCENT)
 
 
 def _pairs(x: DataFrame) -> DataFrame:
@@ -204,7 +207,7 @@ def _pairs(x: DataFrame) -> DataFrame:
 
 
 def central_pairs(rows: DataFrame) -> DataFrame:
-    lead = rows.groupBy("shingle").agg(F.max_by(F.struct("class", "n", "pos"), F.struct("central", "class")).alias("lead"))
+    lead = rows.groupBy("shingle").agg(F.max_by(F.struct("class", "n", "pos", "before"), F.struct("central", "class")).alias("lead"))
     lead = lead.select("shingle", "lead.*")
     return _pairs(rows.alias("a").join(lead.alias("b"), "shingle").where(may_link("a", "b")))
 
@@ -213,7 +216,7 @@ def crossing_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of a bucket that lie in two components. Components meet first, then their classes."""
     rows = rows.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    rows = stored(rows.join(mixed, "shingle").select("shingle", "class", "n", "pos", "root"), "mixed")
+    rows = stored(rows.join(mixed, "shingle").select("shingle", "class", "n", "pos", "before", "root"), "mixed")
     groups = rows.groupBy("shingle", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     g, h = groups.alias("g"), groups.alias("h")
     meet = g.join(h, (F.col("g.shingle") == F.col("h.shingle")) & (F.col("g.root") < F.col("h.root")) & (
@@ -225,6 +228,21 @@ def crossing_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return _pairs(both.where(may_link("a", "b")))
 
 
+def prefix_length(n: str) -> F.Column:
+    return F.col(n) - F.floor((F.col(n) * PERCENT + 99) / 100) + 1
+
+
+def hopeful(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs whose prefixes have enough in common. All common shingles up to the end of the prefix that
+    ends first lie in both prefixes, and no more than the rest of its set can follow."""
+    lists = rows.groupBy("class").agg(F.collect_list("shingle").alias("prefix"))
+    both = pairs.join(lists.select(F.col("class").alias("a"), F.col("prefix").alias("x")), "a").join(
+        lists.select(F.col("class").alias("b"), F.col("prefix").alias("y")), "b")
+    rest = F.greatest(F.col("na") - prefix_length("na"), F.col("nb") - prefix_length("nb"))
+    most = F.size(F.array_intersect("x", "y")) + rest
+    return both.where(most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
+
+
 def segments(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
     """(class, fragment, shingles) of the classes in ``pairs``: the order cut into fragments, the last
     one for shingles of many classes."""
@@ -264,21 +282,38 @@ def verified(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
     return total.where(F.expr(f"100 * common >= {PERCENT} * (na + nb - common)")).select("a", "b", "common")
 
 
-def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links), class: one row a document."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def members(docs: DataFrame, n: int = N) -> DataFrame:
+    """doc_id, row_key (64 bits of id and text), n (set size), class, root: one row a document. Rows with
+    the same root are one component; empty sets are components of their own kind and share root 0."""
+    docs = identified(docs)
     heavy = heavy_shingles(docs, n)
     sets = stored(with_prefixes(docs, heavy, n), "sets")
     rows = shared_prefix_rows(sets)
-    first = stored(central_pairs(rows), "pairs")
+    first = stored(hopeful(central_pairs(rows), rows), "pairs")
     links = stored(verified(docs, first, heavy, n), "links")
     roots = components(links)
-    second = stored(crossing_pairs(rows, roots).join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(verified(docs, second, heavy, n))
-    roots = components(links)
-    members = sets.select("doc_id", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
-    least = members.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return members.join(least, "root", "left").select(
+    second = stored(hopeful(crossing_pairs(rows, roots).join(first, ["a", "b"], "left_anti"), rows), "pairs")
+    roots = components(links.unionByName(verified(docs, second, heavy, n)))
+    found = sets.select("doc_id", "row_key", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+    return found.withColumn("root", F.coalesce("root", "class"))
+
+
+def jaccard_components(docs: DataFrame, n: int = N) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable by links), class: one row a document."""
+    found = members(docs.select("doc_id", "text"), n)
+    least = found.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return found.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "class")
+
+
+def keep_one(docs: DataFrame, n: int = N) -> DataFrame:
+    """``docs``, with all their columns, without all but one document (smallest id) of each component.
+    Documents without words are linked with nothing and stay."""
+    found = members(docs.select("doc_id", "text"), n)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = found.where("n > 0").groupBy("root").agg(F.min_by("row_key", order).alias("__key")).select("__key")
+    blank = found.where("n = 0").select(F.col("row_key").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
+    once = keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"])
+    return once.unionByName(keyed.join(blank, "__key", "left_semi")).drop("__key")
