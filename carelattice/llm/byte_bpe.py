@@ -1,19 +1,21 @@
 """Byte-level BPE: encoding by ranked merges in Spark's higher-order functions, and decoding.
 
-1. An Arrow function splits the texts of a batch with the tokenizer's pattern and lists the batch's distinct
-   pieces that are no token themselves, as byte arrays. Nothing is shuffled: a batch is one row of
+1. Frequent words of the corpus are counted; the pieces that the tokenizer's pattern cuts from the ``HEAD``
+   most frequent ones are folded once and travel to the tasks (a bounded table).
+2. An Arrow function splits the texts of a block with the pattern and lists the block's distinct pieces that
+   are neither tokens nor in the table, as byte arrays. No text is shuffled: a block is one row of
    distinct pieces and of the places where they occur.
-2. Spark folds the merges over each distinct piece: per step the pair of lowest rank (the leftmost of
-   equals) becomes one token, until no pair has a rank. Ranks of pairs come from a literal map of
-   two cuckoo tables that travels in the row (as a literal of the expression it would be repeated in
-   every printed plan); a lookup is two array accesses.
-3. A second Arrow function puts each text's ids together; decoding concatenates the ids' bytes.
+3. Spark folds the merges over each distinct piece: per step the pair of lowest rank (the leftmost of
+   equals) becomes one token, until no pair has a rank. Ranks of pairs come from a literal map that
+   travels in the row (as a literal of the expression it would be repeated in every printed
+   plan); a lookup is two array accesses.
+4. A second Arrow function puts each text's ids together; decoding concatenates the ids' bytes.
 
 The result equals the reference library's ordinary encoding for the same ranks and pattern, without
-special tokens. Defined results: null and empty texts have no ids and decode to nothing; repeated
-rows are encoded one by one; columns other than id and text are not read. Any text can be decoded
-exactly, as every byte is a token. The time for one piece grows with the square of its length (a
-piece of 20,000 letters takes some ten seconds).
+special tokens, whatever the table holds. Defined results: null and empty texts have no ids and
+decode to nothing; repeated rows are encoded one by one; columns other than id and text are not
+read. Any text can be decoded exactly, as every byte is a token. The time for one piece grows with
+the square of its length (a piece of 20,000 letters takes some ten seconds).
 """
 
 from __future__ import annotations
@@ -22,16 +24,21 @@ import base64
 import hashlib
 import os
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carelattice.llm.words import ramp
+from carelattice.llm.frames import pieces as blocks_of
+from carelattice.llm.words import SEGMENT, hash_spans, ramp, words
 
 IDS = 1 << 16
-_MULTIPLIERS, _SHIFTS = (0x2545F491, 0x1B873593), (20, 17)
+HEAD = 1 << 20           # words whose pieces are folded once
+HEAD_BYTES = 48          # and the longest of these pieces
+COUNTED = 8 << 20        # a word is counted in blocks of so many bytes that hold it twice
+BLOCK_BYTES = 6 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,33 +53,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Two tables of (key << 16 | rank) for all pairs of tokens that make a token; 0 is empty."""
-    pairs = {}
+    """A place for each token, and a table with (token + 1) << 16 | rank at the place of a pair's first token
+    plus its second one, for all pairs that make a token; 0 is empty."""
+    seconds: dict[int, list[tuple[int, int]]] = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
             if a is not None and b is not None:
-                pairs[(a + 1) << 16 | b] = rank
-    size = 1 << max(8, (2 * len(pairs)).bit_length() - 1)
-    while True:
-        tables = [[0] * size, [0] * size]
-        if all(_put(tables, key << 16 | rank, size) for key, rank in pairs.items()):
-            return np.array(tables[0], np.int64), np.array(tables[1], np.int64)
-        size *= 2
-
-
-def _place(key: int, which: int, size: int) -> int:
-    return (key * _MULTIPLIERS[which] >> _SHIFTS[which]) & (size - 1)
-
-
-def _put(tables: list[list[int]], entry: int, size: int) -> bool:
-    for step in range(200):
-        which = step % 2
-        at = _place(entry >> 16, which, size)
-        entry, tables[which][at] = tables[which][at], entry
-        if not entry:
-            return True
-    return False
+                seconds.setdefault(a, []).append((b, rank))
+    total = sum(map(len, seconds.values()))
+    size = max(4 * IDS, 1 << (8 * total).bit_length())
+    table, place, pick = np.zeros(size, np.int64), np.zeros(IDS, np.int32), np.random.default_rng(1)
+    for a, row in sorted(seconds.items(), key=lambda x: -len(x[1])):
+        at = np.array([b for b, _ in row])
+        while True:
+            start = int(pick.integers(0, size - IDS))
+            if not table[start + at].any():
+                break
+        place[a] = start
+        table[start + at] = (a + 1) << 16 | np.array([r for _, r in row], np.int64)
+    return place, table
 
 
 def let(value: Column, body) -> Column:
@@ -80,32 +80,30 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def rank(a: Column, b: Column, one: Column, two: Column, size: int) -> Column:
+def rank(a: Column, b: Column, place: Column, table: Column) -> Column:
     """Rank of a pair of tokens; ``IDS`` or more if they make no token."""
-    def found(key: Column) -> Column:
-        look = lambda table, k: F.get(table, F.shiftright(key * _MULTIPLIERS[k], _SHIFTS[k]).bitwiseAND(F.lit(size - 1)).cast("int")).bitwiseXOR(key * IDS)
-        return F.least(look(one, 0), look(two, 1))
+    return F.get(table, F.get(place, a) + b).bitwiseXOR((a.cast("bigint") + 1) * IDS)
 
-    return let((a + 1) * IDS + b, found)
 
-
-def merged(piece: Column, byte_ids: Column, one: Column, two: Column, size: int) -> Column:
+def merged(piece: Column, byte_ids: Column, place: Column, table: Column) -> Column:
     """Token ids of a piece given as an array of bytes."""
     ids = F.transform(piece, lambda b: F.get(byte_ids, b))
 
     def ranks(x: Column) -> Column:
-        return F.transform(F.slice(x, 1, F.size(x) - 1), lambda a, i: rank(a, F.get(x, i + 1), one, two, size))
+        return F.transform(F.slice(x, 1, F.size(x) - 1), lambda a, i: rank(a, F.get(x, i + 1), place, table))
 
     def step(state: Column, _: Column) -> Column:
         x, r = state["ids"], state["ranks"]
         none = F.array().cast("array<bigint>")
 
         def apply(m: Column) -> Column:
+            token = m.cast("int")
+
             def at(p: Column) -> Column:  # 0-based place of the pair
-                left = F.when(p > 0, F.array(rank(F.get(x, p - 1), m, one, two, size))).otherwise(none)
-                right = F.when(p + 2 < F.size(x), F.array(rank(m, F.get(x, p + 2), one, two, size))).otherwise(none)
+                left = F.when(p > 0, F.array(rank(F.get(x, p - 1), token, place, table))).otherwise(none)
+                right = F.when(p + 2 < F.size(x), F.array(rank(token, F.get(x, p + 2), place, table))).otherwise(none)
                 return F.struct(
-                    F.concat(F.slice(x, F.lit(1), p), F.array(m), F.slice(x, p + 3, F.size(x))).alias("ids"),
+                    F.concat(F.slice(x, F.lit(1), p), F.array(token), F.slice(x, p + 3, F.size(x))).alias("ids"),
                     F.concat(F.slice(r, F.lit(1), F.greatest(p - 1, F.lit(0))), left, right, F.slice(r, p + 3, F.size(r) + 1)).alias("ranks"))
 
             return F.when(m < IDS, let((F.array_position(r, m) - 1).cast("int"), at)).otherwise(state)
@@ -121,41 +119,129 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
-def split_batches(batches, ranks: dict[bytes, int], tables, pattern: str):
-    """A row a batch: distinct pieces that are no token, and for each text where its pieces are listed.
+class Table(NamedTuple):
+    """Ids of pieces, found by hash."""
+
+    hash: np.ndarray     # sorted
+    start: np.ndarray    # of each piece's ids, one more than there are pieces
+    ids: np.ndarray
+
+    def find(self, hashed: np.ndarray) -> np.ndarray:
+        """Place of each piece, or -1."""
+        if not len(self.hash):
+            return np.full(len(hashed), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashed), len(self.hash) - 1)
+        return np.where(self.hash[at] == hashed, at, -1)
+
+
+def piece_arrays(pieces_: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, offsets and hashes of pieces."""
+    data = np.frombuffer(b"".join(pieces_), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces_), np.int64, len(pieces_)))])
+    hashed = np.zeros(len(pieces_), np.uint64)
+    at = 0
+    while at < len(pieces_):  # in segments, as hashing takes many times the bytes
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SEGMENT, side="right")) - 1)
+        part = slice(offsets[at], offsets[end])
+        hashed[at:end] = hash_spans(data[part], offsets[at:end] - offsets[at], offsets[at + 1:end + 1] - offsets[at])
+        at = end
+    return data, offsets, hashed
+
+
+def as_row(values: pa.Array) -> pa.ListArray:
+    """An array as the only value of a list column."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def fixed_rows(ranks: dict[bytes, int], tables) -> list[pa.ListArray]:
+    by_byte = pa.array([ranks[bytes([b])] for b in range(256)], pa.int32())
+    return [as_row(by_byte), as_row(pa.array(tables[0])), as_row(pa.array(tables[1]))]
+
 
-    A place below ``IDS`` is a token; from there on it numbers the listed pieces.
+MAP = "byte_ids array<int>, place array<int>, table array<bigint>"
+BLOCK = "doc_ids array<bigint>, counts array<int>, places array<int>, heads array<int>, pieces array<array<smallint>>, " + MAP
+
+
+def byte_lists(data: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data.astype(np.int16)))
+
+
+def fold() -> Column:
+    return F.transform("pieces", lambda p: merged(p, F.col("byte_ids"), F.col("place"), F.col("table")))
+
+
+def frequent(texts: DataFrame, shared, pattern: str, head: int) -> Table:
+    """The table of pieces of the most frequent words. What it holds only decides how often Spark folds."""
+
+    def count(batches):
+        for batch in blocks_of(batches, 0, COUNTED):
+            found = words(batch.column(0))
+            value, first, n = np.unique(found.hash, return_index=True, return_counts=True)
+            often = np.flatnonzero(n > 1)
+            at = first[often]
+            size = found.end[at] - found.start[at]
+            short = size <= HEAD_BYTES
+            at, size = at[short], size[short]
+            data = gathered(found.data, found.start[at], size)
+            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            word = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([word, pa.array(n[often][short])], names=["word", "n"])
+
+    def cut(batches):
+        find = _pattern(pattern).findall
+        for batch in batches:
+            made = {p.encode() for w in batch.column(0).to_pylist() for t in [w.decode()] for p in (*find(t), *find(" " + t))}
+            made = sorted(p for p in made if p not in shared.value[0] and len(p) <= HEAD_BYTES)
+            data, offsets, hashed = piece_arrays(made)
+            yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), byte_lists(data, offsets)], names=["hash", "piece"])
+
+    def block(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [as_row(batch.column(0)), as_row(batch.column(1)), *fixed_rows(*shared.value)], names=["hashes", "pieces", "byte_ids", "place", "table"])
+
+    counted = texts.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "word").limit(head).select("word").repartition(64)
+    made = top.mapInArrow(cut, "hash bigint, piece array<smallint>").dropDuplicates(["hash"])
+    folded = made.mapInArrow(block, "hashes array<bigint>, pieces array<array<smallint>>, " + MAP).select("hashes", fold().alias("ids"))
+    got = folded.select(F.inline(F.arrays_zip("hashes", "ids"))).toArrow().combine_chunks()
+    if not len(got):
+        return Table(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint16))
+    ids, offsets = _flat(got["ids"].chunk(0))
+    hashed = got["hashes"].to_numpy().view(np.uint64)
+    order = np.argsort(hashed)
+    size = np.diff(offsets)[order]
+    return Table(hashed[order], np.concatenate([[0], np.cumsum(size)]), gathered(ids, offsets[:-1][order], size).astype(np.uint16))
+
+
+def split_batches(batches, ranks: dict[bytes, int], tables, head: Table, pattern: str):
+    """A row a block: distinct pieces that are no token, and for each text where its pieces are listed.
+
+    A place below ``IDS`` is a token; from there on it numbers the listed pieces. ``heads`` has the
+    listed pieces' places in the table, or -1 for those (in order) that Spark folds.
     """
     find = _pattern(pattern).findall
-    for batch in batches:
+    for batch in blocks_of(batches, 1, BLOCK_BYTES):
         known: dict[str, int] = {}
-        pieces_, places, counts = [], [], []
+        listed, places, counts = [], [], []
         for text in batch.column(1).to_pylist():
             found = find(text) if text else []
-            for piece in found:
-                if piece not in known:
-                    raw = piece.encode()
-                    token = ranks.get(raw)
-                    if token is None:
-                        token = IDS + len(pieces_)
-                        pieces_.append(raw)
-                    known[piece] = token
+            for piece in set(found).difference(known):
+                raw = piece.encode()
+                token = ranks.get(raw)
+                if token is None:
+                    token = IDS + len(listed)
+                    listed.append(raw)
+                known[piece] = token
             places.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
             counts.append(len(found))
-        one, two = tables
-        by_byte = pa.array([ranks[bytes([b])] for b in range(256)], pa.int64())
-        row = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        flat = pa.array(np.frombuffer(b"".join(pieces_), np.uint8).astype(np.int16))
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces_])]).astype(np.int32)
+        heads = head.find(piece_arrays(listed)[2])
+        data, offsets, _ = piece_arrays([listed[i] for i in np.flatnonzero(heads < 0)])
         yield pa.RecordBatch.from_arrays([
-            row(batch.column(0).cast(pa.int64())), row(pa.array(np.array(counts, np.int32))),
-            row(pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))),
-            row(pa.ListArray.from_arrays(pa.array(offsets), flat)), row(by_byte), row(pa.array(one)), row(pa.array(two))],
-            names=["doc_ids", "counts", "places", "pieces", "byte_ids", "one", "two"])
-
-
-BLOCK = ("doc_ids array<bigint>, counts array<int>, places array<int>, pieces array<array<smallint>>, "
-         "byte_ids array<bigint>, one array<bigint>, two array<bigint>")
+            as_row(batch.column(0).cast(pa.int64())), as_row(pa.array(np.array(counts, np.int32))),
+            as_row(pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))), as_row(pa.array(heads.astype(np.int32))),
+            as_row(byte_lists(data, offsets)), *fixed_rows(ranks, tables)],
+            names=["doc_ids", "counts", "places", "heads", "pieces", "byte_ids", "place", "table"])
 
 
 def _flat(array: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,20 +270,25 @@ def decoded(ids: np.ndarray, tokens) -> bytes:
     return gathered(data, start[ids], size[ids]).tobytes()
 
 
-def assemble(batches, ranks: dict[bytes, int], with_values: bool):
+def assemble(batches, ranks: dict[bytes, int], head: Table, with_values: bool):
     """A row a text again: its ids, what they decode to, and digests of both."""
     tokens = token_bytes(ranks)
     for batch in batches:
         for k in range(len(batch)):
             row = batch.slice(k, 1)
-            doc_ids, counts, places = (row.column(j).flatten() for j in range(3))
-            counts, places = counts.to_numpy(), places.to_numpy()
-            merged_, offsets = _flat(row.column(3).flatten())
-            listed = places >= IDS
-            size, start = np.ones(len(places), np.int64), places.astype(np.int64)
-            size[listed] = np.diff(offsets)[places[listed] - IDS]
-            start[listed] = offsets[:-1][places[listed] - IDS] + IDS
-            ids = gathered(np.concatenate([np.arange(IDS), merged_]), start, size).astype("<u4")
+            doc_ids, counts, places, heads = (row.column(j).flatten() for j in range(4))
+            counts, places, heads = counts.to_numpy(), places.to_numpy(), heads.to_numpy()
+            folded, offsets = _flat(row.column(4).flatten())
+            values = np.concatenate([np.arange(IDS), head.ids, folded]).astype("<u4")
+            in_head, turn = heads >= 0, np.cumsum(heads < 0) - 1
+            begin, length = np.zeros(IDS + len(heads), np.int64), np.ones(IDS + len(heads), np.int64)
+            begin[:IDS] = np.arange(IDS)
+            begin[IDS:][in_head] = IDS + head.start[heads[in_head]]
+            length[IDS:][in_head] = head.start[heads[in_head] + 1] - head.start[heads[in_head]]
+            begin[IDS:][~in_head] = IDS + len(head.ids) + offsets[turn[~in_head]]
+            length[IDS:][~in_head] = np.diff(offsets)[turn[~in_head]]
+            size = length[places]
+            ids = gathered(values, begin[places], size)
             ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
             out = {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")}
             for a, z in zip(ends[:-1].tolist(), ends[1:].tolist()):
@@ -214,21 +305,21 @@ def assemble(batches, ranks: dict[bytes, int], with_values: bool):
             yield pa.RecordBatch.from_arrays([doc_ids, *[pa.array(out[n], kinds[n]) for n in names]], names=["doc_id", *names])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_values: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_values: bool = False,
+           head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, and on request ids and decoded: one row a document.
 
     ``path`` names the rank file; the driver reads it and sends it to the tasks.
     """
     ranks = read_ranks(os.fspath(path))
-    tables = pair_table(ranks)
-    size = len(tables[0])
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, tables))
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((ranks, pair_table(ranks)))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = texts.mapInArrow(lambda batches: split_batches(batches, shared.value[0], shared.value[1], pattern), BLOCK)
-    ids = F.transform("pieces", lambda p: merged(p, F.col("byte_ids"), F.col("one"), F.col("two"), size))
-    folded = blocks.select("doc_ids", "counts", "places", ids.alias("merged"))
+    table = context.broadcast(frequent(texts, shared, pattern, head))
+    blocks = texts.mapInArrow(lambda batches: split_batches(batches, *shared.value, table.value, pattern), BLOCK)
+    folded = blocks.select("doc_ids", "counts", "places", "heads", fold().alias("folded"))
     fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_values else "")
-    return folded.mapInArrow(lambda batches: assemble(batches, shared.value[0], with_values), fields)
+    return folded.mapInArrow(lambda batches: assemble(batches, shared.value[0], table.value, with_values), fields)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
