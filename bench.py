@@ -20,6 +20,7 @@ HEADLINE = [
     "condition_drug_pairs", "condition_prevalence", "discharge_features", "current_features",
     "contract_quality", "warehouse_checks", "cohort", "patient_360", "iqr_flag", "risk_report",
     "phi_joinable", "deidentify_table", "silver_events", "silver_stream", "form_fields",
+    "exact_quantiles", "isolation_forest",
 ]
 
 
