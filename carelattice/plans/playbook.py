@@ -48,6 +48,15 @@ def claim_running(claims: DataFrame, since: Column | None = None, hot: DataFrame
     }).drop("_row", "_rows")
 
 
+def one_per_member(members: DataFrame, as_of: Column) -> DataFrame:
+    """One row a member: the plan in force on the day, else any other; the latest start, the highest ``row_key``."""
+    ends = F.coalesce("termination_date", F.lit("9999-12-31").cast("date"))
+    in_force = F.coalesce((F.col("effective_date") <= as_of) & (ends >= as_of), F.lit(False))
+    rank = F.struct(in_force.alias("f"), F.col("effective_date").alias("s"), F.col("row_key").alias("r"))
+    best = members.groupBy("mem_id").agg(F.max_by(F.struct(*[x for x in members.columns if x != "mem_id"]), rank).alias("m"))
+    return best.select("mem_id", "m.*")
+
+
 def hcc_risk(
     members: DataFrame, claims: DataFrame, diagnoses: DataFrame, hcc: DataFrame, as_of: Column,
     months: int = 12, top: int = 100,
@@ -90,12 +99,32 @@ def pmpm(members: DataFrame, claims: DataFrame, since: Column | None = None) ->
     many claims is a handful of rows and members per cell are counted without a distinct.
     """
     rows = claims if since is None else claims.filter(F.col("claim_date") >= since)
-    monthly = rows.groupBy("mem_id", F.trunc("claim_date", "month").alias("claim_month")).agg(
+    plans = members.select("mem_id", "plan_type", "metal_level").distinct()
+    return _priced(_monthly(rows).join(plans, "mem_id"))
+
+
+def pmpm_in_force(members: DataFrame, claims: DataFrame, since: Column | None = None) -> DataFrame:
+    """``pmpm`` with one plan for each member and claim month: the one in force in that month, of several the
+    latest start, the highest ``row_key``. Costs of months without any are kept under a null plan."""
+    rows = claims if since is None else claims.filter(F.col("claim_date") >= since)
+    monthly = _monthly(rows)
+    plans = members.select(F.col("mem_id").alias("_m"), "row_key", "effective_date", "termination_date", "plan_type", "metal_level")
+    ends = F.coalesce("termination_date", F.lit("9999-12-31").cast("date"))
+    fits = (F.col("mem_id") == F.col("_m")) & (F.col("effective_date") <= F.last_day("claim_month")) & (ends >= F.col("claim_month"))
+    best = monthly.join(plans, fits, "left").groupBy(*monthly.columns).agg(
+        F.max(F.struct("effective_date", "row_key", "plan_type", "metal_level")).alias("_p"))
+    return _priced(best.select(*monthly.columns, "_p.plan_type", "_p.metal_level"))
+
+
+def _monthly(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("mem_id", F.trunc("claim_date", "month").alias("claim_month")).agg(
         F.sum("paid_amount").alias("paid"), F.sum("allowed_amount").alias("allowed"),
         F.sum("member_copay").alias("copay"),
     )
-    plans = members.select("mem_id", "plan_type", "metal_level").distinct()
-    cells = monthly.join(plans, "mem_id").groupBy("claim_month", "plan_type", "metal_level").agg(
+
+
+def _priced(planned: DataFrame) -> DataFrame:
+    cells = planned.groupBy("claim_month", "plan_type", "metal_level").agg(
         F.count(F.lit(1)).alias("member_count"),
         F.sum("paid").alias("paid"), F.sum("allowed").alias("allowed"), F.sum("copay").alias("copay"),
     )

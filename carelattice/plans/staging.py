@@ -44,8 +44,9 @@ def recent(df: DataFrame, ts: str, as_of: Column, days: int) -> DataFrame:
     return df.filter(F.col(ts) >= F.date_sub(as_of, days))
 
 
-def member_months(members: DataFrame, as_of: Column, cap_at_as_of: bool = False) -> DataFrame:
-    """One row per active member and covered month; open coverage runs to the as-of month."""
+def member_months(members: DataFrame, as_of: Column, cap_at_as_of: bool = False, one_plan: bool = False) -> DataFrame:
+    """One row per active member row and covered month; open coverage runs to the as-of month. With ``one_plan``
+    one row per member and month: the plan with the latest start (then the greatest plan and metal level)."""
     first = F.trunc("coverage_effective_date", "month")
     this_month = F.trunc(as_of, "month")
     last = F.coalesce(F.trunc("coverage_termination_date", "month"), this_month)
@@ -55,6 +56,11 @@ def member_months(members: DataFrame, as_of: Column, cap_at_as_of: bool = False)
     months = spans.filter(F.col("_first") <= F.col("_last")).withColumn(
         "coverage_month", F.explode(F.sequence("_first", "_last", F.expr("interval 1 month")))
     )
+    if one_plan:
+        rank = F.struct("coverage_effective_date", "plan_type", "metal_level")
+        rest = [x for x in months.columns if x not in ("member_id", "coverage_month")]
+        months = months.groupBy("member_id", "coverage_month").agg(F.max_by(F.struct(*rest), rank).alias("_row")).select(
+            "member_id", "coverage_month", "_row.*")
     return months.select(
         "member_id", "first_name", "last_name", "date_of_birth",
         c.age("date_of_birth", as_of, "boundary").alias("age"),

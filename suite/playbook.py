@@ -66,6 +66,30 @@ def pmpm_by_enrolment(spark, sf):
     return p.pmpm_by_enrolment(months, *load(spark, sf, "member_claims"))
 
 
+def all_members(spark, sf):
+    """Every eligibility row; some members have two."""
+    (rows,) = load(spark, sf, "eligibility")
+    return rows.select(
+        "mem_id", "row_key", F.expr("try_cast(dob as date)").alias("dob"), F.upper("plan_type").alias("plan_type"), "metal_level",
+        F.expr("try_cast(effective_date as date)").alias("effective_date"),
+        F.expr("try_cast(nullif(termination_date, 'Active') as date)").alias("termination_date"))
+
+
+def hcc_risk_all_plans(spark, sf):
+    claims, diagnoses = load(spark, sf, "member_claims", "diagnoses")
+    rows = p.one_per_member(all_members(spark, sf), DAY("2000-09-01"))
+    return p.hcc_risk(rows, claims, diagnoses, seed(spark, "icd10_codes"), DAY("2000-09-01"))
+
+
+def pmpm_in_force(spark, sf):
+    return p.pmpm_in_force(all_members(spark, sf), *load(spark, sf, "member_claims"))
+
+
+def pmpm_by_enrolment_all_plans(spark, sf):
+    (raw,) = load(spark, sf, "eligibility")
+    return p.pmpm_by_enrolment(member_months(stg_members(raw), DAY(AS_OF), one_plan=True), *load(spark, sf, "member_claims"))
+
+
 def stays_with_next(spark, sf):
     return p.stays_with_next(*load(spark, sf, "claims"))
 
@@ -74,7 +98,10 @@ QUERIES = {
     "enrollment_spans": enrollment_spans,
     "claim_running": claim_running,
     "hcc_risk": hcc_risk,
+    "hcc_risk_all_plans": hcc_risk_all_plans,
     "pmpm": pmpm,
+    "pmpm_in_force": pmpm_in_force,
+    "pmpm_by_enrolment_all_plans": pmpm_by_enrolment_all_plans,
     "pmpm_by_enrolment": pmpm_by_enrolment,
     "provider_metrics": provider_metrics,
     "provider_ranking": provider_ranking,
@@ -200,3 +227,64 @@ ORACLES = {
         from claims where claim_type = 'inpatient'
         window w as (partition by mem_id order by admit_date, claim_id)"""),
 }
+
+# The same queries over all eligibility rows, one plan for each member and month.
+ALL_MEMBERS = """select mem_id, row_key, try_cast(dob as date) as dob, upper(plan_type) as plan_type, metal_level,
+    try_cast(effective_date as date) as s, coalesce(try_cast(nullif(termination_date, 'Active') as date), date '9999-12-31') as e
+    from eligibility"""
+ORACLES |= {
+    "hcc_risk_all_plans": with_views("""
+        with one as (
+          select mem_id, dob from all_members qualify row_number() over (partition by mem_id
+            order by coalesce(s <= date '2000-09-01' and e >= date '2000-09-01', false) desc, s desc nulls last, row_key desc) = 1),
+        codes as (
+          select distinct c.mem_id, h.icd10_code, h.hcc_code, h.hcc_weight from member_claims c
+            join diagnoses d on c.claim_id = d.claim_id join hcc h on d.icd10_code = h.icd10_code
+          where c.claim_date >= date '1999-09-01'),
+        risk as (
+          select mem_id, dob, sum(hcc_weight) as weight, count(distinct hcc_code) as active_hcc_count,
+            case when date_sub('month', dob, date '2000-09-01') < 45 * 12 then 1.0
+                 when date_sub('month', dob, date '2000-09-01') < 65 * 12 then 1.4 else 2.0 end as factor
+          from one join codes using (mem_id) group by mem_id, dob)
+        select mem_id, dob, cast(weight as double) as total_hcc_weight, active_hcc_count,
+          cast(factor as double) as demographic_factor,
+          cast(round(weight * cast(factor as decimal(3,1)), 2) as double) as risk_score,
+          case when round(weight * cast(factor as decimal(3,1)), 2) < 1 then 'Low'
+               when round(weight * cast(factor as decimal(3,1)), 2) < 2 then 'Moderate'
+               when round(weight * cast(factor as decimal(3,1)), 2) < 3 then 'High' else 'Very High' end as risk_category
+        from risk order by risk_score desc, mem_id limit 100""", all_members=ALL_MEMBERS, hcc=hcc_values()),
+    "pmpm_in_force": with_views(f"""
+        with monthly as (
+          select mem_id, date_trunc('month', claim_date)::date as claim_month, sum(paid_amount) as paid,
+            sum(allowed_amount) as allowed, sum(member_copay) as copay from member_claims group by all),
+        planned as (
+          select m.*, p.plan_type, p.metal_level from monthly m left join all_members p
+            on m.mem_id = p.mem_id and p.s <= last_day(m.claim_month) and p.e >= m.claim_month
+          qualify row_number() over (partition by m.mem_id, m.claim_month order by p.s desc, p.row_key desc) = 1),
+        cells as (
+          select claim_month, plan_type, metal_level, count(*) as member_count, cast(sum(paid) as decimal(28,6)) as total_paid,
+            cast(sum(allowed) as decimal(28,6)) as total_allowed, cast(sum(copay) as decimal(28,6)) as total_copay
+          from planned group by all),
+        priced as (
+          select *, {exact_mean('total_paid','member_count',2)} as pmpm_paid,
+            {exact_mean('total_allowed','member_count',2)} as pmpm_allowed from cells)
+        select claim_month, plan_type, metal_level, member_count, total_paid, total_allowed,
+          total_copay, pmpm_paid, pmpm_allowed, lag(pmpm_paid) over w as prev_month_pmpm,
+          round((pmpm_paid - lag(pmpm_paid) over w) / nullif(lag(pmpm_paid) over w, 0) * 100, 1) + 0.0 as mom_change_pct
+        from priced window w as (partition by plan_type, metal_level order by claim_month)""", all_members=ALL_MEMBERS),
+    "pmpm_by_enrolment_all_plans": with_views(f"""
+        with covered as (
+          select *, unnest(generate_series(date_trunc('month', s)::date,
+              date_trunc('month', case when e = date '9999-12-31' then date '{AS_OF}' else e end)::date,
+              interval 1 month))::date as coverage_month
+          from all_members where e >= date '{AS_OF}'),
+        one as (
+          select * from covered qualify row_number() over (partition by mem_id, coverage_month
+            order by s desc, plan_type desc, metal_level desc) = 1),
+        monthly as (
+          select mem_id, date_trunc('month', claim_date)::date as coverage_month, sum(paid_amount) as paid
+          from member_claims group by all)
+        select coverage_month, plan_type, metal_level, count(*) as member_months,
+          {exact_mean('coalesce(sum(paid), 0)', 'count(*)', 2)} as pmpm_paid
+        from one left join monthly using (mem_id, coverage_month) group by 1, 2, 3""", all_members=ALL_MEMBERS),
+}

@@ -274,3 +274,16 @@ def test_null_keys_are_kept_and_counted_as_equal(spark):
     raw = rows.withColumns({c: F.lit(None).cast("string") for c in ("dob", "email", "phone", "zip_code", "covered_relation")})
     issues = staging.issue_flags(raw, F.lit("2024-01-01").cast("date"))
     assert {r.x: r.duplicate_id for r in issues.collect()} == {1: 1, 2: 1, 3: 0}
+
+
+def test_a_member_with_two_plans_costs_once(spark):
+    plans = "mem_id string, row_key int, dob string, plan_type string, metal_level string, effective_date string, termination_date string"
+    members = spark.createDataFrame([
+        ("a", 1, "1950-01-01", "HMO", "Gold", "2020-01-01", None), ("a", 2, "1950-01-01", "PPO", "Gold", "2020-03-15", None),
+    ], plans).withColumns({c: F.col(c).cast("date") for c in ("dob", "effective_date", "termination_date")})
+    claims = spark.sql("""select 'a' as mem_id, cast(d as date) as claim_date, cast(10 as decimal(12,2)) as paid_amount,
+        cast(10 as decimal(12,2)) as allowed_amount, cast(1 as decimal(12,2)) as member_copay
+        from values ('2019-12-01'), ('2020-02-01'), ('2020-03-01') v(d)""")
+    got = sorted((str(r.claim_month), r.plan_type, r.member_count) for r in playbook.pmpm_in_force(members, claims).collect())
+    assert got == [("2019-12-01", None, 1), ("2020-02-01", "HMO", 1), ("2020-03-01", "PPO", 1)]
+    assert [r.row_key for r in playbook.one_per_member(members, F.lit("2020-02-01").cast("date")).collect()] == [1]
