@@ -2,12 +2,12 @@
 
 Labelled urls are those that a rule decides. The trees (MLlib) see lexical features only: lengths,
 depth, digit ratio, entropy, hyphens, parameter counts, host labels, and how common the host's
-suffixes are among all pages. They are fitted on ``TRAIN_ROWS`` labelled urls at most (smallest hash
-of the url) and judge every other url.
+suffixes are among all pages. They are fitted on ``TRAIN_ROWS`` different labelled urls at most (smallest hash
+of the url), each weighted by its pages, and judge every other url.
 
 Defined results: a null url, or one without ``://``, has empty host and path and no rule; the trees
-judge it by its features. If the labelled urls are all of one class, the rest gets that class;
-without any, the rest is allowed. Repeated rows are judged alike and kept. Columns of the input
+judge it by its features. If all labelled urls are of one class, the rest gets that class; if the
+smallest hashes are of one class only, each class gives half of the sample; without any label, the rest is allowed. Repeated rows are judged alike and kept. Columns of the input
 other than id and url are left out.
 """
 
@@ -19,7 +19,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carelattice.llm.frames import append
+from carelattice.llm.frames import append, stored
 from carelattice.llm.words import column_bytes
 
 #: Verdict, host, path.
@@ -90,15 +90,21 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     host, path = parts(F.col("__url"))
     base = base.withColumn("host", F.coalesce(host, F.lit(""))).withColumn("path", F.coalesce(path, F.lit("")))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    known = with_features(base.withColumn("rule", rule).withColumn("__said", verdict))
-    sample = known.where("__said is not null").orderBy(F.xxhash64("__url"), "__url", "page_id").limit(rows).select(
-        (F.col("__said") == "block").cast("double").alias("label"), "features")
-    classes = [r.label for r in sample.select("label").distinct().collect()]
+    base = base.withColumn("rule", rule).withColumn("__said", verdict)
+    known = with_features(base)
+    labelled = base.select("__url", "__said").where("__said is not null").groupBy("__url", "__said").agg(F.count("*").cast("double").alias("pages"))
+    classes = [r["__said"] for r in labelled.select("__said").distinct().collect()]
+    sample = labelled.orderBy(F.xxhash64("__url"), "__url").limit(rows)
+    if len(classes) == 2 and sample.select("__said").distinct().count() < 2:
+        sample, rare = (labelled.where(F.col("__said") == k).orderBy(F.xxhash64("__url"), "__url").limit(max(1, rows // 2)) for k in classes)
+        sample = sample.unionByName(rare)
+    sample = known.join(F.broadcast(sample.select("__url", "pages")), "__url").groupBy("__url").agg(
+        F.first((F.col("__said") == "block").cast("double")).alias("label"), F.first("pages").alias("pages"), F.first("features").alias("features"))
     if len(classes) < 2:
-        rest = "block" if classes == [1.0] else "allow"
+        rest = "block" if classes == ["block"] else "allow"
         judged = known.withColumn("block_score", F.lit(float(rest == "block")))
     else:
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, labelCol="label", featuresCol="features").fit(sample)
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, labelCol="label", featuresCol="features", weightCol="pages").fit(stored(sample, "urls"))
         judged = model.transform(known).withColumn("block_score", vector_to_array("probability")[1])
     said = F.coalesce("__said", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", "rule", said.alias("verdict"),

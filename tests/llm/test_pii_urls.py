@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from carelattice.llm import pii, urls
 from tests.llm import brute
@@ -98,3 +99,15 @@ def test_one_class_and_empty(spark, url, verdict):
     rows = spark.createDataFrame([(1, url), (2, "http://b.com/")], "page_id int, url string")
     assert {r.page_id: r.verdict for r in urls.judge(rows).collect()} == {1: verdict, 2: verdict}
     assert urls.judge(rows.limit(0)).count() == 0
+
+
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    """Copies of the url with the smallest hash are one row of the sample: the trees still see both classes."""
+    few = [f"http://a{k}.net/" for k in range(20)] + [f"http://b{k}.org/fr/page{k}" for k in range(20)]
+    order = spark.createDataFrame([(u,) for u in few], "url string").orderBy(F.xxhash64("url")).collect()
+    rows = few + [order[0].url] * 200 + ["http://c.com/"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id int, url string")
+    got = {r.page_id: r for r in urls.judge(pages, rows=40).collect()}
+    assert 0 < got[len(rows) - 1].block_score < 1
+    got = {r.page_id: r for r in urls.judge(pages, rows=2).collect()}
+    assert len(got) == len(rows) and 0 < got[len(rows) - 1].block_score < 1
