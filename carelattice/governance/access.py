@@ -174,21 +174,27 @@ PHI_NAMES = ["patient_id", "encounter_id", "device_id", "person_id", "mrn", "ssn
 
 
 def phi_fields_present(value: Column) -> Column:
-    """Paths of the encrypted protected fields in a JSON message, two levels deep."""
-    as_map = "map<string,string>"
-    top = F.map_entries(F.from_json(value, as_map))
-    named = F.transform(top, lambda e: F.struct(e["key"].alias("path"), e["key"].alias("name"), e["value"].alias("value")))
-    inner = F.flatten(F.transform(
-        F.filter(top, lambda e: e["value"].startswith("{") & ~is_envelope(e["value"])),
-        lambda e: F.transform(
-            F.coalesce(F.map_entries(F.from_json(e["value"], as_map)), F.array().cast("array<struct<key:string,value:string>>")),
-            lambda i: F.struct(F.concat(e["key"], F.lit("."), i["key"]).alias("path"), i["key"].alias("name"), i["value"].alias("value")),
-        ),
-    ))
+    """Paths of the encrypted protected fields in a JSON message, at any depth: one step a level, and no
+    message has more levels than braces."""
+    kind = "array<struct<path:string,name:string,value:string>>"
+
+    def fields_of(text: Column, prefix: Column) -> Column:
+        entries = F.coalesce(
+            F.map_entries(F.from_json(text, "map<string,string>")), F.array().cast("array<struct<key:string,value:string>>"))
+        return F.transform(entries, lambda e: F.struct(
+            F.concat(prefix, e["key"]).alias("path"), e["key"].alias("name"), e["value"].alias("value")))
+
+    def deeper(state: Column, _: Column) -> Column:
+        objects = F.filter(state["last"], lambda e: e["value"].startswith("{") & ~is_envelope(e["value"]))
+        found = F.flatten(F.transform(objects, lambda e: fields_of(e["value"], F.concat(e["path"], F.lit("."))))).cast(kind)
+        return F.struct(F.concat(state["all"], found).alias("all"), found.alias("last"))
+
+    top = fields_of(value, F.lit("")).cast(kind)
+    braces = F.length(value) - F.length(F.replace(value, F.lit("{"), F.lit("")))
+    levels = F.sequence(F.lit(1), F.greatest(F.coalesce(braces, F.lit(1)), F.lit(1)))
+    every = F.aggregate(levels, F.struct(top.alias("all"), top.alias("last")), deeper, lambda state: state["all"])
     protected = F.filter(
-        F.concat(named, inner),
-        lambda f: is_envelope(f["value"]) & (f["path"].isin(list(REGISTRY)) | f["name"].isin(PHI_NAMES)),
-    )
+        every, lambda f: is_envelope(f["value"]) & (f["path"].isin(list(REGISTRY)) | f["name"].isin(PHI_NAMES)))
     return F.transform(protected, lambda f: f["path"])
 
 

@@ -139,6 +139,18 @@ def phi_audit(spark, sf):
                           F.array_join("fields", ",").alias("fields"))
 
 
+def phi_audit_nested(spark, sf):
+    """Encrypted identifiers one, three and five levels deep."""
+    events = view(spark, sf, "device_readings").select("event_id", "ts", "patient_id", "device_id")
+    sealed = phi.encrypt_phi(events, "event", ring(spark))
+    deep = F.struct(F.struct("patient_id", F.struct(F.struct("device_id").alias("d")).alias("c")).alias("b"))
+    messages = sealed.select(
+        F.lit("iot.nested").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"), F.lit("k").alias("key"), F.to_json(F.struct("device_id", deep.alias("a"))).alias("value"))
+    return access.phi_access_audit(messages, "etl").select(
+        F.col("context")["offset"].cast("long").alias("offset"), F.array_join("fields", ",").alias("fields"))
+
+
 QUERIES = {
     "phi_roundtrip": phi_roundtrip,
     "phi_leak_check": phi_leaks,
@@ -154,6 +166,7 @@ QUERIES = {
     "audit_query": audit_query,
     "audit_rollup": audit_rollup,
     "phi_access_audit": phi_audit,
+    "phi_access_audit_nested": phi_audit_nested,
 }
 
 
@@ -233,4 +246,9 @@ ORACLES = {
         select event_id as "offset", 'iot.telemetry' as resource_id, 'read' as action,
           case when event_id % 4 > 0 then 'patient_id,device_id' else 'device_id' end as fields
         from device_readings where event_id % 5 <> 0"""),
+    "phi_access_audit_nested": oracle("""
+        select event_id as "offset", concat_ws(',', case when device_id is not null then 'device_id' end,
+          case when patient_id is not null then 'a.b.patient_id' end,
+          case when device_id is not null then 'a.b.c.d.device_id' end) as fields
+        from device_readings where patient_id is not null or device_id is not null"""),
 }

@@ -166,3 +166,11 @@ def test_governed_read_projects_masks_and_audits(spark, tmp_path):
     assert {(r.resource_id, r.outcome) for r in audit.collect()} == {("omcdm_person", "success"), ("person", "denied")}
     assert access.audit_query(audit, actor_id="ds", limit=1).count() == 1
     assert access.audit_csv(audit).filter("resource_id = 'omcdm_person'").first().fields == "omcdm_person.mrn,omcdm_person.year_of_birth"
+
+
+def test_protected_fields_are_found_at_any_depth(spark):
+    sealed = '{\\"v\\":1,\\"kid\\":\\"k1\\",\\"ct\\":\\"x\\",\\"n\\":\\"y\\",\\"alg\\":\\"z\\"}'
+    text = '{"mrn":"%s","a":{"b":{"c":{"d":{"e":{"ssn":"%s","note":"%s"}}},"phone":"%s"}}}' % ((sealed,) * 4)
+    df = spark.createDataFrame([(text,), (None,), ("[1]",)], "value string")
+    got = [r[0] for r in df.select(access.phi_fields_present(F.col("value"))).collect()]
+    assert sorted(got[0]) == ["a.b.c.d.e.ssn", "a.b.phone", "mrn"] and not got[1] and not got[2]
