@@ -151,6 +151,10 @@ QUERIES = {
     "orphan_events": lambda s, d: joins.orphans(
         load(s, d, "events")[0].select("event_id", F.col("user_id").alias("o_custkey")),
         load(s, d, "orders")[0].filter("o_orderkey % 3 = 0").select("o_custkey"), "o_custkey"),
+    "orphan_events_planted": lambda s, d: joins.orphans(
+        load(s, d, "events")[0].select("event_id", F.when(F.col("event_id") % 7 == 0, -1 - F.col("event_id"))
+                                       .otherwise(F.col("user_id")).alias("o_custkey")),
+        load(s, d, "orders")[0].select("o_custkey"), "o_custkey"),
     "flagged_members": lambda s, d: joins.flag_member_of(
         view(s, d, "eligibility").select("mem_id", "row_key"),
         claims(s, d).filter("paid_amount > 390000"), "mem_id", "has_large_claim"),
@@ -239,6 +243,9 @@ ORACLES = {
     "orphan_events": oracle("""
         select event_id, user_id as o_custkey from events
         where user_id not in (select o_custkey from orders where o_orderkey % 3 = 0)"""),
+    "orphan_events_planted": oracle("""
+        with planted as (select event_id, case when event_id % 7 = 0 then -1 - event_id else user_id end as o_custkey from events)
+        select event_id, o_custkey from planted where o_custkey not in (select o_custkey from orders)"""),
     "flagged_members": oracle("""
         select mem_id, row_key, case when mem_id in (select mem_id from member_claims where paid_amount > 390000)
           then 1 else 0 end as has_large_claim from eligibility"""),

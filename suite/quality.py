@@ -30,6 +30,14 @@ def model_tests(spark, sf):
     })
 
 
+def model_tests_facts(spark, sf):
+    """The five models that ``model_tests`` leaves out."""
+    return quality.model_tests({
+        "omop_condition": w.condition(spark, sf), "omop_drug": w.drug(spark, sf), "omop_measurement": w.measurement(spark, sf),
+        "medication_adherence": w.adherence(spark, sf), "condition_drug_pairs": w.condition_drug_pairs(spark, sf),
+    })
+
+
 def warehouse_checks(spark, sf):
     return quality.warehouse_checks(
         w.stg_members(spark, sf), w.person(spark, sf), w.condition(spark, sf), w.visit(spark, sf))
@@ -64,6 +72,7 @@ ORDER = lambda: [F.col("row_key")]
 
 QUERIES = {
     "model_tests": model_tests,
+    "model_tests_facts": model_tests_facts,
     "warehouse_checks": warehouse_checks,
     "contract_quality": contract_quality,
     "contract_conformance": conforms,
@@ -135,6 +144,25 @@ MODEL = [
         "plan_type not in ('HMO', 'PPO', 'EPO', 'HDHP', 'POS')") + "roster",
     unique("member_roster", "roster", "member_id"),
 ]
+FACTS = [
+    *nulls("omop_condition", "o_condition", "condition_occurrence_id person_id condition_concept_id condition_start_date "
+           "condition_type_concept_id ccs_category"),
+    unique("omop_condition", "o_condition", "condition_occurrence_id"),
+    *nulls("omop_drug", "o_drug", "drug_exposure_id person_id drug_concept_id drug_exposure_start_date "
+           "drug_type_concept_id drug_source_value drug_code_type"),
+    unique("omop_drug", "o_drug", "drug_exposure_id"),
+    *nulls("omop_measurement", "o_measurement", "measurement_id person_id measurement_concept_id measurement_date "
+           "measurement_datetime value_as_number measurement_category"),
+    unique("omop_measurement", "o_measurement", "measurement_id"),
+    *nulls("medication_adherence", "adhered", "person_id drug_source_value pdc_score adherence_category fill_count "
+           "observation_window_days"),
+    row("accepted_values_adherence_category", "medication_adherence", "adherence_category",
+        "adherence_category not in ('adherent', 'partially_adherent', 'non_adherent')") + "adhered",
+    *nulls("condition_drug_pairs", "pairs", "person_id condition_source_value drug_source_value first_condition_onset "
+           "first_drug_for_condition days_from_onset_to_drug treatment_lag_bucket drug_fills_for_condition"),
+    row("accepted_values_treatment_lag_bucket", "condition_drug_pairs", "treatment_lag_bucket",
+        "treatment_lag_bucket not in ('same_day', 'within_week', 'within_month', 'within_quarter', 'after_quarter')") + "pairs",
+]
 WAREHOUSE = [
     *nulls("stg_members", "staged", "member_id first_name last_name date_of_birth state"),
     row("matches_zip_code", "stg_members", "zip_code", "not regexp_matches(zip_code, '^[0-9]{5}$')") + "staged",
@@ -207,6 +235,8 @@ GAPS = " + ".join(f"case when trim(coalesce({c}, '')) = '' then 1 else 0 end" fo
 
 ORACLES = {
     "model_tests": oracle(" union all ".join(MODEL), roster=w.ROSTER),
+    "model_tests_facts": oracle(
+        " union all ".join(FACTS), adhered=w.ORACLES["medication_adherence"], pairs=w.ORACLES["condition_drug_pairs"]),
     "warehouse_checks": oracle(" union all ".join(WAREHOUSE)),
     "contract_quality": oracle(" union all ".join(CONTRACT)),
     "contract_conformance": oracle(" union all ".join(CONFORMS)),
