@@ -1,15 +1,14 @@
-"""Quality classifier: a factorisation machine over hashed words, structure and metadata.
+"""Quality classifier: a factorisation machine over hashed words and structure.
 
 Features of a text: hashed words with weight 1 / sqrt(words); structure statistics (length,
-characters a word, shares of symbols, digits, capitals, line breaks, repeated words and lines); as
-metadata the length column of the table, if given. Pairwise interactions have rank ``RANK`` and are
+characters a word, shares of symbols, digits, capitals, line breaks, repeated words and lines). Metadata
+columns of the table, such as its length column, are not read. Pairwise interactions have rank ``RANK`` and are
 scored in linear time by the sum-of-squares identity:
 sum over pairs of <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i x_i|^2) / 2.
 Trained by AdaGrad on ``TRAIN_ROWS`` labelled rows at most (smallest hash of the id), dealt to
 ``SHARDS`` Spark groups of bounded size; the score is the mean of the shards' machines.
 
-Defined results: null and empty texts have the structure of an empty text and get a score; a null
-length counts as the text's own; without labelled rows all scores are 0.5; repeated rows get equal
+Defined results: null and empty texts have the structure of an empty text and get a score; without labelled rows all scores are 0.5; repeated rows get equal
 scores; clashing columns are replaced. Labels, lang, source and doc_id are never inputs.
 """
 
