@@ -1,8 +1,8 @@
 """Personal data: base patterns, and more spans by weak supervision.
 
 Base kinds are found by their rules (leftmost, not overlapping, failing matches dropped). Other
-candidates are the pieces between blanks and quotes that hold a digit or an @. Labelers (regex,
-gazetteer and context rules) vote on each candidate: personal (1), not (-1), or no opinion (0).
+candidates are the pieces between blanks and quotes that hold a digit or an @. Labelers (shape,
+entropy and context rules; there is no gazetteer) vote on each candidate: personal (1), not (-1), or no opinion (0).
 Expectation-maximisation over all candidates of the corpus estimates each labeler's reliability (votes
 independent given the class); the posteriors train a logistic span classifier, which decides on
 every candidate that overlaps no base span. Spark counts (votes, features) per batch and sums
