@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carelattice.llm import byte_bpe, context_tree, decontaminate, jaccard, pii, quality_model, quality_rules, substrings, toxicity, urls
+from carelattice.llm import (
+    byte_bpe, circulant, context_tree, decontaminate, hard_negatives, jaccard, pii, quality_model, quality_rules, runs, substrings, toxicity, urls)
 from carelattice.llm.frames import held_out
 
 
@@ -71,7 +72,41 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(5).alias("held_out"), "score", "predicted")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """The texts of every tenth id (by crc32) made periodic from a word on; a null id's text stays."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("bigint").alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, g % n, null)"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    text = F.expr("array_join(transform(sequence(0, cast(n as int) - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_lcp_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(planted(texts(spark, sf_dir)))
+    top = F.expr("""aggregate(slice(runs, 2, greatest(size(runs) - 1, 1)), runs[0],
+        (m, r) -> if(r.length * m.period > m.length * r.period, r, m))""")
+    text = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("top", F.when(F.size("runs") > 0, top))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_maximus_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_copies(texts(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_context_tree, op2_compression_bands, op3_byte_bpe, op4_simhash_windows, op5_url_trees, op6_jaccard_join, op7_super_kmers, op8_weak_supervision, op9_ftrl_toxicity, op10_factorisation_machine,
+    op11_lcp_kruskal_runs, op12_maximus_negatives, op13_circulant_minhash,
 )}
-ORACLES: dict[str, str] = {"op4_simhash_windows": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op4_simhash_windows": decontaminate.ORACLE, "op12_maximus_negatives": hard_negatives.ORACLE}
