@@ -11,9 +11,11 @@ more, as connected components.
 4. Star rounds: in each bucket that still holds two components, each class is compared with one lead of
    another component. Rounds go on until one finds no link (``ROUNDS`` at most, which decides cost only).
    In large groups of near copies nearly all classes end in one component without pairs among them.
-5. What is left, every pair of classes in a bucket that lies in two components, is compared at the first band
+5. Between rounds, classes that can't have a link out of their component leave: of a class's shingles, only those
+   that a class of another component holds, too, can be common, and these must be 80 % of its set.
+6. What is left, every pair of classes in a bucket that lies in two components, is compared at the first band
    that the two share, once.
-6. Every comparison is exact, on the full sets; those whose sizes alone rule out a link are not made.
+7. Every comparison is exact, on the full sets; those whose sizes alone rule out a link are not made.
 
 A class is told by 64 bits of its set, a shingle by 64 bits of its words: of 10**9 different sets, two
 fall together with a probability of about 3 %.
@@ -25,6 +27,8 @@ null; ``kept`` is true where id and component are the same, nulls included. Othe
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -106,9 +110,9 @@ def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, class bigint, bands array<bigint>")
 
 
-def shared_bands(sets: DataFrame) -> DataFrame:
-    """(bucket, class, n, shared, bands): the buckets of two classes or more; ``shared`` is how many of them the
-    class is in, ``bands`` the class's keys of such buckets."""
+def shared_bands(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, class, n, shared): the buckets of two classes or more; ``shared`` is how many of them the class is in.
+    And (class, bands): the keys of such buckets of each class."""
     once = sets.where("size(bands) > 0").select("class", "n", "bands")
     buckets = once.select(F.explode("bands").alias("bucket"), "class").groupBy("bucket").agg(
         F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
@@ -129,9 +133,9 @@ def shared_bands(sets: DataFrame) -> DataFrame:
                 names=["class", "n", "bands"])
 
     found = stored(once.mapInArrow(run, "class bigint, n bigint, bands array<bigint>").dropDuplicates(["class"]), "banded")
-    rows = found.select("class", "n", F.size("bands").alias("shared"), "bands", F.explode("bands").alias("bucket"))
+    rows = found.select("class", "n", F.size("bands").alias("shared"), F.explode("bands").alias("bucket"))
     again = rows.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    return stored(rows.join(again, "bucket"), "buckets")
+    return stored(rows.join(again, "bucket"), "buckets"), found.select("class", "bands")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -166,13 +170,22 @@ def _sizes_fit(a: str, b: str) -> F.Column:
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT
 
 
-def mixed_rows(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Rows of the buckets that hold two components, with the class's root."""
-    if roots is None:
-        return rows.withColumn("root", F.col("class"))
-    rooted = rows.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    return rooted.join(mixed, "bucket")
+def mixed_rows(rows: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """Rows of the buckets that hold two components, with the class's root (``roots`` None: as it is)."""
+    if roots is not None:
+        rows = rows.drop("root").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return rows.join(mixed, "bucket")
+
+
+def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mixed rows of classes that can have a link out of their component, and these classes' sets."""
+    held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
+    flat = held.select("class", "n", "root", F.explode("shingles").alias("s"))
+    spread = flat.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("s")
+    count = flat.join(spread, "s", "left_semi").groupBy("class", "n").agg(F.count("*").alias("common"))
+    left = stored(count.where(F.expr(f"100 * common >= {PERCENT} * n")).select("class"), "classes")
+    return mixed_rows(rows.join(left, "class", "left_semi")), held.select("class", "shingles").join(left, "class", "left_semi")
 
 
 def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
@@ -188,8 +201,9 @@ def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return met.where(_sizes_fit("a", "b")).select(*_pair("a", "b")).distinct()
 
 
-def crossing_pairs(rows: DataFrame) -> DataFrame:
+def crossing_pairs(rows: DataFrame, bands: DataFrame) -> DataFrame:
     """Pairs of a bucket that lie in two components, at the first bucket that the two share."""
+    rows = stored(rows.join(bands, "class"), "crossing")
     groups = rows.groupBy("bucket", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     g, h = groups.alias("g"), groups.alias("h")
     meet = g.join(h, (F.col("g.bucket") == F.col("h.bucket")) & (F.col("g.root") < F.col("h.root")) & (
@@ -214,27 +228,28 @@ def members(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS) -
     sets share root 0 and are linked with nothing."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stored(signed(docs, n, bands, rows), "signed")
-    buckets = shared_bands(sets)
+    buckets, keys = shared_bands(sets)
     full = stored(full_sets(docs, buckets.select("class").distinct(), n), "sets")
-    links = tested = roots = None
-    for turn in range(ROUNDS):
-        mixed = mixed_rows(buckets, roots)
-        mixed = mixed if roots is None else stored(mixed, "mixed")
-        pairs = star_pairs(mixed, turn)
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = stored(linked(pairs, full), "found")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        links = found if links is None else links.unionByName(found)
-        if not found.limit(1).count():
+    mixed, links, tested, roots, new = buckets.withColumn("root", F.col("class")), [], [], None, True
+    for turn in range(ROUNDS + 1):
+        if turn:
+            mixed, full = still_open(stored(mixed_rows(mixed, roots), "mixed"), full)
+            mixed = stored(mixed, "mixed")
+            if not mixed.limit(1).count():
+                break
+            full = stored(full, "sets")
+        last = not new or turn == ROUNDS  # the last turn takes all pairs that are left
+        pairs = crossing_pairs(mixed, keys) if last else star_pairs(mixed, turn)
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        links.append(stored(linked(pairs, full), "found"))
+        tested.append(pairs.select("a", "b"))
+        new = links[-1].limit(1).count() > 0
+        if new or roots is None:
+            roots = stored(components(reduce(DataFrame.unionByName, links)), "roots")
+        if last:
             break
-        roots = stored(components(links), "roots")
-    mixed = stored(mixed_rows(buckets, roots), "mixed")
-    pairs = crossing_pairs(mixed).join(tested, ["a", "b"], "left_anti")
-    rest = stored(linked(stored(pairs, "pairs"), full), "found")
-    if rest.limit(1).count():
-        roots = components(links.unionByName(rest))
-    elif roots is None:
-        roots = components(links)
     found = sets.select("doc_id", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     return found.withColumn("root", F.coalesce("root", "class"))
 
