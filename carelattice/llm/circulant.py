@@ -9,12 +9,16 @@ more, as connected components.
 3. Documents with equal sets are one class; all further work is on classes that share a band's bucket with
    another class.
 4. Star rounds: in each bucket that still holds two components, each class is compared with one lead of
-   another component. Rounds go on until one finds no link (``ROUNDS`` at most, which decides cost only).
+   another component. Rounds go on until one finds no link (``ROUNDS`` at most; their number decides cost only).
    In large groups of near copies nearly all classes end in one component without pairs among them.
-5. Between rounds, classes that can't have a link out of their component leave: of a class's shingles, only those
-   that a class of another component holds, too, can be common, and these must be 80 % of its set.
-6. What is left, every pair of classes in a bucket that lies in two components, is compared at the first band
-   that the two share, once.
+5. Between rounds, classes that can't have a link out of their component leave. In any order of the shingles, two
+   sets with m in common share one among the first n - m + 1 of either. The order: shingles that one component
+   alone holds, then the others by the number of holders. m follows from the own size and the partner's,
+   so each class has a prefix for each step of partners' sizes (``STEP`` apart). A class stays if one of its
+   prefix shingles is in the prefix of a class in another component, sizes fitting; outliers, whose own
+   shingles come first, leave.
+6. The last turn compares every pair of classes in two components that share such a prefix shingle. No link
+   between candidates can be missed here, so the components are those of all links among them.
 7. Every comparison is exact, on the full sets; those whose sizes alone rule out a link are not made.
 
 A class is told by 64 bits of its set, a shingle by 64 bits of its words: of 10**9 different sets, two
@@ -27,6 +31,7 @@ null; ``kept`` is true where id and component are the same, nulls included. Othe
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -43,7 +48,8 @@ N = 2
 PERCENT = 80
 ROWS = 6
 BANDS = 40
-ROUNDS = 6
+ROUNDS = 3
+STEP = 1.05
 LOOKS = 1 << 14   # shingles whose coordinates are computed at once
 
 
@@ -110,9 +116,8 @@ def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, class bigint, bands array<bigint>")
 
 
-def shared_bands(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bucket, class, n, shared): the buckets of two classes or more; ``shared`` is how many of them the class is in.
-    And (class, bands): the keys of such buckets of each class."""
+def shared_bands(sets: DataFrame) -> DataFrame:
+    """(bucket, class, n, shared): the buckets of two classes or more; ``shared`` is how many of them the class is in."""
     once = sets.where("size(bands) > 0").select("class", "n", "bands")
     buckets = once.select(F.explode("bands").alias("bucket"), "class").groupBy("bucket").agg(
         F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
@@ -135,7 +140,7 @@ def shared_bands(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = stored(once.mapInArrow(run, "class bigint, n bigint, bands array<bigint>").dropDuplicates(["class"]), "banded")
     rows = found.select("class", "n", F.size("bands").alias("shared"), F.explode("bands").alias("bucket"))
     again = rows.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    return stored(rows.join(again, "bucket"), "buckets"), found.select("class", "bands")
+    return stored(rows.join(again, "bucket"), "buckets")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -178,14 +183,34 @@ def mixed_rows(rows: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     return rows.join(mixed, "bucket")
 
 
-def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The mixed rows of classes that can have a link out of their component, and these classes' sets."""
+def size_step(n: F.Column) -> F.Column:
+    """Sizes within ``STEP`` of each other have the same number, or neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(STEP))).cast("int")
+
+
+def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What can have a link out of its component: prefix shingles (bucket, class, n, root, side), the mixed rows and
+    the sets of their classes. A bucket is a shingle and two steps of size; side -1 and 1 meet each other, 0 itself."""
     held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
-    flat = held.select("class", "n", "root", F.explode("shingles").alias("s"))
-    spread = flat.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("s")
-    count = flat.join(spread, "s", "left_semi").groupBy("class", "n").agg(F.count("*").alias("common"))
-    left = stored(count.where(F.expr(f"100 * common >= {PERCENT} * n")).select("class"), "classes")
-    return mixed_rows(rows.join(left, "class", "left_semi")), held.select("class", "shingles").join(left, "class", "left_semi")
+    flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
+    spread = flat.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("holders")).where("lo <> hi")
+    own = flat.join(spread.select("bucket", "holders"), "bucket").groupBy("class", "n", "root").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
+    sizes = F.sequence(size_step(F.ceil(F.col("n") * PERCENT / 100)), size_step(F.floor(F.col("n") * 100 / PERCENT)))
+    least = F.greatest(F.floor(F.exp(F.col("other") * F.lit(math.log(STEP))) * (1 - 1e-9)), F.ceil(F.col("n") * PERCENT / 100))
+    need = F.floor(((F.col("n") + least) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
+    places = F.size("l") - need + 1  # of the prefix, behind the component's own shingles
+    met = own.withColumn("step", size_step(F.col("n"))).withColumn("other", F.explode(sizes)).withColumn("places", places.cast("int"))
+    met = met.where("places > 0").select("class", "n", "root", "step", "other", F.explode(F.slice("l.bucket", 1, F.col("places"))).alias("s"))
+    first = stored(met.select(F.xxhash64("s", F.least("step", "other"), F.greatest("step", "other")).alias("bucket"), "class", "n", "root",
+                              F.signum(F.col("other") - F.col("step")).cast("int").alias("side")), "first")
+    ends = [f(F.when(F.col("side") == k, F.col("root"))).alias(f"{name}{k + 1}") for k in (-1, 0, 1) for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    met = first.join(first.groupBy("bucket").agg(*ends), "bucket")
+    partner = [(F.col("side") == k) & ((F.col(f"lo{1 - k}") != F.col("root")) | (F.col(f"hi{1 - k}") != F.col("root"))) for k in (-1, 0, 1)]
+    first = stored(met.where(F.coalesce(partner[0] | partner[1] | partner[2], F.lit(False))).select("bucket", "class", "n", "root", "side"), "first")
+    left = first.select("class").distinct()
+    return first, stored(mixed_rows(rows.join(left, "class", "left_semi")), "mixed"), stored(
+        held.select("class", "shingles").join(left, "class", "left_semi"), "sets")
 
 
 def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
@@ -201,19 +226,19 @@ def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return met.where(_sizes_fit("a", "b")).select(*_pair("a", "b")).distinct()
 
 
-def crossing_pairs(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in two components, at the first bucket that the two share."""
-    rows = stored(rows.join(bands, "class"), "crossing")
-    groups = rows.groupBy("bucket", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+def crossing_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of a bucket that lie in two components. Components meet first, then their classes."""
+    groups = rows.groupBy("bucket", "root", "side").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     g, h = groups.alias("g"), groups.alias("h")
     meet = g.join(h, (F.col("g.bucket") == F.col("h.bucket")) & (F.col("g.root") < F.col("h.root")) & (
-        F.col("g.hi") * 100 >= F.col("h.lo") * PERCENT) & (F.col("h.hi") * 100 >= F.col("g.lo") * PERCENT)).select(
-        "g.bucket", F.col("g.root").alias("ra"), F.col("h.root").alias("rb")).alias("m")
+        F.col("g.side") + F.col("h.side") == 0) & (F.col("g.hi") * 100 >= F.col("h.lo") * PERCENT) & (F.col("h.hi") * 100 >= F.col("g.lo") * PERCENT)).select(
+        "g.bucket", "g.side", F.col("g.root").alias("ra"), F.col("h.root").alias("rb")).alias("m")
     a, b = rows.alias("a"), rows.alias("b")
-    one = meet.join(a, (F.col("m.bucket") == F.col("a.bucket")) & (F.col("m.ra") == F.col("a.root"))).select("m.bucket", "m.rb", F.struct("a.class", "a.n", "a.bands").alias("a"))
-    first = F.element_at(F.array_intersect("a.bands", "b.bands"), 1) == F.col("b.bucket")
+    one = meet.join(a, (F.col("m.bucket") == F.col("a.bucket")) & (F.col("m.ra") == F.col("a.root")) & (
+        F.col("m.side") == F.col("a.side"))).select("m.bucket", "m.rb", "m.side", F.struct("a.class", "a.n").alias("a"))
     return one.alias("o").join(b, (F.col("o.bucket") == F.col("b.bucket")) & (F.col("o.rb") == F.col("b.root")) & (
-        F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * PERCENT) & first).select(*_pair("a", "b"))
+        F.col("o.side") + F.col("b.side") == 0) & _sizes_fit("a", "b")).select(
+        *_pair("a", "b")).distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,18 +253,17 @@ def members(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS) -
     sets share root 0 and are linked with nothing."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stored(signed(docs, n, bands, rows), "signed")
-    buckets, keys = shared_bands(sets)
+    buckets = shared_bands(sets)
     full = stored(full_sets(docs, buckets.select("class").distinct(), n), "sets")
     mixed, links, tested, roots, new = buckets.withColumn("root", F.col("class")), [], [], None, True
     for turn in range(ROUNDS + 1):
+        last = not new or turn == ROUNDS
         if turn:
-            mixed, full = still_open(stored(mixed_rows(mixed, roots), "mixed"), full)
-            mixed = stored(mixed, "mixed")
-            if not mixed.limit(1).count():
+            first, mixed, full = still_open(mixed_rows(mixed, roots), full)
+            if not first.limit(1).count():
                 break
-            full = stored(full, "sets")
-        last = not new or turn == ROUNDS  # the last turn takes all pairs that are left
-        pairs = crossing_pairs(mixed, keys) if last else star_pairs(mixed, turn)
+            last = last or not mixed.limit(1).count()
+        pairs = crossing_pairs(first) if last else star_pairs(mixed, turn)
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
