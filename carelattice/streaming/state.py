@@ -26,6 +26,7 @@ def _frame(**columns) -> pd.DataFrame:
 
 
 NEVER = -2**62
+JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 class LastN(StatefulProcessor):
@@ -74,10 +75,10 @@ def last_n_per_key(stream: DataFrame, key: Sequence[str], ts: str, tie: str, n:
     seconds = stream.sparkSession.sql(f"select unix_seconds(timestamp'1970-01-01 00:00:00Z' + interval {keep})").first()[0]
     rows = stream.where(F.col(ts).isNotNull()).withWatermark(ts, late).select(
         F.to_json(F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in key])).alias("key"), F.col(ts), _micros(ts).alias("at"),
-        F.coalesce(F.col(tie).cast("string"), F.lit("")).alias("tie"), F.to_json(F.struct(*stream.columns), {"ignoreNullFields": "false"}).alias("body"))
+        F.coalesce(F.col(tie).cast("string"), F.lit("")).alias("tie"), F.to_json(F.struct(*stream.columns), JSON).alias("body"))
     boards = rows.groupBy("key").transformWithStateInPandas(
         LastN(n, seconds * 1_000_000), "key string, place int, body string", "Update", "EventTime")
-    return boards.select(F.from_json("body", body).alias("r"), "place").select("r.*", "place")
+    return boards.select(F.from_json("body", body, JSON).alias("r"), "place").select("r.*", "place")
 
 
 def board_writer(path: str):
@@ -159,9 +160,9 @@ def silences(readings: DataFrame, key: Sequence[str], ts: str, limit_seconds: Co
     """
     fields = [f for f in readings.schema.fields if f.name in key]
     rows = readings.where(F.col(ts).isNotNull()).withWatermark(ts, late).select(
-        F.to_json(F.struct(*key), {"ignoreNullFields": "false"}).alias("key"), F.col(ts), _micros(ts).alias("at"),
-        (limit_seconds * 1_000_000).cast("bigint").alias("limit_us"))
+        F.to_json(F.struct(*key), JSON).alias("key"), F.col(ts), _micros(ts).alias("at"),
+        (limit_seconds.cast("bigint") * 1_000_000).alias("limit_us"))
     found = rows.groupBy("key").transformWithStateInPandas(
         Silence(), "key string, since long, due long", "Append", "EventTime")
-    return found.select(F.from_json("key", StructType(fields)).alias("k"), F.timestamp_micros("since").alias("silent_since"),
+    return found.select(F.from_json("key", StructType(fields), JSON).alias("k"), F.timestamp_micros("since").alias("silent_since"),
                         F.timestamp_micros("due").alias("due_at")).select("k.*", "silent_since", "due_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook", "warehouse", "quality", "population", "features", "governance", "streams"]
+MODULES = ["playbook", "warehouse", "quality", "population", "features", "governance", "streams", "topics"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -31,6 +31,7 @@ START = "date '1995-01-01' + cast((c_custkey * 13) % 1500 as int)"
 END = "date '1995-01-01' + cast((c_custkey * 13) % 1500 + (c_custkey * 17) % 2000 as int)"
 MEMBER = "concat('MEM', lpad(cast({} as string), 12, '0'))"
 ORDER_DAY = "cast(o_orderdate as date)"
+MESSAGE_DAY = "(date '2024-01-01' + cast(o_orderkey % 28 as int))"
 
 VIEWS = {
     "eligibility": f"""
@@ -146,6 +147,39 @@ VIEWS = {
             else concat('{"source":"monitor","event_id":"e', cast(event_id as string), '","event_time":"', replace(substring(cast(ts as string), 1, 19), ' ', 'T'), 'Z","patient_id":"', cast(user_id * 2 as string), '","heart_rate_bpm":', cast(30 + event_id % 130 as string), ',"spo2_pct":', cast(82 + event_id % 19 as string), ',"systolic_bp_mmHg":', cast(80 + event_id % 90 as string), '}')
           end as value
         from events""",
+    "raw_admissions": f"""
+        select 'healthcare.admissions' as topic, cast(o_custkey % 4 as int) as prt, o_orderkey as off, cast({MESSAGE_DAY} as timestamp) as sent_at,
+          case when o_orderkey % 31 = 6 then '[1, 2]' else concat('{{', case when o_orderkey % 31 = 7 then '' else '"source":"ehr",' end,
+            '"event_id":"a', cast(o_orderkey as string), '","event_time":"', cast({MESSAGE_DAY} as string), 'T10:00:00Z',
+            '","patient_id":"', cast(o_custkey as string), '","encounter_id":"e', cast(o_orderkey as string),
+            '","admission_type":"', case when o_orderkey % 31 = 0 then 'spa' else 'inpatient' end,
+            case when o_orderkey % 31 in (1, 7) then '' else '","facility_id":"f1' end,
+            '","chief_complaint":"', repeat('x', cast(case when o_orderkey % 31 = 2 then 501 else o_orderkey % 9 end as int)),
+            '","admit_time":"', case when o_orderkey % 31 = 3 then 'soon' else concat(cast({MESSAGE_DAY} as string), 'T08:00:00Z') end,
+            case when o_orderkey % 31 = 4 then '","disposition":"lost' else '","disposition":"home' end,
+            '","diagnosis_codes":', case when o_orderkey % 31 = 5 then '[1]' else '["I10"]' end,
+            case when o_orderkey % 2 = 0 then concat(',"discharge_time":"', cast({MESSAGE_DAY} as string), 'T20:00:00Z"') else '' end, '}}') end as value
+        from orders""",
+    "raw_labs": f"""
+        select 'healthcare.lab_results' as topic, cast(o_custkey % 4 as int) as prt, o_orderkey as off, cast({MESSAGE_DAY} as timestamp) as sent_at,
+          concat('{{"source":"lab_device","event_id":"l', cast(o_orderkey as string), '","patient_id":"', cast(o_custkey as string),
+            '","order_id":"o1', case when o_orderkey % 31 = 2 then '' else '","test_code":"c1' end, '","test_name":"n1","value_numeric":',
+            case when o_orderkey % 31 = 1 then '"high"' else cast(o_orderkey % 90 as string) end,
+            case when o_orderkey % 31 = 3 then ',"schema_version":"two"' else '' end,
+            case when o_orderkey % 31 = 0 then ',"abnormal_flag":"Q"' when o_orderkey % 5 = 0 then ',"abnormal_flag":"HH"'
+              when o_orderkey % 5 = 1 then ',"abnormal_flag":"LL"' when o_orderkey % 5 = 2 then ',"abnormal_flag":"AA"'
+              when o_orderkey % 5 = 3 then ',"abnormal_flag":"N"' else '' end,
+            ',"collected_at":"2024-01-01T00:00:00Z","resulted_at":"2024-01-01T01:00:00Z"}}') as value
+        from orders""",
+    "raw_telemetry": """
+        select case when event_id % 31 = 4 then 'other.topic' else 'iot.telemetry' end as topic, cast(user_id % 6 as int) as prt, event_id as off,
+          cast(ts as timestamp) as sent_at,
+          concat('{"source":"iot","event_id":"t', cast(event_id as string), '","event_time":"', replace(substring(cast(ts as string), 1, 19), ' ', 'T'), 'Z",',
+            case when event_id % 31 = 3 then '"patient_id":7' else concat('"patient_id":"', cast(user_id as string), '"') end,
+            ',"device_id":"d', cast(user_id as string), '","device_type":"', case when event_id % 31 = 0 then 'toaster' else 'wearable' end,
+            '","metrics":', case when event_id % 31 = 1 then '{"a":[1]}' else '{"heart_rate":70,"worn":true,"note":"x"}' end,
+            ',"battery_pct":', case when event_id % 31 = 2 then '150' else cast(event_id % 101 as string) end, '}') as value
+        from events""",
     "claim_forms": """
         select o_orderkey as doc_id, concat('EXPLANATION OF BENEFITS', chr(10), 'Claim ID: CLM', cast(o_orderkey as string), chr(10),
           'Member ID: MEM', cast(o_custkey as string), chr(10), 'Date of Service: ', cast(cast(o_orderdate as date) as string), chr(10),
