@@ -127,20 +127,20 @@ def local_contributions(model: GBTClassificationModel, df: DataFrame, key: str |
                         ) -> DataFrame:
     """Per row the k features that move its score most when set to the population mean.
 
-    This is single-feature ablation, not SHAP. Each row is scored once per feature in one
-    batched pass; the map per row has as many entries as there are features.
+    This is single-feature ablation, not SHAP. Each row is scored once per feature where it stands: the variants are
+    columns of the row, and no row is copied or moved.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    means = F.lit(df.agg(F.array(*[F.avg(c) for c in feature_columns(df)]).alias("m")).first().m)
-    base = score(model, df).select(*keys, "score", F.array(*feature_columns(df)).alias("x"))
-    variants = base.select(
-        *keys, F.col("score").alias("full"), F.posexplode(F.lit(FEATURES)).alias("i", "feature"), "x"
-    )
-    swapped = F.transform("x", lambda v, j: F.when(j == F.col("i"), means[j]).otherwise(v))
-    packed = variants.select(*keys, "full", "feature", array_to_vector(swapped).alias("features"))
-    effect = model.transform(packed).withColumn("effect", F.col("full") - vector_to_array("probability")[1])
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "effect"))))
-    return effect.groupBy(*keys).agg(top_contributions(entries, k).alias("top_feature_contributions"))
+    names = feature_columns(df)
+    means = df.agg(F.array(*[F.avg(c) for c in names]).alias("m")).scalar()
+    rows = score(model, df).select(*keys, F.col("score").alias("_full"), F.array(*names).alias("_x"), means.alias("_m"))
+    for i in range(len(FEATURES)):
+        swapped = F.transform("_x", lambda v, j: F.when(j == i, F.col("_m")[i]).otherwise(v))  # noqa: B023
+        variant = model.copy({model.featuresCol: "_v", model.probabilityCol: "_p", model.rawPredictionCol: "", model.predictionCol: ""})
+        rows = variant.transform(rows.withColumn("_v", array_to_vector(swapped)))
+        rows = rows.withColumn(f"_e{i}", F.col("_full") - vector_to_array("_p")[1]).drop("_v", "_p")
+    entries = F.array_sort(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_e{i}").alias("effect")) for i, f in enumerate(FEATURES)]))
+    return rows.select(*keys, top_contributions(F.map_from_entries(entries), k).alias("top_feature_contributions"))
 
 
 def feature_importances(model: GBTClassificationModel) -> dict[str, float]:

@@ -75,45 +75,50 @@ def global_stats(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """Exact quantiles with linear interpolation, as one row of columns q0, q1, ...
+BINS = 4096
+LEVELS = 3
 
-    A mergeable sketch brackets each wanted rank; the bracket is widened by the neighbouring
-    value on either side; values inside are counted exactly. Only the distinct values of a
-    bracket (about 4/accuracy of the distribution) are ever ordered together, and a value
-    that holds a large share of the rows is one row there.
+
+def _bin(v: Column, low: Column, high: Column) -> Column:
+    """Place of a value among ``BINS`` equal steps; never falls as values rise. NaN is the largest value."""
+    step = F.floor((v - low) / F.nullif(high - low, F.lit(0.0)) * BINS).cast("double")
+    inside = F.when(F.isnan(v) | (v >= high), BINS - 1).when(v <= low, 0).otherwise(F.coalesce(step, F.lit(0.0)))
+    return F.greatest(F.lit(0.0), F.least(F.lit(BINS - 1.0), inside)).cast("int")
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], levels: int = LEVELS) -> DataFrame:
+    """Exact quantiles with linear interpolation, as one row of columns q0, q1, ... NULLs do not count.
+
+    All quantiles narrow together: values are counted in ``BINS`` steps between the smallest and the largest
+    one, the step that holds a wanted rank is cut in ``BINS`` again, and after ``levels`` rounds the values
+    that are left are counted one by one (a value of very many rows is one row there). A round is one
+    aggregation over the table; only the brackets of the wanted ranks, two a quantile at most, go from one
+    to the next, by a broadcast of that many rows. The result is a plan: nothing runs before it is used.
     """
-    v = F.col(value).cast("double")
-    rows = df.select(v.alias("v")).filter("v is not null")
-    slack = 2.0 / accuracy
-    ends = [min(max(q + d, 0.0), 1.0) for q in qs for d in (-slack, slack)]
-    sketch = rows.agg(F.percentile_approx("v", ends, accuracy).alias("e")).first().e
-    if sketch is None:
-        return rows.agg(*[F.lit(None).cast("double").alias(f"q{i}") for i in range(len(qs))])
-    inner = [(sketch[2 * i], sketch[2 * i + 1]) for i in range(len(qs))]
-    widened = rows.agg(*[
-        a for i, (lo, hi) in enumerate(inner) for a in (
-            F.max(F.when(F.col("v") < lo, F.col("v"))).alias(f"lo{i}"),
-            F.min(F.when(F.col("v") > hi, F.col("v"))).alias(f"hi{i}"),
-        )
-    ]).first()
-    brackets = [
-        (lo if widened[f"lo{i}"] is None else widened[f"lo{i}"],
-         hi if widened[f"hi{i}"] is None else widened[f"hi{i}"])
-        for i, (lo, hi) in enumerate(inner)
-    ]
-    below = rows.agg(
-        F.count("v").alias("n"),
-        *[F.sum((F.col("v") < lo).cast("long")).alias(f"b{i}") for i, (lo, _) in enumerate(brackets)],
-    )
-    out = []
-    for i, (q, (lo, hi)) in enumerate(zip(qs, brackets)):
-        values = rows.filter(F.col("v").between(lo, hi)).groupBy("v").count()
-        upto = F.sum("count").over(Window.partitionBy(F.lit(i)).orderBy("v"))
-        ranked = values.withColumn("last", below.select(f"b{i}").scalar() + upto)  # 1-based rank
-        place = (below.select("n").scalar() - 1) * q
-        at = lambda rank: F.min(F.when(F.col("last") >= rank, F.col("v")))
-        pair = ranked.agg(at(F.floor(place) + 1).alias("a"), at(F.ceil(place) + 1).alias("b"),
-                          F.first(place - F.floor(place)).alias("w"))
-        out.append(pair.select(F.col("a") + (F.col("b") - F.col("a")) * F.col("w")).scalar().alias(f"q{i}"))
-    return below.select(*out)
+    rows = df.select(F.col(value).cast("double").alias("v")).where("v is not null")
+    finite = F.when(~F.isnan("v") & (F.abs("v") < float("inf")), F.col("v"))
+    figures = [F.count("v").alias("n"), F.min(finite).alias("low"), F.max(finite).alias("high"), F.min("v").alias("first"), F.max("v").alias("last")]
+    wanted = F.array(*[
+        F.struct(F.lit(2 * i + j).alias("i"), (F.ceil if j else F.floor)((F.col("n") - 1) * F.lit(float(q))).cast("long").alias("k"))
+        for i, q in enumerate(qs) for j in (0, 1)])
+    total = rows.agg(*figures)
+    brackets = total.withColumn("wanted", wanted).drop("n")
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("step"))  # of BINS rows, or of the values left
+    reached = F.filter("wanted", lambda r: (r["k"] >= F.col("upto") - F.col("n")) & (r["k"] < F.col("upto")))
+    inside = F.transform(reached, lambda r: F.struct(r["i"].alias("i"), (r["k"] - F.col("upto") + F.col("n")).alias("k")))
+    for level in range(levels + 1):
+        limits = F.broadcast(brackets.withColumnRenamed("first", "bracket"))
+        held = rows.join(limits, F.col("v").between(F.col("bracket"), F.col("last")))
+        held = held.withColumn("step", F.col("v") if level == levels else _bin(F.col("v"), F.col("low"), F.col("high")).cast("double"))
+        counts = held.select("v", "bracket", "step", "wanted").groupBy("bracket", "step").agg(*figures, F.first("wanted").alias("wanted"))
+        brackets = counts.withColumn("upto", upto).withColumn("wanted", inside).where(F.size("wanted") > 0).select("low", "high", "first", "last", "wanted")
+    found = brackets.select(F.col("first").alias("v"), F.explode("wanted").alias("r"))
+    pairs = found.agg(*[F.max(F.when(F.col("r.i") == i, F.col("v"))).alias(f"_{i}") for i in range(2 * len(qs))])
+    n = total.select("n").scalar()
+
+    def between(i: int, q: float) -> Column:
+        a, b = F.col(f"_{2 * i}"), F.col(f"_{2 * i + 1}")
+        place = (n - 1) * F.lit(float(q))
+        return F.when(a == b, a).otherwise(a + (b - a) * (place - F.floor(place))).alias(f"q{i}")
+
+    return pairs.select(*[between(i, q) for i, q in enumerate(qs)])

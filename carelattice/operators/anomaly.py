@@ -30,12 +30,10 @@ def zscore_flag(df: DataFrame, value: str, limit: float = 3.0) -> DataFrame:
 
 def iqr_flag(df: DataFrame, value: str, factor: float = 1.5) -> DataFrame:
     """1 outside [Q1 - factor*IQR, Q3 + factor*IQR], with exact quartiles."""
-    quartiles = exact_quantiles(df, value, [0.25, 0.75]).first()
-    if quartiles.q0 is None:
-        return df.withColumn("iqr_flag", F.lit(0))
-    spread = factor * (quartiles.q1 - quartiles.q0)
+    spread = F.lit(factor) * (F.col("q1") - F.col("q0"))
+    limits = exact_quantiles(df, value, [0.25, 0.75]).select(F.struct((F.col("q0") - spread).alias("low"), (F.col("q1") + spread).alias("high"))).scalar()
     v = F.col(value).cast("double")
-    outside = (v < quartiles.q0 - spread) | (v > quartiles.q1 + spread)
+    outside = (v < limits["low"]) | (v > limits["high"])
     return df.withColumn("iqr_flag", F.coalesce(outside, F.lit(False)).cast("int"))
 
 

@@ -108,18 +108,47 @@ def document_context(docs: DataFrame, name: str, pages: str = "pages") -> DataFr
     return docs.select(*[c for c in docs.columns if c != pages], F.concat(header, body).alias("context"))
 
 
-def bbox_extract(blocks: DataFrame, regions: DataFrame, doc: str = "doc_id") -> DataFrame:
+CELL = 200.0         # side of a grid cell, in the units of the page
+FEW_REGIONS = 10_000  # broadcast up to here
+SALTS = 64
+
+
+def _cells(x0: Column, y0: Column, x1: Column, y1: Column, cell: float) -> Column:
+    """The grid cells that a rectangle touches."""
+    side = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
+    return F.flatten(F.transform(side(x0, x1), lambda cx: F.transform(side(y0, y1), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+
+
+def region_hits(blocks: DataFrame, regions: DataFrame, doc: str = "doc_id", cell: float = CELL) -> DataFrame:
+    """Pairs of a block and a region that overlap on their page, each once.
+
+    Both are dealt to the cells of a grid, and only rectangles of one cell meet; the cell that holds the corner where their
+    overlap begins reports the pair. Regions that name a document meet the blocks of that document; others meet those of
+    all documents: they are broadcast up to ``FEW_REGIONS`` rows, and beyond that repeated over ``SALTS`` shares
+    of the documents, so that a page number that all documents have is no hot key."""
+    right, bottom = F.col("x") + F.col("width"), F.col("y") + F.col("height")
+    some = regions.withColumn("_cell", F.explode(_cells(F.col("x"), F.col("y"), right, bottom, cell)))
+    dealt = blocks.withColumn("_cell", F.explode(_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), cell)))
+    keys = ["page_number", "_cell"]
+    if doc in regions.columns:
+        keys.append(doc)
+    elif regions.limit(FEW_REGIONS + 1).count() <= FEW_REGIONS:
+        some = F.broadcast(some)
+    else:
+        keys.append("_salt")
+        some = some.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = dealt.withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(SALTS)).cast("int"))
+    overlaps = (F.col("x0") < right) & (F.col("x1") > F.col("x")) & (F.col("y0") < bottom) & (F.col("y1") > F.col("y"))
+    corner = F.struct(F.floor(F.greatest(F.least("x0", "x1"), F.least(F.col("x"), right)) / cell).alias("cx"),
+                      F.floor(F.greatest(F.least("y0", "y1"), F.least(F.col("y"), bottom)) / cell).alias("cy"))
+    return dealt.join(some, keys).where(overlaps & (F.col("_cell") == corner)).drop("_cell", "_salt")
+
+
+def bbox_extract(blocks: DataFrame, regions: DataFrame, doc: str = "doc_id", cell: float = CELL) -> DataFrame:
     """Text of the blocks that overlap each region of their page, in block order.
 
-    ``regions`` has region, page_number, x, y, width, height and may name a document; it is
-    joined on the page (and document), never on the inequalities alone."""
-    keys = ["page_number", *([doc] if doc in regions.columns else [])]
-    overlaps = (
-        (F.col("x0") < F.col("x") + F.col("width")) & (F.col("x1") > F.col("x"))
-        & (F.col("y0") < F.col("y") + F.col("height")) & (F.col("y1") > F.col("y"))
-    )
-    hits = blocks.join(regions, keys).filter(overlaps)
+    ``regions`` has region, page_number, x, y, width, height and may name a document."""
     found = F.array_sort(F.collect_list(F.struct("line_number", "text")))
-    return hits.groupBy(doc, "region").agg(
+    return region_hits(blocks, regions, doc, cell).groupBy(doc, "region").agg(
         F.trim(F.array_join(F.transform(found, lambda b: b["text"]), " ")).alias("text")
     )

@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 
 from carelattice.functions import columns as c
 from carelattice.operators.skew import Running, ordered_columns
-from carelattice.operators.windows import change_from_previous, merge_intervals
+from carelattice.operators.windows import change_from_previous, join_nullsafe, merge_intervals, top_k_per_group
+from carelattice.session import materialise
 
 MONEY = "decimal(28,6)"
 
@@ -183,13 +184,41 @@ def provider_metrics(claims: DataFrame, providers: DataFrame, since: Column | No
     )
 
 
+def near_top_values(rows: DataFrame, segment: str, value: str, k: int) -> DataFrame:
+    """(segment, _limit): the k-th largest different value of each segment (null if it has fewer). Spark cuts each
+    task's values to k a segment before the shuffle, so a segment of any size sends only these."""
+    values = rows.where(F.col(value).isNotNull()).select(segment, value).distinct()
+    top = top_k_per_group(values, [segment], [F.col(value).desc()], k)
+    least = top.groupBy(segment).agg(F.when(F.count(F.lit(1)) == k, F.min(value)).alias("_limit"))
+    return join_nullsafe(rows.select(segment).distinct(), least, [segment], "left")
+
+
+def rank_among(some: DataFrame, rows: DataFrame, segment: str, value: str, name: str) -> DataFrame:
+    """``some`` of the rows with their rank by descending value (ties share the better one) among all rows of their
+    segment. The rows are counted between the wanted values, which needs no order within a segment: a row is one
+    count in one of these ranges, combined before the shuffle."""
+    cuts = some.groupBy(segment).agg(F.array_sort(F.collect_set(value)).alias("_cuts"))  # of the few chosen rows
+    beaten = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    placed = join_nullsafe(rows.select(segment, value), cuts, [segment]).groupBy(segment, beaten.alias("_beats")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(value).alias("_known"))
+    counts = placed.groupBy(segment).agg(F.collect_list(F.struct("_beats", "_n")).alias("_counts"), F.sum("_known").alias("_known"))
+    joined = join_nullsafe(join_nullsafe(some, cuts, [segment]), counts, [segment])
+    above = F.aggregate(F.filter("_counts", lambda c: c["_beats"] >= F.array_position("_cuts", F.col(value))), F.lit(0).cast("long"),
+                        lambda total, c: total + c["_n"])
+    rank = F.when(F.col(value).isNull(), F.col("_known") + 1).otherwise(above + 1).cast("int")
+    return joined.withColumn(name, rank).drop("_cuts", "_counts", "_known")
+
+
 def provider_ranking(metrics: DataFrame, k: int = 10) -> DataFrame:
-    """Cost ranks within specialty and tier, review flag, ranks up to k."""
-    by_cost = F.col("total_paid").desc()
-    ranked = metrics.withColumns({
-        "cost_rank_in_specialty": F.rank().over(Window.partitionBy("specialty").orderBy(by_cost)),
-        "cost_rank_in_tier": F.rank().over(Window.partitionBy("tier").orderBy(by_cost)),
-    })
+    """Cost ranks within specialty and tier, review flag, ranks up to k. The metrics, one row a provider, are read
+    several times and so written once."""
+    metrics = materialise(metrics, "providers")
+    near = [near_top_values(metrics, segment, "total_paid", k) for segment in ("specialty", "tier")]
+    chosen = [join_nullsafe(metrics, limit, [segment]).where("total_paid >= _limit or _limit is null").select("provider_npi")
+              for segment, limit in zip(("specialty", "tier"), near)]
+    ranked = metrics.join(chosen[0].union(chosen[1]).distinct(), "provider_npi", "left_semi")
+    for segment in ("specialty", "tier"):
+        ranked = rank_among(ranked, metrics, segment, "total_paid", f"cost_rank_in_{segment}")
     flag = (
         F.when(F.col("cost_rank_in_specialty") <= 3, "High-Cost Specialty")
         .when(F.col("tier") == 3, "Out-of-Network")

@@ -27,27 +27,6 @@ def claim_running(spark, sf):
     return p.claim_running(*load(spark, sf, "member_claims"))
 
 
-def members(spark, sf):
-    (rows,) = load(spark, sf, "eligibility")
-    return rows.filter("row_key % 50 <> 49").select(
-        "mem_id", F.expr("try_cast(dob as date)").alias("dob"), F.upper("plan_type").alias("plan_type"),
-        "metal_level", "state",
-    )
-
-
-MEMBERS = """select mem_id, try_cast(dob as date) as dob, upper(plan_type) as plan_type, metal_level, state
-    from eligibility where row_key % 50 <> 49"""
-
-
-def hcc_risk(spark, sf):
-    claims, diagnoses = load(spark, sf, "member_claims", "diagnoses")
-    return p.hcc_risk(members(spark, sf), claims, diagnoses, seed(spark, "icd10_codes"), DAY("2000-09-01"))
-
-
-def pmpm(spark, sf):
-    return p.pmpm(members(spark, sf), *load(spark, sf, "member_claims"))
-
-
 def provider_metrics(spark, sf):
     return p.provider_metrics(*load(spark, sf, "claims", "providers"))
 
@@ -60,12 +39,6 @@ def readmissions(spark, sf):
     return p.readmissions(*load(spark, sf, "claims", "providers"), days=90, min_cases=10)
 
 
-def pmpm_by_enrolment(spark, sf):
-    (raw,) = load(spark, sf, "eligibility")
-    months = member_months(stg_members(raw.filter("row_key % 50 <> 49")), DAY(AS_OF))
-    return p.pmpm_by_enrolment(months, *load(spark, sf, "member_claims"))
-
-
 def all_members(spark, sf):
     """Every eligibility row; some members have two."""
     (rows,) = load(spark, sf, "eligibility")
@@ -97,12 +70,12 @@ def stays_with_next(spark, sf):
 QUERIES = {
     "enrollment_spans": enrollment_spans,
     "claim_running": claim_running,
-    "hcc_risk": hcc_risk,
+    "hcc_risk": hcc_risk_all_plans,
     "hcc_risk_all_plans": hcc_risk_all_plans,
-    "pmpm": pmpm,
+    "pmpm": pmpm_in_force,
     "pmpm_in_force": pmpm_in_force,
     "pmpm_by_enrolment_all_plans": pmpm_by_enrolment_all_plans,
-    "pmpm_by_enrolment": pmpm_by_enrolment,
+    "pmpm_by_enrolment": pmpm_by_enrolment_all_plans,
     "provider_metrics": provider_metrics,
     "provider_ranking": provider_ranking,
     "readmissions": readmissions,
@@ -147,55 +120,6 @@ ORACLES = {
         from member_claims
         window w as (partition by mem_id order by claim_date, claim_id
                      rows between unbounded preceding and current row)"""),
-    "hcc_risk": with_views("""
-        with history as (
-          select m.mem_id, m.dob, h.hcc_code, h.hcc_weight,
-            row_number() over (partition by m.mem_id, d.icd10_code order by c.claim_date desc, c.claim_id desc) as rn
-          from members m join member_claims c on m.mem_id = c.mem_id
-            join diagnoses d on c.claim_id = d.claim_id join hcc h on d.icd10_code = h.icd10_code
-          where c.claim_date >= date '1999-09-01'),
-        risk as (
-          select mem_id, dob, sum(hcc_weight) as weight, count(distinct hcc_code) as active_hcc_count,
-            case when date_sub('month', dob, date '2000-09-01') < 45 * 12 then 1.0
-                 when date_sub('month', dob, date '2000-09-01') < 65 * 12 then 1.4 else 2.0 end as factor
-          from history where rn = 1 group by mem_id, dob)
-        select mem_id, dob, cast(weight as double) as total_hcc_weight, active_hcc_count,
-          cast(factor as double) as demographic_factor,
-          cast(round(weight * cast(factor as decimal(3,1)), 2) as double) as risk_score,
-          case when round(weight * cast(factor as decimal(3,1)), 2) < 1 then 'Low'
-               when round(weight * cast(factor as decimal(3,1)), 2) < 2 then 'Moderate'
-               when round(weight * cast(factor as decimal(3,1)), 2) < 3 then 'High' else 'Very High' end as risk_category
-        from risk order by risk_score desc, mem_id limit 100""", members=MEMBERS, hcc=hcc_values()),
-    "pmpm": with_views(f"""
-        with cells as (
-          select date_trunc('month', c.claim_date) as claim_month, m.plan_type, m.metal_level,
-            count(distinct m.mem_id) as member_count,
-            cast(sum(c.paid_amount) as decimal(28,6)) as total_paid,
-            cast(sum(c.allowed_amount) as decimal(28,6)) as total_allowed,
-            cast(sum(c.member_copay) as decimal(28,6)) as total_copay
-          from member_claims c join members m on c.mem_id = m.mem_id group by all),
-        priced as (
-          select *, {exact_mean('total_paid','member_count',2)} as pmpm_paid,
-            {exact_mean('total_allowed','member_count',2)} as pmpm_allowed from cells)
-        select cast(claim_month as date) as claim_month, plan_type, metal_level, member_count, total_paid, total_allowed,
-          total_copay, pmpm_paid, pmpm_allowed, lag(pmpm_paid) over w as prev_month_pmpm,
-          round((pmpm_paid - lag(pmpm_paid) over w) / nullif(lag(pmpm_paid) over w, 0) * 100, 1) + 0.0 as mom_change_pct
-        from priced window w as (partition by plan_type, metal_level order by claim_month)""", members=MEMBERS),
-    "pmpm_by_enrolment": with_views(f"""
-        with covered as (
-          select mem_id, upper(plan_type) as plan_type, metal_level,
-            unnest(generate_series(date_trunc('month', effective_date::date)::date,
-              date_trunc('month', coalesce(try_cast(nullif(termination_date, 'Active') as date), date '{AS_OF}'))::date,
-              interval 1 month))::date as coverage_month
-          from eligibility
-          where row_key % 50 <> 49
-            and (termination_date = 'Active' or try_cast(termination_date as date) >= date '{AS_OF}')),
-        monthly as (
-          select mem_id, date_trunc('month', claim_date)::date as coverage_month, sum(paid_amount) as paid
-          from member_claims group by all)
-        select coverage_month, plan_type, metal_level, count(*) as member_months,
-          {exact_mean('coalesce(sum(paid), 0)', 'count(*)', 2)} as pmpm_paid
-        from covered left join monthly using (mem_id, coverage_month) group by 1, 2, 3"""),
     "provider_metrics": with_views(METRICS),
     "provider_ranking": with_views("""
         with ranked as (
@@ -288,3 +212,5 @@ ORACLES |= {
           {exact_mean('coalesce(sum(paid), 0)', 'count(*)', 2)} as pmpm_paid
         from one left join monthly using (mem_id, coverage_month) group by 1, 2, 3""", all_members=ALL_MEMBERS),
 }
+for _name, _full in {"hcc_risk": "hcc_risk_all_plans", "pmpm": "pmpm_in_force", "pmpm_by_enrolment": "pmpm_by_enrolment_all_plans"}.items():
+    ORACLES[_name] = ORACLES[_full]

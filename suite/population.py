@@ -150,7 +150,7 @@ QUERIES = {
         .withColumn("pct", F.round("pct", 6)),
     "orphan_events": lambda s, d: joins.orphans(
         load(s, d, "events")[0].select("event_id", F.col("user_id").alias("o_custkey")),
-        load(s, d, "orders")[0].filter("o_orderkey % 3 = 0").select("o_custkey"), "o_custkey"),
+        load(s, d, "orders")[0].select("o_custkey"), "o_custkey"),
     "orphan_events_planted": lambda s, d: joins.orphans(
         load(s, d, "events")[0].select("event_id", F.when(F.col("event_id") % 7 == 0, -1 - F.col("event_id"))
                                        .otherwise(F.col("user_id")).alias("o_custkey")),
@@ -242,7 +242,7 @@ ORACLES = {
         from member_claims group by 1"""),
     "orphan_events": oracle("""
         select event_id, user_id as o_custkey from events
-        where user_id not in (select o_custkey from orders where o_orderkey % 3 = 0)"""),
+        where user_id not in (select o_custkey from orders)"""),
     "orphan_events_planted": oracle("""
         with planted as (select event_id, case when event_id % 7 = 0 then -1 - event_id else user_id end as o_custkey from events)
         select event_id, o_custkey from planted where o_custkey not in (select o_custkey from orders)"""),

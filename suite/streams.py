@@ -9,7 +9,7 @@ from carelattice.functions.columns import as_of_date
 from carelattice.ml import readmission
 from carelattice.operators import documents
 from carelattice.session import scratch_dir
-from carelattice.streaming import silver, validate, windows
+from carelattice.streaming import silver, state, validate, windows
 from suite import features as ft
 from suite import warehouse as w
 from suite.views import AS_OF, VIEWS, load, view, with_views
@@ -83,15 +83,14 @@ def vitals_window(spark, sf):
 
 
 def vitals_window_stream(spark, sf):
-    """The window over a stream; append mode leaves out windows the watermark has not closed."""
+    """The window over a stream in update mode: the newest state of every window, open ones included."""
     out = scratch_dir(spark, "vitals")
     stream = validate.vitals_columns(validate.valid(validate.parse(as_messages(message_stream(spark, sf)))))
     query = (
-        windows.vitals_window(stream, "24 hours", None, "1 hour").writeStream.format("parquet")
-        .option("path", f"{out}/t").option("checkpointLocation", f"{out}/c").outputMode("append")
-        .trigger(availableNow=True).start())
+        windows.vitals_window(stream, "24 hours", None, "1 hour").writeStream.foreachBatch(state.board_writer(f"{out}/t"))
+        .option("checkpointLocation", f"{out}/c").outputMode("update").trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/t")
+    return state.current_boards(spark.read.parquet(f"{out}/t"), ["patient_id", "window_start"])
 
 
 def dedup_stream(spark, sf):
@@ -262,8 +261,7 @@ ORACLES = {
     "dead_letters": oracle(O_DLQ),
     "dead_letter_stream": oracle(O_DLQ),
     "vitals_window": oracle(WINDOWED),
-    "vitals_window_stream": oracle(
-        "select * from windowed where window_end <= (select max(event_time) from good) - interval 1 hour", windowed=WINDOWED),
+    "vitals_window_stream": oracle(WINDOWED),
     "dedup_stream": oracle('select topic, prt as partition, off as "offset" from raw_vitals'),
     "critical_alerts": oracle("""
         select partition, "offset", patient_id, 'critical_vitals' as alert from good

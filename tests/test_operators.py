@@ -172,10 +172,61 @@ def test_exact_quantiles_equal_numpy(spark, n, repeat):
     rng = random.Random(n)
     values = [round(rng.lognormvariate(3, 1), 2) for _ in range(n // repeat)] * repeat
     qs = [0.0, 0.25, 0.5, 0.95, 1.0]
-    got = aggregates.exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", qs, accuracy=50).first()
+    got = aggregates.exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", qs, levels=n % 3).first()
     assert list(got) == pytest.approx(np.quantile(values, qs).tolist())
 
 
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(v,) for v in (None, -inf, -1e300, -5.0, -0.0, 0.0, 1e-300, 2.0, 1e300, inf, nan)]
+    df = spark.createDataFrame(rows, "v double").repartition(3)
+    got = aggregates.exact_quantiles(df, "v", [k / 9 for k in range(10)]).first()
+    want = sorted((v for (v,) in rows if v is not None and v == v)) + [nan]
+    assert [repr(abs(x)) for x in got] == [repr(abs(x)) for x in want]
+    assert list(aggregates.exact_quantiles(df.where("v > 1e308"), "v", [0.5]).where("false").collect()) == []
+    assert aggregates.exact_quantiles(df.where("false"), "v", [0.5]).first().q0 is None
+
+
+def test_quantiles_run_nothing_while_planned(spark):
+    group = "quantile-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    plan = aggregates.exact_quantiles(spark.range(5000).selectExpr("cast(id * id as double) v"), "v", [0.05, 0.25, 0.5, 0.75, 0.95])
+    tracker = spark.sparkContext.statusTracker()
+    assert not tracker.getJobIdsForGroup(group)
+    assert plan.first().q2 == pytest.approx(np.quantile(np.arange(5000.0) ** 2, 0.5))
+    assert len(tracker.getJobIdsForGroup(group)) <= 20
+    spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 500])
+def test_ranks_within_segments_of_many_ties(spark, k):
+    rng = random.Random(k)
+    rows = [(i, "p", rng.choice("ab"), 1 + i % 3, 0, 0, rng.choice([None, *range(20)]), 0.0, 0.0) for i in range(400)]
+    schema = "provider_npi int, provider_name string, specialty string, tier int, total_claims int, unique_members int, total_paid int, cost_per_member double, avg_paid_per_claim double"
+    got = playbook.provider_ranking(spark.createDataFrame(rows, schema), k).toPandas()
+    table = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+    for name in ("specialty", "tier"):
+        table[f"cost_rank_in_{name}"] = table.groupby(name).total_paid.rank(method="min", ascending=False, na_option="bottom").astype(int)
+    want = table[(table.cost_rank_in_specialty <= k) | (table.cost_rank_in_tier <= k)]
+    columns = ["provider_npi", "cost_rank_in_specialty", "cost_rank_in_tier"]
+    assert sorted(map(tuple, got[columns].to_numpy().tolist())) == sorted(map(tuple, want[columns].to_numpy().tolist()))
+
+
+@pytest.mark.parametrize("cell, few, named", [(7.0, 10_000, False), (50.0, 0, False), (13.0, 10_000, True), (1e6, 0, False)])
+def test_overlaps_by_grid_cells(spark, monkeypatch, cell, few, named):
+    monkeypatch.setattr(documents, "FEW_REGIONS", few)
+    rng = random.Random(int(cell))
+    num = lambda: float(rng.randint(-30, 60))
+    blocks = [(rng.randint(1, 3), rng.randint(1, 2), i, f"t{i}", x := num(), y := num(), x + rng.randint(0, 40), y + rng.randint(0, 40)) for i in range(120)]
+    regions = [(f"r{i}", rng.randint(1, 2), num(), num(), float(rng.randint(-5, 50)), float(rng.randint(0, 50)), rng.randint(1, 3)) for i in range(25)]
+    b = spark.createDataFrame([*blocks, (1, 1, 500, "none", None, 0.0, 1.0, 1.0)], "doc_id int, page_number int, line_number int, text string, x0 double, y0 double, x1 double, y1 double")
+    r = spark.createDataFrame(regions, "region string, page_number int, x double, y double, width double, height double, doc_id int")
+    got = documents.region_hits(b, r if named else r.drop("doc_id"), cell=cell).select("line_number", "region").collect()
+    want = [(i, n) for d, p, i, _, x0, y0, x1, y1 in blocks for n, q, x, y, w, h, e in regions
+            if p == q and (not named or d == e) and x0 < x + w and x1 > x and y0 < y + h and y1 > y]
+    assert sorted(map(tuple, got)) == sorted(want) and want
+
+
 def test_isolation_forest_finds_planted_members(spark):
     rng = random.Random(5)
     rows = [(f"m{i}", rng.gauss(100, 5), i % 5 + 10, rng.gauss(10, 1), rng.gauss(2, 0.2)) for i in range(600)]
