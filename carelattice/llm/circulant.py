@@ -264,8 +264,8 @@ def members(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS) -
                 break
             last = last or not mixed.limit(1).count()
         pairs = crossing_pairs(first) if last else star_pairs(mixed, turn)
-        for before in tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         links.append(stored(linked(pairs, full), "found"))
         tested.append(pairs.select("a", "b"))
