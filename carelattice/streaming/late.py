@@ -46,8 +46,9 @@ def split_late_job(stream: DataFrame, ts: str, late: str, out_dir: str, checkpoi
 
 def rows(spark: SparkSession, out_dir: str, late: bool | None = None) -> DataFrame:
     """What the job has landed: all rows, only late ones, or only those on time; the partition is all that is read."""
-    found = spark.read.parquet(f"{out_dir}/rows")
-    return found if late is None else found.where(F.col("is_late") == late)
+    found = spark.read.parquet(f"{out_dir}/rows")  # a folder's name is text
+    kept = found if late is None else found.where(F.col("is_late") == F.lit(str(late).lower()))
+    return kept.withColumn("is_late", F.col("is_late") == "true")
 
 
 def counts(spark: SparkSession, out_dir: str) -> DataFrame:
