@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from carelattice.operators.skew import Running, ordered_columns
 
 
 def _lines(text: Column) -> Column:
@@ -97,7 +100,7 @@ def page_stats_from_blocks(blocks: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 
 def document_context(docs: DataFrame, name: str, pages: str = "pages") -> DataFrame:
-    """Header and pages as one text."""
+    """Header and pages as one text, for documents that fit a row (``context_chunks`` has no such limit)."""
     body = F.array_join(F.transform(pages, lambda p: F.concat(
         F.lit("## Page "), p["page_number"].cast("string"), F.lit("\n"), p["text"], F.lit("\n"))), "\n")
     chars = F.aggregate(pages, F.lit(0).cast("long"), lambda n, p: n + F.length(p["text"]))
@@ -108,6 +111,41 @@ def document_context(docs: DataFrame, name: str, pages: str = "pages") -> DataFr
     return docs.select(*[c for c in docs.columns if c != pages], F.concat(header, body).alias("context"))
 
 
+CHUNK_CHARS = 1_000_000
+
+
+def context_chunks(blocks: DataFrame, doc: str = "doc_id", limit: int = CHUNK_CHARS) -> DataFrame:
+    """The text of ``document_context`` in numbered chunks, straight from block rows: (doc, chunk, first_page, last_page, text).
+
+    The chunks of a document, put together by number, are its context. A chunk starts less than ``limit`` characters after the
+    one before it and is longer than ``limit`` by at most one block and its page heading; a document of up to ``limit``
+    characters is one chunk. No row, group or task holds a whole document: a block's place comes from running lengths (hot
+    documents are cut in ranges, see ``operators/skew.py``), and only the blocks of one chunk meet. Blocks without text count as
+    empty, blocks without a page number are left out.
+    """
+    rows = blocks.filter(F.col("page_number").isNotNull()).select(
+        doc, "page_number", "line_number", F.coalesce("text", F.lit("")).alias("text"))
+    here = ordered_columns(
+        rows, [doc], [F.col(c) for c in ("page_number", "line_number", "text")], running={"_at": Running("rows")},
+        framed={"_before": lambda w: F.lag("page_number").over(w), "_after": lambda w: F.lead("page_number").over(w)}, before=1, after=1)
+    page, opens = F.col("page_number"), ~F.col("page_number").eqNullSafe(F.col("_before"))
+    heading = F.concat(F.when(F.col("_before").isNull(), "").otherwise("\n"), F.lit("## Page "), page.cast("string"), F.lit("\n"))
+    closing = F.when(page.eqNullSafe(F.col("_after")), "").otherwise("\n")
+    pieces = here.select(doc, "_at", page, F.concat(F.when(opens, heading).otherwise("\n"), "text", closing).alias("text"))
+    headers = page_stats_from_blocks(rows, doc).select(
+        doc, F.lit(0).cast("long").alias("_at"), F.lit(None).cast(rows.schema["page_number"].dataType).alias("page_number"),
+        F.concat(F.lit("# Document: "), F.col(doc).cast("string"), F.lit("\nPages: "), F.col("total_pages").cast("string"),
+                 F.lit(" | Chars: "), F.col("total_chars").cast("string"), F.lit("\n\n")).alias("text"))
+    placed = ordered_columns(
+        headers.unionByName(pieces), [doc], [F.col("_at")],
+        running={"_chars": Running("sum", F.length("text").cast("long"), inclusive=False)})
+    chunk = placed.groupBy(doc, F.floor(F.col("_chars") / limit).alias("_cut")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "text"))), lambda b: b["text"]), "").alias("text"),
+        F.min("page_number").alias("first_page"), F.max("page_number").alias("last_page"))
+    numbered = Window.partitionBy(doc).orderBy("_cut")  # one row a chunk
+    return chunk.select(doc, F.row_number().over(numbered).alias("chunk"), "first_page", "last_page", "text")
+
+
 CELL = 200.0         # side of a grid cell, in the units of the page
 FEW_REGIONS = 10_000  # broadcast up to here
 SALTS = 64

@@ -131,14 +131,16 @@ def freshness(df: DataFrame, table: str, ts: str, as_of: Column, max_age_hours:
     ))
 
 
-def volume(df: DataFrame, table: str, previous_rows: int | None = None, low: int = 100,
+def volume(df: DataFrame, table: str, previous_rows: int | Column | None = None, low: int = 100,
            high: int = 10_000_000, delta_low: float = -0.10, delta_high: float = 0.25) -> DataFrame:
-    """Row-count bounds and, against the previous snapshot, relative change."""
+    """Row-count bounds and, against the previous snapshot, relative change. ``previous_rows`` may be a scalar
+    subquery on stored history; where it is NULL (no earlier day) only the bounds count."""
     counted = df.agg(F.count(F.lit(1)).alias("total"))
     good = F.col("total").between(low, high)
-    if previous_rows:
-        change = F.col("total") / previous_rows - 1
-        good = good & change.between(delta_low, delta_high)
+    if previous_rows is not None:
+        before = previous_rows if isinstance(previous_rows, Column) else F.lit(previous_rows)
+        change = F.col("total") / F.nullif(before, F.lit(0)) - 1
+        good = good & F.coalesce(change.between(delta_low, delta_high), F.lit(True))
     return counted.select(*_result(
         F.lit("volume"), table, F.lit("*"), F.lit("error"),
         F.when(good, F.lit(0)).otherwise(F.col("total")), F.col("total"), good,

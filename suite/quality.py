@@ -51,14 +51,6 @@ def conforms(spark, sf):
     return quality.conforms(eligibility(spark, sf), "eligibility")
 
 
-def freshness(spark, sf):
-    c = w.condition(spark, sf)
-    return quality.suite(
-        quality.freshness(c, "omop_condition", "condition_start_datetime", DAY(), 24),
-        quality.volume(c, "omop_condition", previous_rows=15000),
-    )
-
-
 def qa_report(spark, sf):
     return quality.qa_report(contract_quality(spark, sf))
 
@@ -76,7 +68,6 @@ QUERIES = {
     "warehouse_checks": warehouse_checks,
     "contract_quality": contract_quality,
     "contract_conformance": conforms,
-    "freshness_and_volume": freshness,
     "qa_report": qa_report,
     "issue_flags": lambda s, d: staging.issue_flags(eligibility(s, d), DAY()),
     "issue_summary": issue_summary,
@@ -86,8 +77,6 @@ QUERIES = {
         w.stg_members(s, d), quality.matches("zip_code", "^0[0-9]{4}$")),
     "duplicate_rows": lambda s, d: duplicates(eligibility(s, d), ["mem_id"]),
     "unique_flag": lambda s, d: unique_over(eligibility(s, d).select("mem_id", "row_key"), ["mem_id"]),
-    "column_profile": lambda s, d: aggregates.profile(eligibility(s, d).select(
-        "mem_id", "row_key", "dob", "email", "phone", "zip_code", "state"), distinct=False),
     "zip_issues_by_state": lambda s, d: aggregates.value_counts(
         staging.issue_flags(eligibility(s, d), DAY()).filter("zip_lost_zeros = 1"), "state"),
     "question_missing_email": lambda s, d: population.missing_email_count(eligibility(s, d)),
@@ -223,14 +212,6 @@ FLAGGED = f"""select *, case when count(*) over (partition by mem_id) > 1 then 1
     case when coalesce(email, '') = '' then 1 else 0 end as missing_email,
     case when coalesce(phone, '') = '' then 1 else 0 end as missing_phone,
     case when coalesce(zip_code, '') = '' then 1 else 0 end as missing_zip from eligibility"""
-PROFILE = " union all ".join(
-    f"""select count(*) as row_count, '{c}' as column_name, '{t}' as data_type,
-        count(*) filter (where {c} is null) as null_count, count(*) filter (where cast({c} as varchar) = '') as empty_count,
-        cast(min({c}) as varchar) as min_value, cast(max({c}) as varchar) as max_value,
-        {"round(avg(" + c + "), 4)" if t == "bigint" else "cast(null as double)"} as mean_value from eligibility"""
-    for c, t in [("mem_id", "string"), ("row_key", "bigint"), ("dob", "string"), ("email", "string"),
-                 ("phone", "string"), ("zip_code", "string"), ("state", "string")]
-)
 GAPS = " + ".join(f"case when trim(coalesce({c}, '')) = '' then 1 else 0 end" for c in population.REQUIRED)
 
 ORACLES = {
@@ -240,15 +221,6 @@ ORACLES = {
     "warehouse_checks": oracle(" union all ".join(WAREHOUSE)),
     "contract_quality": oracle(" union all ".join(CONTRACT)),
     "contract_conformance": oracle(" union all ".join(CONFORMS)),
-    "freshness_and_volume": oracle(f"""
-        select 'freshness_condition_start_datetime' as check_id, 'omop_condition' as table_name,
-          'condition_start_datetime' as column_name, 'error' as severity,
-          case when max(condition_start_datetime) < {D} - interval 24 hour then count(*) else 0 end as failed_rows,
-          count(*) as total_rows, max(condition_start_datetime) >= {D} - interval 24 hour as passed from o_condition
-        union all
-        select 'volume', 'omop_condition', '*', 'error',
-          case when count(*) between 100 and 10000000 and count(*) / 15000.0 - 1 between -0.10 and 0.25 then 0 else count(*) end,
-          count(*), count(*) between 100 and 10000000 and count(*) / 15000.0 - 1 between -0.10 and 0.25 from o_condition"""),
     "qa_report": oracle("""
         select table_name, count(*) as checks, count(*) filter (where not passed) as failed,
           count(*) filter (where not passed and severity = 'fatal') as fatal,
@@ -273,7 +245,6 @@ ORACLES = {
     "failing_rows": oracle("select * from staged where not regexp_matches(zip_code, '^0[0-9]{4}$')"),
     "duplicate_rows": oracle("select * from eligibility qualify count(*) over (partition by mem_id) > 1"),
     "unique_flag": oracle("select mem_id, row_key, count(*) over (partition by mem_id) = 1 as is_unique from eligibility"),
-    "column_profile": oracle(PROFILE),
     "zip_issues_by_state": oracle("select state, count(*) as n from flagged where zip_lost_zeros = 1 group by 1", flagged=FLAGGED),
     "question_missing_email": oracle("select count(*) as members_missing_email from eligibility where email = ''"),
     "question_largest_state": oracle("""
