@@ -20,11 +20,16 @@ from carelattice.session import materialise
 
 @dataclass(frozen=True)
 class TrainConfig:
-    trees: int = 20
+    """``trees`` is a limit: boosting stops once the loss on the validation part, the latest ``validation_size`` share
+    of the training rows, improves by less than ``min_gain`` of itself. ``validation_size=0`` grows all trees."""
+
+    trees: int = 200
     depth: int = 5
     learning_rate: float = 0.1
     min_rows_per_leaf: int = 10
     test_size: float = 0.2
+    validation_size: float = 0.2
+    min_gain: float = 0.001
     seed: int = 42
 
 
@@ -37,28 +42,54 @@ def feature_columns(df: DataFrame) -> list[Column]:
 
 
 def temporal_split(df: DataFrame, time: str = "discharge_time", tie: str = "visit_occurrence_id",
-                   test_size: float = 0.2) -> DataFrame:
-    """Adds ``is_test``: true for the latest ``test_size`` share of the rows, cut exactly.
+                   test_size: float = 0.2, validation_size: float | None = None) -> DataFrame:
+    """Adds ``is_test``: true for the latest ``test_size`` share of the rows, cut exactly. With ``validation_size``
+    also ``is_validation``: true for the latest such share of the other rows.
 
     Row numbers are made per range of rows and offset by the ranges before, so no task sees all rows.
     """
     numbered = sliced_running(df, [], [F.col(time), F.col(tie)], {"_row": Running("rows")}, "_all")
     cut = F.floor(F.col("_all") * (1 - test_size))
-    return numbered.withColumn("is_test", F.col("_row") > cut).drop("_row", "_all")
+    parted = numbered.withColumn("is_test", F.col("_row") > cut)
+    if validation_size is not None:
+        parted = parted.withColumn("is_validation", ~F.col("is_test") & (F.col("_row") > F.floor(cut * (1 - validation_size))))
+    return parted.drop("_row", "_all")
 
 
 def train(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> GBTClassificationModel:
-    vectors = df.select(F.col("label").cast("double").alias("label"), *feature_columns(df))
+    """Boosted trees. Rows marked by a boolean column ``is_validation`` choose the number of trees and grow none; without
+    the column, or where it is true nowhere, ``cfg.trees`` trees grow. ``model.getNumTrees`` tells how many were kept."""
+    stops = "is_validation" in df.columns and not df.filter("is_validation").isEmpty()
+    kept = [F.col("is_validation")] if stops else []
+    vectors = df.select(F.col("label").cast("double").alias("label"), *kept, *feature_columns(df))
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(vectors)
     learner = GBTClassifier(
         maxIter=cfg.trees, maxDepth=cfg.depth, stepSize=cfg.learning_rate,
-        minInstancesPerNode=cfg.min_rows_per_leaf, seed=cfg.seed,
+        minInstancesPerNode=cfg.min_rows_per_leaf, seed=cfg.seed, validationTol=cfg.min_gain,
     )
-    return learner.fit(assembled.select("label", "features"))
-
-
-def save(model: GBTClassificationModel, path: str) -> None:
+    if stops:
+        learner = learner.setValidationIndicatorCol("is_validation")
+    return learner.fit(assembled.select("features", "label", *kept))
+
+
+def record(model: GBTClassificationModel, parted: DataFrame, cfg: TrainConfig = TrainConfig()) -> DataFrame:
+    """One row about a training run: rows and latest time of each part, the limit of trees and the number kept."""
+    part = F.when(F.col("is_test"), "test").when(F.col("is_validation"), "validation").otherwise("training")
+    of = lambda name, value: F.when(part == name, value)
+    names = ("training", "validation", "test")
+    rows = parted.agg(
+        *[F.count(of(n, F.lit(1))).alias(f"{n}_rows") for n in names],
+        *[F.max(of(n, F.col("discharge_time"))).alias(f"{n}_until") for n in names])
+    return rows.withColumns({
+        "tree_limit": F.lit(cfg.trees), "trees": F.lit(model.getNumTrees), "stopped_early": F.lit(model.getNumTrees < cfg.trees),
+        "depth": F.lit(cfg.depth), "learning_rate": F.lit(cfg.learning_rate), "min_gain": F.lit(cfg.min_gain), "seed": F.lit(cfg.seed)})
+
+
+def save(model: GBTClassificationModel, path: str, run: DataFrame | None = None) -> None:
+    """The model, and the record of its training run beside it."""
     model.write().overwrite().save(path)
+    if run is not None:
+        run.write.mode("overwrite").json(f"{path.rstrip('/')}-record")
 
 
 def load(path: str) -> GBTClassificationModel:
@@ -116,13 +147,17 @@ def binary_metrics(scored: DataFrame, label: str = "label", prob: str = "score")
 
 
 def evaluate(features: DataFrame, cfg: TrainConfig = TrainConfig()) -> tuple[GBTClassificationModel, DataFrame]:
-    """Train on the earlier part, measure on the later part. The split table is written once:
-    training reads it many times."""
-    parted = materialise(temporal_split(features, test_size=cfg.test_size), "training")
-    model = train(parted.filter(~F.col("is_test")), cfg)
+    """Train on the earlier part, measure on the later part."""
+    model, parted = fit(features, cfg)
     return model, binary_metrics(score(model, parted.filter("is_test")))
 
 
+def fit(features: DataFrame, cfg: TrainConfig = TrainConfig()) -> tuple[GBTClassificationModel, DataFrame]:
+    """The model and the split rows (``is_test``, ``is_validation``), which are written once: training reads them many times."""
+    parted = materialise(temporal_split(features, test_size=cfg.test_size, validation_size=cfg.validation_size), "training")
+    return train(parted.filter(~F.col("is_test")), cfg), parted
+
+
 def local_contributions(model: GBTClassificationModel, df: DataFrame, key: str | Sequence[str], k: int = 5
                         ) -> DataFrame:
     """Per row the k features that move its score most when set to the population mean.

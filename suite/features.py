@@ -59,10 +59,29 @@ def binary_metrics(spark, sf):
     return rows.select("n", "positives", *[F.round(c, 8).alias(c) for c in rows.columns[2:]])
 
 
+def temporal_parts(spark, sf):
+    rows = visit_history(spark, sf).select(
+        "visit_occurrence_id", F.col("visit_end_datetime").alias("discharge_time"))
+    return r.temporal_split(rows, validation_size=0.25)
+
+
 @lru_cache(maxsize=2)
+def fitted(spark, sf):
+    """Model and split rows with the library's own configuration."""
+    return r.fit(discharge_features(spark, sf))
+
+
 def trained(spark, sf):
-    """Model and metrics with the library's own configuration."""
-    return r.evaluate(discharge_features(spark, sf))
+    model, parted = fitted(spark, sf)
+    return model, r.binary_metrics(r.score(model, parted.filter("is_test")))
+
+
+def training_record(spark, sf):
+    """Rows and bounds of the three parts; that boosting stopped before its limit."""
+    rows = r.record(*fitted(spark, sf))
+    return rows.select(
+        *[c_ for c_ in rows.columns if c_.endswith(("_rows", "_until"))], "tree_limit", "stopped_early",
+        (F.col("trees") >= 1).alias("has_trees"))
 
 
 def model_metrics(spark, sf):
@@ -113,6 +132,8 @@ QUERIES = {
     "prior_event_windows": visit_history,
     "readmission_label": labels,
     "temporal_split": temporal_split,
+    "temporal_parts": temporal_parts,
+    "training_record": training_record,
     "binary_metrics": binary_metrics,
     "model_metrics": model_metrics,
     "prediction_table": predictions,
@@ -229,6 +250,21 @@ ORACLES = {
         select visit_occurrence_id, visit_end_datetime as discharge_time,
           row_number() over (order by visit_end_datetime, visit_occurrence_id) > floor((select count(*) from o_visit) * (1 - 0.2::double)) as is_test
         from o_visit"""),
+    "temporal_parts": oracle("""
+        with numbered as (select visit_occurrence_id, visit_end_datetime as discharge_time, count(*) over () as n,
+          row_number() over (order by visit_end_datetime, visit_occurrence_id) as i from o_visit)
+        select visit_occurrence_id, discharge_time, i > floor(n * (1 - 0.2::double)) as is_test,
+          i <= floor(n * (1 - 0.2::double)) and i > floor(floor(n * (1 - 0.2::double)) * 0.75::double) as is_validation from numbered"""),
+    "training_record": oracle("""
+        with known as (select visit_end_datetime as t, count(*) over () as n,
+          row_number() over (order by visit_end_datetime, visit_occurrence_id) as i
+          from history h join o_person p on h.person_id = p.person_id),
+        parts as (select t, case when i > floor(n * (1 - 0.2::double)) then 'test'
+          when i > floor(floor(n * (1 - 0.2::double)) * (1 - 0.2::double)) then 'validation' else 'training' end as part from known)
+        select count(*) filter (where part = 'training') as training_rows, count(*) filter (where part = 'validation') as validation_rows,
+          count(*) filter (where part = 'test') as test_rows, max(t) filter (where part = 'training') as training_until,
+          max(t) filter (where part = 'validation') as validation_until, max(t) filter (where part = 'test') as test_until,
+          200 as tree_limit, true as stopped_early, true as has_trees from parts""", history=HISTORY),
     "binary_metrics": oracle("""
         with t as (select count(*) as n, sum(label)::double as p, count(*) - sum(label)::double as q from scored),
         ranks as (select score, label, rank() over (order by score) + (count(*) over (partition by score) - 1) / 2.0::double as rk

@@ -118,6 +118,26 @@ def trained(spark):
     return r.evaluate(synthetic(spark), r.TrainConfig(trees=10, depth=3))
 
 
+def test_boosting_stops_early_and_keeps_the_floor(spark, tmp_path):
+    cfg = r.TrainConfig(trees=60, depth=3, learning_rate=0.3)
+    model, parted = r.fit(synthetic(spark), cfg)
+    metrics = r.binary_metrics(r.score(model, parted.filter("is_test"))).first()
+    assert 1 <= model.getNumTrees < 60
+    assert metrics.roc_auc > 0.55 and 0 < metrics.brier < 0.5
+    run = r.record(model, parted, cfg).first()
+    assert (run.training_rows, run.validation_rows, run.test_rows) == (640, 160, 200)
+    assert run.training_until <= run.validation_until <= run.test_until
+    assert (run.trees, run.stopped_early) == (model.getNumTrees, True)
+    r.save(model, str(tmp_path / "m"), r.record(model, parted, cfg))
+    assert spark.read.json(str(tmp_path / "m-record")).first().trees == r.load(str(tmp_path / "m")).getNumTrees
+
+
+def test_without_a_validation_part_all_trees_grow(spark):
+    model, parted = r.fit(synthetic(spark, 200), r.TrainConfig(trees=3, depth=2, validation_size=0.0))
+    assert model.getNumTrees == 3 and parted.filter("is_validation").isEmpty()
+    assert r.train(parted.drop("is_validation"), r.TrainConfig(trees=2, depth=2)).getNumTrees == 2
+
+
 def test_model_beats_chance(trained):
     metrics = trained[1].first()
     assert metrics.roc_auc > 0.55 and 0 < metrics.brier < 0.5 and metrics.n == 200
