@@ -76,25 +76,22 @@ def synthea_visit(encounters: DataFrame) -> DataFrame:
 def condition_prevalence(conditions: DataFrame, patients: DataFrame) -> DataFrame:
     """Patients and occurrences per code, age band, gender and state, with share and rank.
 
-    Conditions are counted per patient and code before the join, so a patient or a code with
-    very many rows shrinks map-side and the distinct count becomes a plain count.
+    Conditions are counted per patient, code and start day before the join, so a patient or a code with
+    very many rows shrinks map-side; after it the distinct count is a plain count.
     """
+    days = conditions.groupBy(
+        "person_source_value", F.col("condition_source_value").alias("condition_code"), "condition_start_date"
+    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("condition_end_date").isNull()).alias("open"))
+    alive = F.col("death_date").isNull() | (F.col("condition_start_date") <= F.col("death_date"))
+    dated = F.when(F.col("condition_start_date").isNotNull(), F.col("n"))
     per_patient = (
-        conditions.join(
-            patients.select("person_source_value", "death_date"), "person_source_value"
-        )
-        .withColumn(
-            "is_active",
-            (F.col("condition_end_date").isNull()
-             & (F.col("death_date").isNull() | (F.col("condition_start_date") <= F.col("death_date"))))
-            .cast("int"),
-        )
-        .groupBy("person_source_value", F.col("condition_source_value").alias("condition_code"))
+        days.join(patients.select("person_source_value", "death_date"), "person_source_value")
+        .groupBy("person_source_value", "condition_code")
         .agg(
-            F.count(F.lit(1)).alias("occurrences"),
-            F.sum("is_active").alias("active"),
-            F.sum(F.dayofyear("condition_start_date")).alias("doy_sum"),
-            F.count("condition_start_date").alias("doy_n"),
+            F.sum("n").alias("occurrences"),
+            F.sum(F.when(alive, F.col("open")).otherwise(0)).alias("active"),
+            F.sum(F.dayofyear("condition_start_date") * F.col("n")).alias("doy_sum"),
+            F.coalesce(F.sum(dated), F.lit(0)).alias("doy_n"),
         )
     )
     segments = patients.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from carelattice.operators.skew import Running, sliced_running
+
 log = logging.getLogger(__name__)
 
 MESSAGE_SCHEMA = (
@@ -83,16 +86,18 @@ def write_partitioned(
     df: DataFrame, path: str, by: Mapping[str, Column], cluster_by: Sequence[str] = (),
     *, day: str | None = None, as_of: date | None = None, lookback_days: int | None = None,
 ) -> None:
-    """Replace only the partitions present in ``df``. With a lookback, rows older than
-    ``as_of - lookback_days`` are left out and their partitions stay as they are.
+    """Replace only the partitions present in ``df``. With a lookback, only partitions that hold a row of
+    ``as_of - lookback_days`` or later are replaced, by all their rows: a partition that the lookback cuts through
+    keeps its earlier rows, all other partitions stay as they are.
 
     Rows are rebalanced by partition and clustering columns: small cells are written
     together, and adaptive execution splits a cell that is too large for one task.
     """
-    rows = df
+    rows = df.withColumns(dict(by))
     if lookback_days is not None:
-        rows = rows.filter(F.col(day) >= F.lit(str(as_of - timedelta(days=lookback_days))).cast("date"))
-    rows = rows.withColumns(dict(by))
+        since = F.lit(str(as_of - timedelta(days=lookback_days))).cast("date")
+        touched = rows.filter(F.col(day) >= since).select(*[F.col(k).alias(f"_{k}") for k in by]).distinct()
+        rows = rows.join(touched, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]), "left_semi")
     if cluster_by:
         keys = [*by, *cluster_by]
         rows = rows.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
@@ -173,6 +178,14 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def sorted_output(df: DataFrame, order: Sequence[Column], place: str | None = None) -> DataFrame:
+    """The rows in a global order. With ``place`` each row also gets its number in that order, 1 first: rows are cut in
+    ranges and numbered within them, so no task holds the table; ``order`` must then be total."""
+    if place is None:
+        return df.orderBy(*order)
+    return sliced_running(df, [], order, {place: Running("rows")}).orderBy(place)
+
+
 def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """Rows per table; a missing table counts 0."""
     spark = next(t for t in tables.values() if t is not None).sparkSession

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["playbook", "warehouse", "quality", "history", "population", "features", "governance", "streams", "topics"]
+MODULES = ["playbook", "warehouse", "quality", "history", "population", "features", "governance", "roundtrips", "streams", "topics"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

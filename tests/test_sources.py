@@ -40,6 +40,24 @@ def test_write_partitioned_replaces_only_its_partitions(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["a", "x"]
 
 
+def test_a_partition_cut_by_the_lookback_keeps_its_rows(spark, tmp_path):
+    day = datetime.date
+    rows = [("a", day(2000, 12, 31), "NY"), ("b", day(2001, 1, 2), "NY"), ("c", day(2001, 6, 2), None), ("d", None, "TX")]
+    table = spark.createDataFrame(rows, "k string, d date, state string")
+    for by, kept in (({"year": F.year("d")}, ["b", "c"]), ({"year": F.year("d"), "part": F.col("state")}, ["c"])):
+        path = str(tmp_path / str(len(by)))
+        for _ in range(2):
+            tables.write_partitioned(table, path, by, day="d", as_of=day(2001, 6, 3), lookback_days=30)
+        assert sorted(r.k for r in spark.read.parquet(path).collect()) == kept
+
+
+def test_sorted_output_numbers_rows(spark):
+    table = spark.range(50, 0, -1)
+    assert [r.id for r in tables.sorted_output(table, [F.col("id")]).collect()] == list(range(1, 51))
+    placed = tables.sorted_output(table, [F.col("id").desc()], place="place").collect()
+    assert [(r.id, r.place) for r in placed] == [(51 - i, i) for i in range(1, 51)]
+
+
 def test_upsert_latest_wins_and_schema_syncs(spark):
     old = spark.createDataFrame([("m1", 1, "x"), ("m2", 5, "y")], "id string, v int, gone string")
     new = spark.createDataFrame([("m1", 2, True), ("m3", 1, False)], "id string, v int, fresh boolean")
