@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,9 @@ from carelattice.session import scratch_dir
 PIECE = 2 << 20
 
 
-def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array], dict]) -> DataFrame:
-    """``df`` without the text, with the columns ``fields`` that ``function`` computes from it.
+def append(df: DataFrame, text: str, fields: str, function: Callable[..., dict], also: Sequence[str] = ()) -> DataFrame:
+    """``df`` without the text, with the columns ``fields`` that ``function`` computes from it (and from the columns
+    ``also``, which stay).
 
     Rows are neither moved nor reordered. A column of the input whose name (in any case) is among
     ``fields`` is replaced. Null texts reach ``function`` as they are.
@@ -29,9 +30,11 @@ def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array],
         whole += "_"
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(whole))
 
+    others = [kept.index(c) for c in also]
+
     def run(batches):
         for batch in pieces(batches, len(kept)):
-            made = function(batch.column(len(kept)))
+            made = function(batch.column(len(kept)), *[batch.column(i) for i in others])
             arrays = batch.columns[:len(kept)] + [as_array(made[n]) for n in added.names]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added.names])
 
@@ -39,6 +42,23 @@ def append(df: DataFrame, text: str, fields: str, function: Callable[[pa.Array],
     return source.mapInArrow(run, schema)
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, rows: int) -> DataFrame:
+    """At most ``rows`` distinct labelled rows of ``docs``: its columns (text and others beside doc_id), ``__y`` and
+    ``__place``, a hash of the whole row that is different in each and may deal them to shards.
+
+    Labels are bounded first (by a hash of their id), then the joined rows (by their own hash), so an id that has very
+    many rows or labels can't exceed the bound. Equal rows with equal labels count as one; rows without id or label don't count.
+    """
+    known = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
+    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "__y").limit(rows)
+    others = [c for c in docs.columns if c != "doc_id"]
+    marked = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
+        "__y", *others, F.xxhash64("__id", "__y", *others).alias("__place"))
+    places = marked.select("__place").distinct().orderBy("__place").limit(rows)
+    bounded = marked.join(F.broadcast(places), "__place")
+    return bounded.groupBy("__place").agg(*[F.first(c).alias(c) for c in ("__y", *others)])
+
+
 def pieces(batches, text: int, limit: int = PIECE):
     """The batches cut into runs of rows whose texts have ``limit`` bytes together at most (or one row)."""
     for batch in batches:

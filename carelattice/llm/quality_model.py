@@ -1,14 +1,15 @@
 """Quality classifier: a factorisation machine over hashed words and structure.
 
 Features of a text: hashed words with weight 1 / sqrt(words); structure statistics (length,
-characters a word, shares of symbols, digits, capitals, line breaks, repeated words and lines). Metadata
-columns of the table, such as its length column, are not read. Pairwise interactions have rank ``RANK`` and are
+characters a word, shares of symbols, digits, capitals, line breaks, repeated words and lines); metadata: the length
+that the table states in ``n_chars``, and how far it is from the text's own (null, negative or no number, or no such
+column: the text's own length). Pairwise interactions have rank ``RANK`` and are
 scored in linear time by the sum-of-squares identity:
 sum over pairs of <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i x_i|^2) / 2.
-Trained by AdaGrad on ``TRAIN_ROWS`` labelled rows at most (smallest hash of the id), dealt to
+Trained by AdaGrad on ``TRAIN_ROWS`` labelled rows at most (``frames.training_rows``), dealt by a hash of the row to
 ``SHARDS`` Spark groups of bounded size; the score is the mean of the shards' machines.
 
-Defined results: null and empty texts have the structure of an empty text and get a score; without labelled rows all scores are 0.5; repeated rows get equal
+Defined results: null and empty texts have the structure of an empty text and get a score; without labelled rows all scores are 0.5; equal rows train once and get equal
 scores; clashing columns are replaced. Labels, lang, source and doc_id are never inputs.
 """
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from carelattice.llm.frames import append
+from carelattice.llm.frames import append, training_rows
 from carelattice.llm.quality_rules import base_counts, flags_within
 from carelattice.llm.words import mix
 
@@ -30,15 +31,25 @@ EPOCHS = 6
 BATCH = 64
 RATE, L2 = 0.08, 1e-5
 THRESHOLD = 0.3
-STATS = 12
+STATS = 14
+LENGTH = "n_chars"
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def with_length(docs: DataFrame, *columns) -> DataFrame:
+    """``columns`` of ``docs`` and ``__stated``, the stated length as a double or NULL."""
+    stated = F.col(LENGTH).cast("string").try_cast("double") if LENGTH in docs.columns else F.lit(None).cast("double")
+    return docs.select(*columns, F.when((stated >= 0) & (stated < 2.0**62), stated).alias("__stated"))
+
+
+def features(column: pa.Array, stated: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, slot and value of the hashed words, and a row of statistics for each document."""
     base = base_counts(column)
     found = base.pop("_found")
     n = len(found.count)
     size = np.maximum(np.diff(found.bounds), 1)
+    length = np.log1p(flags_within(found.bounds, (found.data & np.uint8(0xC0)) != 0x80)) if n else np.zeros(0)
+    told = np.asarray(stated.to_numpy(zero_copy_only=False), float)
+    told = np.where(np.isnan(told), length, np.log1p(told))
     count = np.maximum(found.count, 1)
     doc = found.doc
     slot = (mix(found.hash) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -52,7 +63,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         base["n_repeat_words"] / count, distinct / np.minimum(count, 2**BITS),
         flags_within(found.bounds, found.data - np.uint8(48) < 10) / size * 5, flags_within(found.bounds, found.data - np.uint8(65) < 26) / size * 2,
         np.minimum(flags_within(found.bounds, found.data == 10) / count * 10, 2), found.count < 10,
-        np.exp(-found.count / 20),
+        np.exp(-found.count / 20), told / 12, np.minimum(np.abs(told - length), 3),
     ], 1).astype(float) if n else np.zeros((0, STATS))
     return owner, slot, value, stats
 
@@ -96,8 +107,8 @@ def _joined(owner, slot, value, stats):
             np.concatenate([value, stats.ravel()]))
 
 
-def fit(column: pa.Array, label: np.ndarray, seed: int = 11) -> np.ndarray:
-    owner, slot, value, stats = features(column)
+def fit(column: pa.Array, stated: pa.Array, label: np.ndarray, seed: int = 11) -> np.ndarray:
+    owner, slot, value, stats = features(column, stated)
     cut = np.searchsorted(owner, np.arange(len(label) + 1))
     machine, order = Machine(seed), np.random.default_rng(seed)
     for _ in range(EPOCHS):
@@ -112,15 +123,12 @@ def fit(column: pa.Array, label: np.ndarray, seed: int = 11) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> list[np.ndarray]:
     """One machine a shard; ``docs`` holds the rows to learn from."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
-    chosen = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
-        "__id", "__y", "text", F.pmod(F.xxhash64("__id"), F.lit(SHARDS)).alias("__shard"))
+    sample = training_rows(with_length(docs, "doc_id", "text"), labels, label_col, rows).withColumn("__shard", F.pmod("__place", F.lit(SHARDS)))
 
     def run(key, table):
-        table = table.sort_by([("__id", "ascending"), ("__y", "ascending")]).combine_chunks()
-        text = table["text"].chunk(0) if table["text"].num_chunks == 1 else table["text"].combine_chunks()
-        v = fit(text, np.asarray(table["__y"].to_numpy(), float))
+        table = table.sort_by("__place").combine_chunks()
+        whole = lambda c: c.chunk(0) if c.num_chunks == 1 else c.combine_chunks()
+        v = fit(whole(table["text"]), whole(table["__stated"]), np.asarray(table["__y"].to_numpy(), float))
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "v": pa.array([v.astype(np.float32).tobytes()], pa.binary())})
 
     got = sample.groupBy("__shard").applyInArrow(run, "shard bigint, v binary").orderBy("shard").collect()
@@ -131,8 +139,8 @@ def scored(docs: DataFrame, model: list[np.ndarray], text_col: str = "text", thr
     """``docs`` (all columns but the text) with ``score`` and ``predicted``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(column: pa.Array) -> dict:
-        listed = features(column)
+    def score(column: pa.Array, stated: pa.Array) -> dict:
+        listed = features(column, stated)
         n = len(listed[3])
         joined = _joined(*listed)
         p = np.zeros(n)
@@ -143,4 +151,5 @@ def scored(docs: DataFrame, model: list[np.ndarray], text_col: str = "text", thr
         p = p / len(shared.value) if shared.value else np.full(n, 0.5)
         return {"score": p, "predicted": (p >= threshold).astype(np.int32)}
 
-    return append(docs, text_col, "score double, predicted int", score)
+    rows = with_length(docs, *[F.col(f"`{c}`") for c in docs.columns])
+    return append(rows, text_col, "score double, predicted int", score, ["__stated"]).drop("__stated")

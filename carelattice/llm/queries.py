@@ -66,7 +66,7 @@ def op9_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = texts(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = quality_model.train(docs, table(spark, sf_dir, "labels").where(~held_out(5)))
     return quality_model.scored(docs, model).select(
         "doc_id", held_out(5).alias("held_out"), "score", "predicted")

@@ -2,13 +2,13 @@
 
 A text's features are the distinct hashed words, word pairs and pairs with one or two words left
 out. Words are lower-cased runs of letters and digits, so punctuation does not hide a word.
-Training: ``TRAIN_ROWS`` labelled rows at most (those with the smallest hash of the id) are dealt to
+Training: ``TRAIN_ROWS`` labelled rows at most (``frames.training_rows``) are dealt by a hash of the row to
 ``SHARDS`` Spark groups of bounded size; each runs FTRL-proximal with per-coordinate rates and L1,
 and the weights are averaged. L1 leaves few non-zero weights (at most 2**BITS), which travel to the
 tasks with the scoring function. Every whole text is scored in one pass.
 
 Defined results: null and empty texts have no feature and get the score of the intercept; without
-labelled rows all scores are 0.5; a doc with two labels trains once with each; rows are scored one
+labelled rows all scores are 0.5; a doc with two labels trains once with each, equal rows train once; rows are scored one
 by one, so repeated rows get equal scores; clashing columns are replaced. Training reads ids, texts
 and labels only.
 """
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from carelattice.llm.frames import append, pieces
+from carelattice.llm.frames import append, pieces, training_rows
 from carelattice.llm.words import Words, grams, spans
 
 BITS = 20
@@ -75,13 +75,10 @@ def ftrl(doc: np.ndarray, slot: np.ndarray, label: np.ndarray) -> tuple[np.ndarr
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
     """Indexes and values of the non-zero weights, and the intercept. ``docs`` holds the rows to learn from."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
-    chosen = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
-        "__id", "__y", "text", (F.pmod(F.xxhash64("__id"), F.lit(SHARDS))).alias("__shard"))
+    sample = training_rows(docs.select("doc_id", "text"), labels, label_col, rows).withColumn("__shard", F.pmod("__place", F.lit(SHARDS)))
 
     def fit(key, table):
-        table = table.sort_by([("__id", "ascending"), ("__y", "ascending")])
+        table = table.sort_by("__place")
         order = np.random.default_rng(7).permutation(len(table))
         table = table.take(pa.array(order)).combine_chunks()
         docs, slots, seen = [], [], 0
