@@ -1,7 +1,8 @@
 """N-gram Jaccard join by vertical partitioning: all documents whose sets of 5-word shingles overlap
 by 80 % or more, as connected components.
 
-1. Documents with equal sets form one class (128 bits of the set identify it); all work below is on classes.
+1. Documents with equal sets form one class (64 bits identify it: with n different sets about n**2 / 2**65
+   wrong merges are expected, two or three with 10**10 of them); all work below is on classes.
 2. Global order of shingles: rare ones by hash, then those of many documents by count. The counts
    come from chunks of the whole corpus: a chunk reports each shingle that ``LOCAL`` or more of its
    classes hold, so a shingle in more than ``LOCAL`` classes of every chunk is never missed. The
