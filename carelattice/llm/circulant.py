@@ -14,7 +14,7 @@ more, as connected components.
 5. Between rounds, classes that can't have a link out of their component leave. In any order of the shingles, two
    sets with m in common share one among the first n - m + 1 of either. The order: shingles that one component
    alone holds, then the others by the number of holders. m follows from the own size and the partner's,
-   so each class has a prefix for each step of partners' sizes (``STEP`` apart). A class stays if one of its
+   so each class has a prefix for each step of partners' sizes (``rounds.STEP`` apart). A class stays if one of its
    prefix shingles is in the prefix of a class in another component, sizes fitting; outliers, whose own
    shingles come first, leave.
 6. The last turn compares every pair of classes in two components that share such a prefix shingle. No link
@@ -31,7 +31,6 @@ null; ``kept`` is true where id and component are the same, nulls included. Othe
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -42,14 +41,13 @@ from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
 from carelattice.llm.frames import pieces, stored
 from carelattice.llm.jaccard import Seen, class_ids, shingle_sets
+from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, star_pairs, still_open
 from carelattice.llm.words import mix
 
 N = 2
-PERCENT = 80
 ROWS = 6
 BANDS = 40
 ROUNDS = 3
-STEP = 1.05
 LOOKS = 1 << 14   # shingles whose coordinates are computed at once
 
 
@@ -163,84 +161,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return made.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
-def _pair(a: str, b: str) -> list[F.Column]:
-    """The two classes, the smaller one first, with their sizes."""
-    first = F.col(f"{a}.class") < F.col(f"{b}.class")
-    pick = lambda yes, no, name: F.when(first, F.col(yes)).otherwise(F.col(no)).alias(name)
-    return [pick(f"{a}.class", f"{b}.class", "a"), pick(f"{b}.class", f"{a}.class", "b"), pick(f"{a}.n", f"{b}.n", "na"), pick(f"{b}.n", f"{a}.n", "nb")]
-
-
-def _sizes_fit(a: str, b: str) -> F.Column:
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT
-
-
-def mixed_rows(rows: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """Rows of the buckets that hold two components, with the class's root (``roots`` None: as it is)."""
-    if roots is not None:
-        rows = rows.drop("root").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    return rows.join(mixed, "bucket")
-
-
-def size_step(n: F.Column) -> F.Column:
-    """Sizes within ``STEP`` of each other have the same number, or neighbouring ones."""
-    return F.floor(F.log(n.cast("double")) / F.lit(math.log(STEP))).cast("int")
-
-
-def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What can have a link out of its component: prefix shingles (bucket, class, n, root, side), the mixed rows and
-    the sets of their classes. A bucket is a shingle and two steps of size; side -1 and 1 meet each other, 0 itself."""
-    held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
-    flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
-    spread = flat.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("holders")).where("lo <> hi")
-    own = flat.join(spread.select("bucket", "holders"), "bucket").groupBy("class", "n", "root").agg(
-        F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
-    sizes = F.sequence(size_step(F.ceil(F.col("n") * PERCENT / 100)), size_step(F.floor(F.col("n") * 100 / PERCENT)))
-    least = F.greatest(F.floor(F.exp(F.col("other") * F.lit(math.log(STEP))) * (1 - 1e-9)), F.ceil(F.col("n") * PERCENT / 100))
-    need = F.floor(((F.col("n") + least) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
-    places = F.size("l") - need + 1  # of the prefix, behind the component's own shingles
-    met = own.withColumn("step", size_step(F.col("n"))).withColumn("other", F.explode(sizes)).withColumn("places", places.cast("int"))
-    met = met.where("places > 0").select("class", "n", "root", "step", "other", F.explode(F.slice("l.bucket", 1, F.col("places"))).alias("s"))
-    first = stored(met.select(F.xxhash64("s", F.least("step", "other"), F.greatest("step", "other")).alias("bucket"), "class", "n", "root",
-                              F.signum(F.col("other") - F.col("step")).cast("int").alias("side")), "first")
-    ends = [f(F.when(F.col("side") == k, F.col("root"))).alias(f"{name}{k + 1}") for k in (-1, 0, 1) for f, name in ((F.min, "lo"), (F.max, "hi"))]
-    met = first.join(first.groupBy("bucket").agg(*ends), "bucket")
-    partner = [(F.col("side") == k) & ((F.col(f"lo{1 - k}") != F.col("root")) | (F.col(f"hi{1 - k}") != F.col("root"))) for k in (-1, 0, 1)]
-    first = stored(met.where(F.coalesce(partner[0] | partner[1] | partner[2], F.lit(False))).select("bucket", "class", "n", "root", "side"), "first")
-    left = first.select("class").distinct()
-    return first, stored(mixed_rows(rows.join(left, "class", "left_semi")), "mixed"), stored(
-        held.select("class", "shingles").join(left, "class", "left_semi"), "sets")
-
-
-def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each class with a lead of another component, in each bucket. The first lead is the class that shares most
-    buckets, in later rounds one dealt by a hash; the second is the first one's counterpart elsewhere."""
-    place = F.struct(F.col("shared") if turn == 0 else F.xxhash64("class", F.lit(turn)), F.col("class"))
-    lead = F.max_by(F.struct("class", "n", "root"), place)
-    groups = rows.groupBy("bucket").agg(lead.alias("one"))
-    others = rows.join(groups, "bucket").where("root <> one.root").groupBy("bucket").agg(lead.alias("two"))
-    both = groups.join(others, "bucket").select("bucket", "one", "two")
-    met = rows.alias("a").join(both.alias("l"), "bucket").select(
-        F.struct("a.class", "a.n").alias("a"), F.when(F.col("a.root") == F.col("l.one.root"), F.col("l.two")).otherwise(F.col("l.one")).alias("b"))
-    return met.where(_sizes_fit("a", "b")).select(*_pair("a", "b")).distinct()
-
-
-def crossing_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in two components. Components meet first, then their classes."""
-    groups = rows.groupBy("bucket", "root", "side").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    g, h = groups.alias("g"), groups.alias("h")
-    meet = g.join(h, (F.col("g.bucket") == F.col("h.bucket")) & (F.col("g.root") < F.col("h.root")) & (
-        F.col("g.side") + F.col("h.side") == 0) & (F.col("g.hi") * 100 >= F.col("h.lo") * PERCENT) & (F.col("h.hi") * 100 >= F.col("g.lo") * PERCENT)).select(
-        "g.bucket", "g.side", F.col("g.root").alias("ra"), F.col("h.root").alias("rb")).alias("m")
-    a, b = rows.alias("a"), rows.alias("b")
-    one = meet.join(a, (F.col("m.bucket") == F.col("a.bucket")) & (F.col("m.ra") == F.col("a.root")) & (
-        F.col("m.side") == F.col("a.side"))).select("m.bucket", "m.rb", "m.side", F.struct("a.class", "a.n").alias("a"))
-    return one.alias("o").join(b, (F.col("o.bucket") == F.col("b.bucket")) & (F.col("o.rb") == F.col("b.root")) & (
-        F.col("o.side") + F.col("b.side") == 0) & _sizes_fit("a", "b")).select(
-        *_pair("a", "b")).distinct()
-
-
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets overlap enough."""
     x, y = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))

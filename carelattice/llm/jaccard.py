@@ -9,12 +9,14 @@ by 80 % or more, as connected components.
    order only decides how fast the join is, never its result.
 3. Two sets of similarity 0.8 share a shingle among the first n - ceil(0.8 n) + 1 of either in any
    order. Shingles that just one class has there are left out (bitmap, then exact count).
-4. Round 1 pairs each class with the most central class of each of its buckets. Round 2 takes every
-   pair of a bucket that still lies in two components and was not yet compared. A link is in one of
-   the two or inside a component, so the components are those of all links.
+4. Round 1 pairs each class with the most central class of each of its buckets. Further rounds (``rounds``) pair it
+   with leads of other components; between them, classes leave that can't have a link out of their component any
+   more, as their prefixes in a new order (shingles that one component alone holds first) meet no other one.
+   The last round takes every pair of those that are left, in two components, and not yet compared. A link is in
+   one of the rounds or inside a component, so the components are those of all links.
 5. Pairs are verified in the order's fragments: each fragment counts its partial overlap of a pair
-   separately, and the counts are summed per pair. The overlap of the prefixes comes first; most
-   pairs can't reach the threshold any more after it, and the others' sets are never moved.
+   separately, and the counts are summed per pair. In round 1 the overlap of the prefixes comes first; most
+   pairs can't reach the threshold any more after it, and the others' sets are not moved.
 
 Defined results: null or blank texts have no shingle and are alone; fewer than five words make one
 shingle of them all; equal ids count as separate rows; a null id is the smallest of its component
@@ -23,6 +25,8 @@ only if all its ids are null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -30,15 +34,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
 from carelattice.llm.frames import identified, pieces, stored
+from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
 N = 5
-PERCENT = 80
 CHUNK_SHINGLES = 2_000_000   # a chunk of the counting pass
 LOCAL = 2                    # reported by a chunk from so many of its classes on
 HEAVY = 16                   # placed at the end of the order from so many classes on
 HEAVY_MOST = 2**18           # of these, the most frequent
 FRAGMENTS = 4
+ROUNDS = 3                   # of stars; their number decides cost only
 SEEN = 200_000               # classes that a task remembers so as to leave out copies
 
 
@@ -213,22 +218,6 @@ def central_pairs(rows: DataFrame) -> DataFrame:
     return _pairs(rows.alias("a").join(lead.alias("b"), "shingle").where(may_link("a", "b")))
 
 
-def crossing_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in two components. Components meet first, then their classes."""
-    rows = rows.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    rows = stored(rows.join(mixed, "shingle").select("shingle", "class", "n", "pos", "before", "root"), "mixed")
-    groups = rows.groupBy("shingle", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    g, h = groups.alias("g"), groups.alias("h")
-    meet = g.join(h, (F.col("g.shingle") == F.col("h.shingle")) & (F.col("g.root") < F.col("h.root")) & (
-        F.col("g.hi") * 100 >= F.col("h.lo") * PERCENT) & (F.col("h.hi") * 100 >= F.col("g.lo") * PERCENT)).select(
-        "g.shingle", F.col("g.root").alias("ra"), F.col("h.root").alias("rb")).alias("m")
-    a, b = rows.alias("a"), rows.alias("b")
-    both = meet.join(a, (F.col("m.shingle") == F.col("a.shingle")) & (F.col("m.ra") == F.col("a.root"))).join(
-        b, (F.col("m.shingle") == F.col("b.shingle")) & (F.col("m.rb") == F.col("b.root")))
-    return _pairs(both.where(may_link("a", "b")))
-
-
 def prefix_length(n: str) -> F.Column:
     return F.col(n) - F.floor((F.col(n) * PERCENT + 99) / 100) + 1
 
@@ -244,10 +233,13 @@ def hopeful(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return both.where(most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
 
 
-def segments(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
-    """(class, fragment, shingles) of the classes in ``pairs``: the order cut into fragments, the last
+def both_ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+
+
+def segments(docs: DataFrame, wanted: DataFrame, heavy, n: int = N) -> DataFrame:
+    """(class, fragment, shingles) of the ``wanted`` classes: the order cut into fragments, the last
     one for shingles of many classes."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast((bitmap(wanted, "class"), heavy))
 
     def run(batches):
@@ -272,9 +264,8 @@ def segments(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
     return made.join(wanted, "class", "left_semi").dropDuplicates(["class", "fragment"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
-    """The pairs that link, with their overlap."""
-    parts = stored(segments(docs, pairs, heavy, n), "segments")
+def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs that link, with their overlap: counted in each fragment, summed per pair."""
     left = parts.select(F.col("class").alias("a"), "fragment", F.col("shingles").alias("x"))
     right = parts.select(F.col("class").alias("b"), "fragment", F.col("shingles").alias("y"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
@@ -283,18 +274,40 @@ def verified(docs: DataFrame, pairs: DataFrame, heavy, n: int = N) -> DataFrame:
     return total.where(F.expr(f"100 * common >= {PERCENT} * (na + nb - common)")).select("a", "b", "common")
 
 
+def roots_of(docs: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
+    """(node, root) of all linked classes, round by round until no pair is left that could link two components."""
+    first = stored(hopeful(central_pairs(rows), rows), "pairs")
+    links = [stored(verified(first, stored(segments(docs, both_ends(first), heavy, n), "segments")), "links")]
+    tested, roots = [first.select("a", "b")], stored(components(links[0]), "roots")
+    rows = rows.select(F.col("shingle").alias("bucket"), "class", "n", F.col("class").alias("root"))
+    mixed, full, turn, new = stored(mixed_rows(rows, roots), "mixed"), None, 1, True
+    while mixed.limit(1).count():
+        if full is None:
+            full = stored(segments(docs, mixed.select("class").distinct(), heavy, n), "segments")
+        prefixes, mixed, full = still_open(mixed, full)
+        if not prefixes.limit(1).count():
+            break
+        last = not new or turn == ROUNDS or not mixed.limit(1).count()
+        pairs = crossing_pairs(prefixes) if last else star_pairs(mixed, turn)
+        pairs = stored(pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti"), "pairs")
+        links.append(stored(verified(pairs, full), "links"))
+        tested.append(pairs.select("a", "b"))
+        new = links[-1].limit(1).count() > 0
+        if new:
+            roots = stored(components(reduce(DataFrame.unionByName, links)), "roots")
+        if last:
+            break
+        mixed, turn = mixed_rows(mixed, roots), turn + 1
+    return roots
+
+
 def members(docs: DataFrame, n: int = N) -> DataFrame:
     """doc_id, row_key (64 bits of id and text), n (set size), class, root: one row a document. Rows with
     the same root are one component; empty sets are components of their own kind and share root 0."""
     docs = identified(docs)
     heavy = heavy_shingles(docs, n)
     sets = stored(with_prefixes(docs, heavy, n), "sets")
-    rows = shared_prefix_rows(sets)
-    first = stored(hopeful(central_pairs(rows), rows), "pairs")
-    links = stored(verified(docs, first, heavy, n), "links")
-    roots = components(links)
-    second = stored(hopeful(crossing_pairs(rows, roots).join(first, ["a", "b"], "left_anti"), rows), "pairs")
-    roots = components(links.unionByName(verified(docs, second, heavy, n)))
+    roots = roots_of(docs, shared_prefix_rows(sets), heavy, n)
     found = sets.select("doc_id", "row_key", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     return found.withColumn("root", F.coalesce("root", "class"))
 
