@@ -10,8 +10,9 @@ by 80 % or more, as connected components.
 3. Two sets of similarity 0.8 share a shingle among the first n - ceil(0.8 n) + 1 of either in any
    order. Shingles that just one class has there are left out (bitmap, then exact count).
 4. Round 1 pairs each class with the most central class of each of its buckets. Further rounds (``rounds``) pair it
-   with leads of other components; between them, classes leave that can't have a link out of their component any
-   more, as their prefixes in a new order (shingles that one component alone holds first) meet no other one.
+   with leads of other components; before them, classes leave that can't have a link out of their component any
+   more: by their prefixes alone first, then as their prefixes in a new order (shingles that one component alone
+   holds first) meet no other one.
    The last round takes every pair of those that are left, in two components, and not yet compared. A link is in
    one of the rounds or inside a component, so the components are those of all links.
 5. Pairs are verified in the order's fragments: each fragment counts its partial overlap of a pair
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
 from carelattice.llm.frames import identified, pieces, stored
-from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, star_pairs, still_open
+from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
 N = 5
@@ -279,8 +280,10 @@ def roots_of(docs: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
     first = stored(hopeful(central_pairs(rows), rows), "pairs")
     links = [stored(verified(first, stored(segments(docs, both_ends(first), heavy, n), "segments")), "links")]
     tested, roots = [first.select("a", "b")], stored(components(links[0]), "roots")
-    rows = rows.select(F.col("shingle").alias("bucket"), "class", "n", F.col("class").alias("root"))
-    mixed, full, turn, new = stored(mixed_rows(rows, roots), "mixed"), None, 1, True
+    rows = rows.select(F.col("shingle").alias("bucket"), "class", "n", "pos", F.col("class").alias("root"))
+    mixed = stored(mixed_rows(rows, roots), "mixed")
+    mixed = stored(mixed_rows(mixed.join(open_by_prefix(mixed), "class", "left_semi")).drop("pos"), "mixed")
+    full, turn, new = None, 1, True
     while mixed.limit(1).count():
         if full is None:
             full = stored(segments(docs, mixed.select("class").distinct(), heavy, n), "segments")

@@ -42,26 +42,49 @@ def size_step(n: F.Column) -> F.Column:
     return F.floor(F.log(n.cast("double")) / F.lit(math.log(STEP))).cast("int")
 
 
-def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What can have a link out of its component: prefix shingles (bucket, class, n, root, side), the mixed rows and
-    the sets of their classes (in as many rows as ``full`` has of each, with its columns). A bucket is a shingle and two steps of size; side -1 and 1 meet each other, 0 itself."""
-    held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
-    flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
-    spread = flat.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("holders")).where("lo <> hi")
-    own = flat.join(spread.select("bucket", "holders"), "bucket").groupBy("class", "n", "root").agg(
-        F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
+def by_partner(rows: DataFrame) -> DataFrame:
+    """Each row once for each step of sizes (``other``) that a partner may have, with the overlap a link needs at least."""
     sizes = F.sequence(size_step(F.ceil(F.col("n") * PERCENT / 100)), size_step(F.floor(F.col("n") * 100 / PERCENT)))
     least = F.greatest(F.floor(F.exp(F.col("other") * F.lit(math.log(STEP))) * (1 - 1e-9)), F.ceil(F.col("n") * PERCENT / 100))
     need = F.floor(((F.col("n") + least) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
-    places = F.size("l") - need + 1  # of the prefix, behind the component's own shingles
-    met = own.withColumn("step", size_step(F.col("n"))).withColumn("other", F.explode(sizes)).withColumn("places", places.cast("int"))
-    met = met.where("places > 0").select("class", "n", "root", "step", "other", F.explode(F.slice("l.bucket", 1, F.col("places"))).alias("s"))
+    return rows.withColumn("step", size_step(F.col("n"))).withColumn("other", F.explode(sizes)).withColumn("need", need)
+
+
+def meeting(met: DataFrame) -> DataFrame:
+    """Of the prefix shingles s (class, n, root, step, other, s), those that are in the prefix of a class in another component,
+    sizes fitting: (bucket, class, n, root, side). A bucket is a shingle and two steps of size; side -1 and 1 meet each other, 0 itself."""
     first = stored(met.select(F.xxhash64("s", F.least("step", "other"), F.greatest("step", "other")).alias("bucket"), "class", "n", "root",
                               F.signum(F.col("other") - F.col("step")).cast("int").alias("side")), "first")
     ends = [f(F.when(F.col("side") == k, F.col("root"))).alias(f"{name}{k + 1}") for k in (-1, 0, 1) for f, name in ((F.min, "lo"), (F.max, "hi"))]
     met = first.join(first.groupBy("bucket").agg(*ends), "bucket")
     partner = [(F.col("side") == k) & ((F.col(f"lo{1 - k}") != F.col("root")) | (F.col(f"hi{1 - k}") != F.col("root"))) for k in (-1, 0, 1)]
-    first = stored(met.where(F.coalesce(partner[0] | partner[1] | partner[2], F.lit(False))).select("bucket", "class", "n", "root", "side"), "first")
+    return met.where(F.coalesce(partner[0] | partner[1] | partner[2], F.lit(False))).select("bucket", "class", "n", "root", "side")
+
+
+def open_by_prefix(rows: DataFrame) -> DataFrame:
+    """The classes of ``rows`` (prefixes in one order: bucket is a shingle, pos its place) that may have a link out of their
+    component; their sets aren't read. The first common shingle of a link leaves room for the overlap behind it in both sets.
+    All common shingles up to the end of the prefix that ends first lie in both prefixes, so in buckets of two components."""
+    own = rows.groupBy("class").agg(F.count("*").alias("met"))
+    upper = F.least(F.ceil(F.exp((F.col("other") + 1) * F.lit(math.log(STEP))) * (1 + 1e-9)), F.floor(F.col("n") * 100 / PERCENT))
+    behind = F.ceil(F.greatest(F.col("n"), upper) * PERCENT / 100) - 1
+    room = (F.col("n") - F.col("pos") >= F.col("need")) & (F.col("met") + behind >= F.col("need"))
+    met = by_partner(rows.join(own, "class")).where(room).select("class", "n", "root", "step", "other", F.col("bucket").alias("s"))
+    return stored(meeting(met).select("class").distinct(), "open")
+
+
+def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What can have a link out of its component: prefix shingles (as ``meeting`` gives them), the mixed rows and
+    the sets of their classes (in as many rows as ``full`` has of each, with its columns)."""
+    held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
+    flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
+    spread = flat.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("holders")).where("lo <> hi")
+    own = flat.join(spread.select("bucket", "holders"), "bucket").groupBy("class", "n", "root").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
+    places = F.size("l") - F.col("need") + 1  # of the prefix, behind the component's own shingles
+    met = by_partner(own).withColumn("places", places.cast("int"))
+    met = met.where("places > 0").select("class", "n", "root", "step", "other", F.explode(F.slice("l.bucket", 1, F.col("places"))).alias("s"))
+    first = stored(meeting(met), "first")
     left = first.select("class").distinct()
     return first, stored(mixed_rows(rows.join(left, "class", "left_semi")), "mixed"), stored(
         held.select(*full.columns).join(left, "class", "left_semi"), "sets")
