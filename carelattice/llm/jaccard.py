@@ -9,14 +9,14 @@ by 80 % or more, as connected components.
    order only decides how fast the join is, never its result.
 3. Two sets of similarity 0.8 share a shingle among the first n - ceil(0.8 n) + 1 of either in any
    order. Shingles that just one class has there are left out (bitmap, then exact count).
-4. Round 1 pairs each class with the most central class of each of its buckets. Further rounds (``rounds``) pair it
-   with leads of other components; before them, classes leave that can't have a link out of their component any
-   more: by their prefixes alone first, then as their prefixes in a new order (shingles that one component alone
-   holds first) meet no other one.
-   The last round takes every pair of those that are left, in two components, and not yet compared. A link is in
-   one of the rounds or inside a component, so the components are those of all links.
+4. Round 1 pairs each class with the most central class of each of its buckets. Of the shingles that two
+   components then still share, those stay whose place in the prefix leaves room for a link, for each step of
+   partners' sizes. Round 2 takes every pair of components in buckets of up to ``LIGHT`` classes. Classes of larger
+   buckets go on in rounds (``rounds``) with leads of other components; before each, classes leave whose prefixes in a
+   new order (shingles that one component alone holds first) meet no other component. The last round takes all
+   pairs left. A link is in one of the rounds or inside a component, so the components are those of all links.
 5. Pairs are verified in the order's fragments: each fragment counts its partial overlap of a pair
-   separately, and the counts are summed per pair. In round 1 the overlap of the prefixes comes first; most
+   separately, and the counts are summed per pair. In rounds 1 and 2 the overlap of the prefixes comes first; most
    pairs can't reach the threshold any more after it, and the others' sets are not moved.
 
 Defined results: null or blank texts have no shingle and are alone; fewer than five words make one
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
 from carelattice.llm.frames import identified, pieces, stored
-from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
+from carelattice.llm.rounds import PERCENT, by_size, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
 N = 5
@@ -44,6 +44,7 @@ LOCAL = 2                    # reported by a chunk from so many of its classes o
 HEAVY = 16                   # placed at the end of the order from so many classes on
 HEAVY_MOST = 2**18           # of these, the most frequent
 FRAGMENTS = 4
+LIGHT = 64                   # classes of a bucket whose pairs are listed at once
 ROUNDS = 3                   # of stars; their number decides cost only
 SEEN = 200_000               # classes that a task remembers so as to leave out copies
 
@@ -280,9 +281,15 @@ def roots_of(docs: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
     first = stored(hopeful(central_pairs(rows), rows), "pairs")
     links = [stored(verified(first, stored(segments(docs, both_ends(first), heavy, n), "segments")), "links")]
     tested, roots = [first.select("a", "b")], stored(components(links[0]), "roots")
-    rows = rows.select(F.col("shingle").alias("bucket"), "class", "n", "pos", F.col("class").alias("root"))
-    mixed = stored(mixed_rows(rows, roots), "mixed")
-    mixed = stored(mixed_rows(mixed.join(open_by_prefix(mixed), "class", "left_semi")).drop("pos"), "mixed")
+    flat = rows.select(F.col("shingle").alias("bucket"), "class", "n", "pos", F.col("class").alias("root"))
+    mixed = stored(mixed_rows(flat, roots), "mixed")
+    light, crowd = by_size(open_by_prefix(mixed), LIGHT)
+    second = crossing_pairs(light).join(first, ["a", "b"], "left_anti")
+    second = stored(hopeful(second, rows), "pairs")
+    links.append(stored(verified(second, stored(segments(docs, both_ends(second), heavy, n), "segments")), "links"))
+    tested.append(second.select("a", "b"))
+    roots = stored(components(reduce(DataFrame.unionByName, links)), "roots")
+    mixed = stored(mixed_rows(mixed.drop("pos").join(crowd, "class", "left_semi"), roots), "mixed")
     full, turn, new = None, 1, True
     while mixed.limit(1).count():
         if full is None:

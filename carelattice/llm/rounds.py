@@ -62,15 +62,23 @@ def meeting(met: DataFrame) -> DataFrame:
 
 
 def open_by_prefix(rows: DataFrame) -> DataFrame:
-    """The classes of ``rows`` (prefixes in one order: bucket is a shingle, pos its place) that may have a link out of their
-    component; their sets aren't read. The first common shingle of a link leaves room for the overlap behind it in both sets.
+    """Which of ``rows`` (prefixes in one order: bucket is a shingle, pos its place) may be the first common shingle of a link between
+    components, as ``meeting`` gives them; sets aren't read. The first common shingle of a link leaves room for the overlap behind it in both sets.
     All common shingles up to the end of the prefix that ends first lie in both prefixes, so in buckets of two components."""
     own = rows.groupBy("class").agg(F.count("*").alias("met"))
     upper = F.least(F.ceil(F.exp((F.col("other") + 1) * F.lit(math.log(STEP))) * (1 + 1e-9)), F.floor(F.col("n") * 100 / PERCENT))
     behind = F.ceil(F.greatest(F.col("n"), upper) * PERCENT / 100) - 1
     room = (F.col("n") - F.col("pos") >= F.col("need")) & (F.col("met") + behind >= F.col("need"))
     met = by_partner(rows.join(own, "class")).where(room).select("class", "n", "root", "step", "other", F.col("bucket").alias("s"))
-    return stored(meeting(met).select("class").distinct(), "open")
+    return stored(meeting(met), "open")
+
+
+def by_size(prefixes: DataFrame, light: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of buckets of at most ``light`` classes, whose pairs are as many as the rows up to that factor; the classes
+    of the other buckets. Two classes that can link are in one light bucket or both among these classes."""
+    held = prefixes.groupBy("bucket").agg(F.count("*").alias("held"))
+    counted = prefixes.join(held, "bucket")
+    return counted.where(F.col("held") <= light).drop("held"), stored(counted.where(F.col("held") > light).select("class").distinct(), "heavy")
 
 
 def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -42,6 +42,21 @@ def test_large_group_of_near_copies(spark, monkeypatch, heavy):
     assert component_rows(spark.createDataFrame(rows, SCHEMA).repartition(3)) == wanted(rows)
 
 
+@pytest.mark.parametrize("light", [2, 64])
+def test_groups_that_share_a_passage(spark, monkeypatch, light):
+    """Buckets of many components: listed at once, or by the rounds of the classes of large buckets."""
+    monkeypatch.setattr(jaccard, "LIGHT", light)
+    pick = random.Random(light)
+    shared, rows = [f"s{i}" for i in range(40)], []
+    for group in range(40):
+        own = [f"g{group}w{i}" for i in range(pick.randint(4, 30))]
+        for _ in range(pick.randint(1, 4)):
+            words = [*own[:len(own) - pick.randint(0, 2)], *shared]
+            words[pick.randrange(len(words))] = f"x{pick.randrange(9999)}"
+            rows.append((len(rows), " ".join(words)))
+    assert component_rows(spark.createDataFrame(rows, SCHEMA).repartition(3)) == wanted(rows)
+
+
 def test_keep_one(spark):
     rows = near_copies(random.Random(3), 80) + [(90, ""), (90, ""), (91, None), (None, "a b c d e f g"), (None, "a b c d e f g"), (5, "a b c d e f g")]
     kept = jaccard.keep_one(spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], SCHEMA + ", n int").repartition(2))
