@@ -73,3 +73,23 @@ def test_silence_is_told_once(spark, tmp_path):
     run(found, tmp_path, "append", state.board_writer(f"{tmp_path}/out"))
     got = spark.read.parquet(f"{tmp_path}/out").collect()
     assert sorted((r.device_id, r.silent_since, r.due_at) for r in got) == silent(rows, limit, at(980))
+
+
+def test_jobs_need_no_setting_of_the_session(spark, tmp_path):
+    """Also where the session names the default state store, which has neither lists nor timers."""
+    rows = [("a", "", at(0), 1), ("a", "", at(60), 2), ("b", "", at(7200), 3)]
+    name, default = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, default)
+    try:
+        stream = stream_of(spark, tmp_path, rows[:1], rows[1:])
+        boards = state.last_n_per_key(stream, ["device_id"], "ts", "n", 2)
+        state.run_job(boards, "update", f"{tmp_path}/boards", f"{tmp_path}/ck_boards").awaitTermination()
+        found = state.silences(stream, ["device_id", "kind"], "ts", F.lit(90), "1 minute")
+        state.run_job(found, "append", f"{tmp_path}/silent", f"{tmp_path}/ck_silent").awaitTermination()
+        assert spark.conf.get(name) == default
+    finally:
+        spark.conf.set(name, before)
+    got = state.current_boards(spark.read.parquet(f"{tmp_path}/boards"), ["device_id"]).collect()
+    assert {(r.device_id, r.place, r.n) for r in got} == {("a", 1, 2), ("a", 2, 1), ("b", 1, 3)}
+    assert [(r.device_id, r.silent_since, r.due_at) for r in spark.read.parquet(f"{tmp_path}/silent").collect()] == [("a", at(60), at(150))]
