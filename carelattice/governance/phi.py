@@ -137,9 +137,8 @@ def envelope(value: Column) -> Column:
 
 
 def is_envelope(value: Column) -> Column:
-    parsed = envelope(value)
-    good = (parsed["v"] == ENVELOPE_VERSION) & parsed["kid"].isNotNull() & parsed["ct"].isNotNull()
-    return F.coalesce(good, F.lit(False))
+    good = lambda p: (p["v"] == ENVELOPE_VERSION) & p["kid"].isNotNull() & p["ct"].isNotNull()
+    return F.coalesce(F.exists(F.array(envelope(value)), good), F.lit(False))  # parsed once for all three
 
 
 def decrypt_value(value: Column, keys: Keyring, aad: str | None = None) -> Column:
