@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelattice.functions.columns import as_of_date
 from carelattice.governance import access, deid, phi
+from carelattice.session import spread
 from suite import warehouse as w
 from suite.views import AS_OF, load, view, with_views
 
@@ -17,7 +18,7 @@ def people(spark, sf):
     """Persons with contact columns, from the customer table."""
     (customer,) = load(spark, sf, "customer")
     key = F.col("c_custkey")
-    return customer.select(
+    return spread(customer.select("c_custkey", "c_name")).select(
         key.alias("person_id"), F.concat(F.lit("M"), key.cast("string")).alias("mrn"),
         F.date_add(F.lit("1900-01-01").cast("date"), ((key * 7919) % 33000).cast("int")).cast("string").alias("birth_datetime"),
         F.col("c_name").alias("name"),
@@ -61,7 +62,7 @@ def joinable(spark, sf):
     keys = ring(spark)
     person = phi.encrypt_phi(people(spark, sf).select("person_id", "year_of_birth"), "person", keys)
     (orders,) = load(spark, sf, "orders")
-    events = orders.select(F.col("o_custkey").alias("patient_id"))
+    events = spread(orders.select("o_custkey")).select(F.col("o_custkey").alias("patient_id"))
     sealed = phi.encrypt_phi(events, "event", keys).withColumnRenamed("patient_id", "person_id")
     return sealed.join(person, "person_id").groupBy("year_of_birth").agg(F.count(F.lit(1)).alias("n"))
 
@@ -126,7 +127,7 @@ def governed(spark, sf):
 
 def phi_audit(spark, sf):
     """Messages with encrypted identifiers give audit rows."""
-    events = view(spark, sf, "device_readings").select(
+    events = spread(view(spark, sf, "device_readings")).select(
         "event_id", "ts", F.when(F.col("event_id") % 4 > 0, F.col("patient_id")).alias("patient_id"), "device_id")
     sealed = phi.encrypt_phi(events, "event", ring(spark))
     body = F.to_json(F.struct("patient_id", "device_id", F.lit(72).alias("heart_rate")))
@@ -141,7 +142,7 @@ def phi_audit(spark, sf):
 
 def phi_audit_nested(spark, sf):
     """Encrypted identifiers one, three and five levels deep."""
-    events = view(spark, sf, "device_readings").select("event_id", "ts", "patient_id", "device_id")
+    events = spread(view(spark, sf, "device_readings")).select("event_id", "ts", "patient_id", "device_id")
     sealed = phi.encrypt_phi(events, "event", ring(spark))
     deep = F.struct(F.struct("patient_id", F.struct(F.struct("device_id").alias("d")).alias("c")).alias("b"))
     messages = sealed.select(
