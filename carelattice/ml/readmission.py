@@ -18,6 +18,9 @@ from carelattice.operators.skew import Running, sliced_running
 from carelattice.session import materialise
 
 
+ROWS_PER_PART = 250_000
+
+
 @dataclass(frozen=True)
 class TrainConfig:
     """``trees`` is a limit: boosting stops once the loss on the validation part, the latest ``validation_size`` share
@@ -56,12 +59,19 @@ def temporal_split(df: DataFrame, time: str = "discharge_time", tie: str = "visi
     return parted.drop("_row", "_all")
 
 
+def training_parts(rows: int, cores: int) -> int:
+    """Boosting holds its rows, which take far more memory than in their file: parts of a bounded number of rows, and
+    work for all cores unless the rows are few."""
+    return max(1, -(-rows // ROWS_PER_PART), min(cores, rows // 10_000))
+
+
 def train(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> GBTClassificationModel:
     """Boosted trees. Rows marked by a boolean column ``is_validation`` choose the number of trees and grow none; without
     the column, or where it is true nowhere, ``cfg.trees`` trees grow. ``model.getNumTrees`` tells how many were kept."""
     stops = "is_validation" in df.columns and not df.filter("is_validation").isEmpty()
     kept = [F.col("is_validation")] if stops else []
     vectors = df.select(F.col("label").cast("double").alias("label"), *kept, *feature_columns(df))
+    vectors = vectors.repartition(training_parts(df.count(), df.sparkSession.sparkContext.defaultParallelism))
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(vectors)
     learner = GBTClassifier(
         maxIter=cfg.trees, maxDepth=cfg.depth, stepSize=cfg.learning_rate,
