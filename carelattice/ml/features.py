@@ -2,9 +2,9 @@
 
 Everything a model sees about a discharge lies before it. Instead of a loop over patients
 or a join of every discharge with every fact, facts and questions share one timeline per
-patient: facts add to running counts, a question reads the counts at its moment. A window
-"last 90 days" is the difference between the counts at two moments. The cost is linear in
-visits plus facts.
+patient: facts add to running counts, a question reads the counts at its moment. For a window
+"last 90 days" a fact has a second row 90 days on, where it leaves the window, so that each
+discharge asks once. The cost is linear in visits plus facts.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def readings_from_silver(vitals: DataFrame) -> DataFrame:
     )
 
 
-def visit_history(visits: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def visit_history(visits: DataFrame, hot: DataFrame | bool | None = None) -> DataFrame:
     """Each complete visit with what came before it and the start of the next one."""
     complete = visits.filter(
         F.col("visit_start_datetime").isNotNull() & F.col("visit_end_datetime").isNotNull()
@@ -82,9 +82,9 @@ def readmission_label(days: int = 30) -> Column:
 
 
 MICRO = 1_000_000
-COUNTS = ["visits", "conditions", "chronic", "ccs", "drugs"]
-# Order at one instant: "strictly before" questions, readings, the discharge, other facts.
-BEFORE, READING, DISCHARGE, FACT = 0, 1, 2, 3
+COUNTS = ["conditions", "chronic", "ccs", "drugs"]
+# Order at one instant: readings, the discharge, other facts and facts that leave a window.
+READING, DISCHARGE, FACT = 0, 1, 2
 
 
 def discharge_features(
@@ -92,8 +92,12 @@ def discharge_features(
     readings: DataFrame, *, reading_days: int = 30, label_days: int = 30,
 ) -> DataFrame:
     """18 features and the label for every complete visit of a known person."""
-    everything = [t.select("person_id") for t in (visits, conditions, drugs, readings)]
-    hot = hot_keys(reduce(DataFrame.unionAll, everything), ["person_id"])  # a few visits may have many readings
+    # Rows of the timeline at most: a visit's question and its ends of lookbacks, a condition and the first of its category,
+    # a reading and its end. A few visits may have many readings.
+    shares = [(visits, 1 + len(LOOKBACKS)), (conditions, 2), (drugs, 1), (readings, 2)]
+    found = hot_keys(
+        reduce(DataFrame.unionAll, [t.select("person_id", F.lit(n).alias("rows")) for t, n in shares]), ["person_id"], "rows")
+    hot = False if found is None else found
     known = visits.select(
         "person_id", "visit_occurrence_id", "visit_start_datetime", "visit_end_datetime", "visit_concept_id"
     ).join(
@@ -103,24 +107,13 @@ def discharge_features(
     discharge = F.col("visit_end_datetime")
     carried = [c for c in history.columns if c != "person_id"]
 
-    row = F.struct(*[F.col(c) for c in carried])
-    row_type = history.select(row).schema[0].dataType
-
-    def asked(name: str, ts: Column, order: int, about: Column | None = None) -> Column:
-        return F.struct(
-            F.lit(name).alias("question"), F.col("visit_occurrence_id").alias("visit"),
-            ts.alias("ts"), F.lit(order).alias("ord"),
-            (F.lit(None).cast(row_type) if about is None else about).alias("about"),
-        )
-
-    def ago(days: int) -> Column:
-        return discharge - F.make_dt_interval(F.lit(days))
+    questions = history.select(
+        "person_id", discharge.alias("ts"), F.lit(DISCHARGE).alias("ord"), F.col("visit_occurrence_id").alias("visit"),
+        F.struct(*carried).alias("about"),
+    )
 
-    questions = history.select("person_id", F.inline(F.array(
-        asked("now", discharge, DISCHARGE, row),
-        asked("readings", ago(reading_days), BEFORE),
-        *[asked(f"v{days}", ago(days), BEFORE) for days in LOOKBACKS],
-    )))
+    def later(ts: Column, days: int) -> Column:
+        return ts + F.make_dt_interval(F.lit(days))
 
     def facts_of(df: DataFrame, ts: Column, order: int = FACT, **counts: Column) -> DataFrame:
         added = [value.cast("long").alias(name) for name, value in counts.items()]
@@ -132,40 +125,39 @@ def discharge_features(
         .groupBy("person_id", "ccs_category").agg(F.min(onset).alias("first_seen"))
     )
     given = {s: c for s, c in READINGS.items() if c in readings.columns}
-    tallies = [*COUNTS, *[f"{s}_{k}" for s in given for k in ("sum", "n")]]
+    tallies = [*COUNTS, *[f"before_{d}" for d in LOOKBACKS], *[f"{s}_{k}" for s in given for k in ("sum", "n")]]
     read = {}
     for short, name in given.items():
         read[f"{short}_sum"] = F.round(F.col(name) * MICRO)
         read[f"{short}_n"] = F.col(name).isNotNull()
+    started = F.col("visit_start_datetime")
+    ends = history.select("person_id", F.inline(F.array(*[
+        F.struct(later(started, d).alias("end"), *[F.lit(int(d == e)).alias(f"before_{e}") for e in LOOKBACKS]) for d in LOOKBACKS
+    ])))
     parts = [
-        facts_of(history, F.col("visit_start_datetime"), visits=F.lit(1)),
+        facts_of(ends, F.col("end"), **{f"before_{d}": F.col(f"before_{d}") for d in LOOKBACKS}),
         facts_of(conditions, onset, conditions=F.lit(1), chronic=F.col("ccs_category").isin(CHRONIC)),
         facts_of(first_seen, F.col("first_seen"), ccs=F.lit(1)),
         facts_of(drugs, F.col("drug_exposure_start_datetime"), drugs=F.lit(1)),
         facts_of(readings, F.col("ts"), READING, **read),
+        facts_of(readings, later(F.col("ts"), reading_days), **{name: -value.cast("long") for name, value in read.items()}),
     ]
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if hot is not None:
+    if found is not None:
         # A hot person's facts at one instant collapse before the shuffle.
         facts = facts.groupBy("person_id", "ts", "ord").agg(*[F.sum(t).alias(t) for t in tallies])
     timeline = questions.unionByName(facts, allowMissingColumns=True)
     counted = ordered_columns(
         timeline, ["person_id"],
-        [F.col("ts"), F.col("ord"), F.col("question"), F.col("visit")],
+        [F.col("ts"), F.col("ord"), F.col("visit")],
         running={f"r_{t}": Running("sum", F.col(t)) for t in tallies}, hot=hot,
-    ).filter(F.col("question").isNotNull())
-
-    def at(question: str, tally: str) -> Column:
-        return F.max(F.when(F.col("question") == question, F.col(f"r_{tally}")))
-
+    ).filter(F.col("about").isNotNull())
+    # One row per visit, should its id come several times.
     answers = counted.groupBy("person_id", "visit").agg(
-        F.first("about", ignorenulls=True).alias("about"),
-        *[at("now", t).alias(t) for t in ("conditions", "chronic", "ccs", "drugs")],
-        *[at(f"v{d}", "visits").alias(f"before_{d}") for d in LOOKBACKS],
-        *[(at("now", f"{s}_{k}") - at("readings", f"{s}_{k}")).alias(f"{s}_{k}")
-          for s in given for k in ("sum", "n")],
+        F.min(F.struct("ts", "about")).alias("first"),
+        F.max(F.struct("ts", *[F.col(f"r_{t}").alias(t) for t in tallies])).alias("last"),
     )
-    flat = answers.select("person_id", "about.*", *[c for c in answers.columns if c not in ("person_id", "visit", "about")])
+    flat = answers.select("person_id", "first.about.*", *[f"last.{t}" for t in tallies])
     within = {
         f"visits_{d}": F.greatest(F.col("prior_visits") - F.col(f"before_{d}"), F.lit(0)) for d in LOOKBACKS
     }

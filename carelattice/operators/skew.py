@@ -67,14 +67,15 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys (as hashes, column ``hot_key``) that hold ``carelattice.hot.rows`` rows or more, or None.
+def hot_keys(df: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame | None:
+    """The keys (as hashes, column ``hot_key``) that hold ``carelattice.hot.rows`` rows or more, or None. A row counts
+    as often as the column ``weight`` says.
 
     An exact count per key, combined before its shuffle, on the key columns alone. The result is a
     written table that ``split`` joins; the driver only learns whether it is empty.
     """
     limit = int(df.sparkSession.conf.get("carelattice.hot.rows", str(HOT_ROWS)))
-    counted = df.groupBy(key_hash(keys).alias("hot_key")).agg(F.count(F.lit(1)).alias("rows"))
+    counted = df.groupBy(key_hash(keys).alias("hot_key")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("rows"))
     found = materialise(counted.filter(F.col("rows") >= limit), "hot-keys")
     return None if found.isEmpty() else found.select("hot_key")
 
@@ -157,13 +158,13 @@ def ordered_columns(
     before: int = 0,
     after: int = 0,
     group_rows: str | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Add running and neighbour columns per key.
 
     ``framed`` maps a new column to a function of an ordered window whose frame reaches at
     most ``before`` rows back and ``after`` rows ahead (lag, lead, short rolling sums).
-    ``order`` must be total within a key.
+    ``order`` must be total within a key. ``hot`` names the hot keys where they are known; False: no key is hot. None counts them.
     """
     running = dict(running or {})
     framed = dict(framed or {})
@@ -177,7 +178,7 @@ def ordered_columns(
             added[group_rows] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return rows.withColumns(added)
 
-    if hot is None:
+    if hot is None or hot is False:
         return plain(df)
     ordinary, heavy = split(df, keys, hot)
     numbered = sliced_running(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelattice.ml import features as f
 from carelattice.ml import readmission as r
+from carelattice.operators import skew
 from suite import features as suite_features
 
 SF = "/root/testdata/sf0.001"
@@ -66,6 +67,39 @@ def test_discharge_features_when_all_keys_are_hot(spark, every_key_hot):
     check(f.discharge_features(*tables(spark)).collect())
 
 
+def test_one_question_a_discharge_on_the_timeline(spark, monkeypatch):
+    """Hot persons are counted once, and of a visit's rows only the discharge itself and three ends of lookbacks."""
+    seen, counts = [], []
+    ordered, keys = f.ordered_columns, skew.hot_keys
+
+    def counted(*args, **more):
+        counts.append(args[1])
+        return keys(*args, **more)
+
+    monkeypatch.setattr(f, "ordered_columns", lambda df, *args, **more: seen.append(df) or ordered(df, *args, **more))
+    monkeypatch.setattr(f, "hot_keys", counted)
+    monkeypatch.setattr(skew, "hot_keys", counted)
+    person, visits, conditions, drugs, readings = tables(spark)
+    none = [t.limit(0) for t in (conditions, drugs, readings)]
+    assert f.discharge_features(person, visits, *none).count() == 4
+    assert counts == [["person_id"]]
+    assert seen[-1].count() == 4 * 4
+
+
+def test_repeated_visits_and_both_ends_of_the_windows(spark):
+    person, visits, conditions, drugs, readings = tables(spark)
+    edges = spark.createDataFrame(
+        [(1, 90, T(2023, 1, 1), T(2023, 1, 1), 9201), (1, 91, T(2023, 4, 1), T(2023, 4, 1), 9201),
+         (1, 92, T(2023, 4, 1, 0, 0, 1), T(2023, 4, 1, 0, 0, 1), 9201)], visits.schema)
+    read = spark.createDataFrame([(1, T(2023, 3, 2), 50.0, None, None), (1, T(2023, 4, 1), 70.0, None, None)], readings.schema)
+    rows = {r_.visit_occurrence_id: r_ for r_ in f.discharge_features(
+        person, edges.union(edges.filter("visit_occurrence_id = 92")), conditions.limit(0), drugs.limit(0), read).collect()}
+    assert set(rows) == {90, 91, 92}
+    # 90 days and 30 days before, to the second, lie within; a second more does not
+    assert (rows[91].feature_visits_90d, rows[91].feature_mean_hr_30d) == (1, 60.0)
+    assert (rows[92].feature_visits_90d, rows[92].feature_visits_180d, rows[92].feature_mean_hr_30d) == (1, 2, 70.0)
+
+
 def test_no_future_fact_changes_a_feature(spark):
     person, visits, conditions, drugs, readings = tables(spark)
     cut = T(2024, 1, 22)
