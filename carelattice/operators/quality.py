@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions.columns import age, column, missing
+from carelattice.session import materialise
 from carelattice.sources.seeds import METAL_LEVELS, PLAN_TYPES, RELATIONS, US_STATES
 from carelattice.sources.tables import union_all
 
@@ -206,11 +207,16 @@ ACCEPTED = {
 
 
 def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
-    """not_null, accepted_values and unique tests of the models given by name."""
+    """not_null, accepted_values and unique tests of the models given by name.
+
+    A model that both kinds of tests read is built once: the columns they read are written."""
     parts = []
     for name, df in models.items():
         checks = not_null(*NOT_NULL.get(name, "").split())
         checks += [accepted_values(col, values) for col, values in ACCEPTED.get(name, {}).items()]
+        if checks and name in UNIQUE:
+            read = dict.fromkeys([*[check.column for check in checks], UNIQUE[name]])
+            df = materialise(df.select(*read), f"tests-{name}")
         if checks:
             parts.append(evaluate(df, name, checks))
         if name in UNIQUE:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelattice.functions.columns import as_of_date
 from carelattice.operators import aggregates, population, quality
 from carelattice.operators.windows import duplicates, unique_over
-from carelattice.plans import staging
+from carelattice.plans import marts, staging
 from suite import warehouse as w
 from suite.views import AS_OF, load, view
 
@@ -32,9 +32,10 @@ def model_tests(spark, sf):
 
 def model_tests_facts(spark, sf):
     """The five models that ``model_tests`` leaves out."""
+    condition, drug = w.condition(spark, sf), w.drug(spark, sf)
     return quality.model_tests({
-        "omop_condition": w.condition(spark, sf), "omop_drug": w.drug(spark, sf), "omop_measurement": w.measurement(spark, sf),
-        "medication_adherence": w.adherence(spark, sf), "condition_drug_pairs": w.condition_drug_pairs(spark, sf),
+        "omop_condition": condition, "omop_drug": drug, "omop_measurement": w.measurement(spark, sf),
+        "medication_adherence": marts.medication_adherence(drug), "condition_drug_pairs": marts.condition_drug_pairs(condition, drug),
     })
 
 

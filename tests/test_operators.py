@@ -338,3 +338,19 @@ def test_a_member_with_two_plans_costs_once(spark):
     got = sorted((str(r.claim_month), r.plan_type, r.member_count) for r in playbook.pmpm_in_force(members, claims).collect())
     assert got == [("2019-12-01", None, 1), ("2020-02-01", "HMO", 1), ("2020-03-01", "PPO", 1)]
     assert [r.row_key for r in playbook.one_per_member(members, F.lit("2020-02-01").cast("date")).collect()] == [1]
+
+
+def test_model_tests_build_a_model_once(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(1, 8507, 1950), (1, 5, None), (2, 8532, 1960)], "person_id long, gender_concept_id int, year_of_birth int")
+    person = rows.mapInArrow(through, rows.schema)
+    result = {row.check_id: (row.failed_rows, row.total_rows) for row in quality.model_tests({"omop_person": person}).collect()}
+    assert built.value == 3
+    assert result["unique_person_id"] == (1, 3)
+    assert {failed for check, (failed, _) in result.items() if check != "unique_person_id"} == {0, 1}
