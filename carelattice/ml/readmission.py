@@ -163,8 +163,10 @@ def evaluate(features: DataFrame, cfg: TrainConfig = TrainConfig()) -> tuple[GBT
 
 
 def fit(features: DataFrame, cfg: TrainConfig = TrainConfig()) -> tuple[GBTClassificationModel, DataFrame]:
-    """The model and the split rows (``is_test``, ``is_validation``), which are written once: training reads them many times."""
-    parted = materialise(temporal_split(features, test_size=cfg.test_size, validation_size=cfg.validation_size), "training")
+    """The model and the split rows (``is_test``, ``is_validation``), which are written once: training reads them many times.
+
+    The features are written before the split as well: drawing its ranges reads the rows twice."""
+    parted = materialise(temporal_split(materialise(features, "features"), test_size=cfg.test_size, validation_size=cfg.validation_size), "training")
     return train(parted.filter(~F.col("is_test")), cfg), parted
 
 
@@ -210,7 +212,9 @@ def prediction_event(scored: DataFrame, as_of: Column, *, model_version: str = "
 
 def prediction_table(model: GBTClassificationModel, features: DataFrame, as_of: Column, *,
                      explain: bool = False, valid_minutes: int = 60) -> DataFrame:
-    """One prediction per person."""
+    """One prediction per person. The features are written when explained: means, score and effects each read them."""
+    if explain:
+        features = materialise(features, "current-features")
     scored = score(model, features)
     if explain:
         scored = scored.join(local_contributions(model, features, "person_id"), "person_id")

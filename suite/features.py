@@ -12,6 +12,7 @@ from carelattice.ml import features as f
 from carelattice.ml import readmission as r
 from carelattice.operators import population
 from carelattice.plans import omop
+from carelattice.session import materialise
 from suite import warehouse as w
 from suite.views import AS_OF, load, view
 
@@ -103,7 +104,7 @@ def checked(predictions):
 
 def predictions(spark, sf):
     model, _ = trained(spark, sf)
-    table = r.prediction_table(model, current_features(spark, sf), DAY(), explain=True)
+    table = materialise(r.prediction_table(model, current_features(spark, sf), DAY(), explain=True), "predictions")  # read twice
     explained = table.select("person_id", (F.size("top_feature_contributions") == 5).alias("explained"))
     return checked(table).join(explained, "person_id")
 

@@ -199,3 +199,26 @@ def test_model_survives_saving(spark, trained, tmp_path):
     rows = synthetic(spark, 20)
     one, two = r.score(trained[0], rows), r.score(r.load(str(tmp_path / "m")), rows)
     assert sorted(x.score for x in one.collect()) == sorted(x.score for x in two.collect())
+
+
+def counting(df):
+    """The same rows, and a count of how many were built."""
+    built = df.sparkSession.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(through, df.schema), built
+
+
+def test_features_are_built_once_for_training_and_once_for_predictions(spark):
+    rows, built = counting(synthetic(spark, 300))
+    model, parted = r.fit(rows, r.TrainConfig(trees=2, depth=2))
+    assert parted.count() == 300 and built.value == 300
+    people, built = counting(synthetic(spark, 40).withColumnRenamed("visit_occurrence_id", "person_id"))
+    table = r.prediction_table(model, people, F.lit(T(2024, 1, 1)), explain=True)
+    assert table.count() == 40 and built.value == 40
+    table.collect()
+    assert built.value == 40
