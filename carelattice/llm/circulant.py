@@ -39,8 +39,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
-from carelattice.llm.frames import pieces, stored
-from carelattice.llm.jaccard import Seen, class_ids, shingle_sets
+from carelattice.llm.frames import bound_batches, identified, pieces, stored
+from carelattice.llm.jaccard import Seen, class_ids, one_row_each, rows_marked, shingle_sets
 from carelattice.llm.rounds import PERCENT, crossing_pairs, mixed_rows, star_pairs, still_open
 from carelattice.llm.words import mix
 
@@ -90,7 +90,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n (set size), class, and, for one document at least of each class, its band keys."""
+    """doc_id, row_key, n (set size), class, and, for one document at least of each class, its band keys."""
 
     def run(batches):
         seen = Seen()
@@ -107,11 +107,11 @@ def signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             held[new] = bands
             offsets = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size.astype(np.int64)), pa.array(ids.view(np.int64)),
+                [batch.column(0), batch.column(2), pa.array(size.astype(np.int64)), pa.array(ids.view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64)))],
-                names=["doc_id", "n", "class", "bands"])
+                names=["doc_id", "row_key", "n", "class", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, class bigint, bands array<bigint>")
+    return docs.select("doc_id", "text", "row_key").mapInArrow(run, "doc_id bigint, row_key bigint, n bigint, class bigint, bands array<bigint>")
 
 
 def shared_bands(sets: DataFrame) -> DataFrame:
@@ -141,23 +141,23 @@ def shared_bands(sets: DataFrame) -> DataFrame:
     return stored(rows.join(again, "bucket"), "buckets")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(class, shingles) of the wanted classes, once each."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "class"))
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(class, shingles) of the wanted classes of ``sets``, once each."""
+    bits = docs.sparkSession.sparkContext.broadcast((bitmap(wanted, "class"), bitmap(one_row_each(sets, wanted), "row_key")))
 
     def run(batches):
         seen = Seen()
-        for batch in pieces(batches, 0):
+        for batch in pieces(rows_marked(batches, bits.value[1], 1), 0):
             hashed, border = shingle_sets(batch.column(0), n)
             ids = class_ids(hashed, border)
-            new = seen.new(np.where(marked(bits.value, ids), ids, np.uint64(0)))
+            new = seen.new(np.where(marked(bits.value[0], ids), ids, np.uint64(0)))
             size = np.diff(border)
             offsets = np.concatenate([[0], np.cumsum(size[new])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[new].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashed[np.repeat(new, size)].view(np.int64)))],
                 names=["class", "shingles"])
 
-    made = docs.select("text").mapInArrow(run, "class bigint, shingles array<bigint>")
+    made = docs.select("text", "row_key").mapInArrow(run, "class bigint, shingles array<bigint>")
     return made.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
@@ -171,10 +171,10 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def members(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n (set size), class, root: one row a document. Rows with the same root are one component; empty
     sets share root 0 and are linked with nothing."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = bound_batches(identified(docs))
     sets = stored(signed(docs, n, bands, rows), "signed")
     buckets = shared_bands(sets)
-    full = stored(full_sets(docs, buckets.select("class").distinct(), n), "sets")
+    full = stored(full_sets(docs, sets, buckets.select("class").distinct(), n), "sets")
     mixed, links, tested, roots, new = buckets.withColumn("root", F.col("class")), [], [], None, True
     for turn in range(ROUNDS + 1):
         last = not new or turn == ROUNDS

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
-from carelattice.llm.frames import identified, pieces, stored
+from carelattice.llm.frames import bound_batches, identified, pieces, shuffles_dropped, stored
 from carelattice.llm.rounds import PERCENT, by_size, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
@@ -129,7 +129,8 @@ def heavy_shingles(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]
         yield report()
 
     counts = docs.select("text").mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "s").limit(HEAVY_MOST).toArrow()
+    with shuffles_dropped(docs.sparkSession):
+        top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "s").limit(HEAVY_MOST).toArrow()
     shingle, count = top["s"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingle)
     return shingle[order], count[order]
@@ -239,14 +240,25 @@ def both_ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
 
 
-def segments(docs: DataFrame, wanted: DataFrame, heavy, n: int = N) -> DataFrame:
-    """(class, fragment, shingles) of the ``wanted`` classes: the order cut into fragments, the last
+def one_row_each(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The key of one row (class, row_key) of each ``wanted`` class, so that no other text is cut into shingles again."""
+    return sets.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("row_key").alias("row_key"))
+
+
+def rows_marked(batches, bits: np.ndarray, key: int):
+    """Of the batches, the rows whose key (column number) has its bit set."""
+    for batch in batches:
+        yield batch.filter(pa.array(marked(bits, batch.column(key).to_numpy().view(np.uint64))))
+
+
+def segments(docs: DataFrame, sets: DataFrame, wanted: DataFrame, heavy, n: int = N) -> DataFrame:
+    """(class, fragment, shingles) of the ``wanted`` classes of ``sets``: the order cut into fragments, the last
     one for shingles of many classes."""
-    bits = docs.sparkSession.sparkContext.broadcast((bitmap(wanted, "class"), heavy))
+    bits = docs.sparkSession.sparkContext.broadcast((bitmap(wanted, "class"), heavy, bitmap(one_row_each(sets, wanted), "row_key")))
 
     def run(batches):
         seen = Seen()
-        for batch in pieces(batches, 0):
+        for batch in pieces(rows_marked(batches, bits.value[2], 1), 0):
             hashed, border = shingle_sets(batch.column(0), n)
             ids = class_ids(hashed, border)
             pick = seen.new(np.where(marked(bits.value[0], ids), ids, np.uint64(0)))
@@ -262,7 +274,7 @@ def segments(docs: DataFrame, wanted: DataFrame, heavy, n: int = N) -> DataFrame
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(kept[order].view(np.int64)))],
                 names=["class", "fragment", "shingles"])
 
-    made = docs.select("text").mapInArrow(run, "class bigint, fragment int, shingles array<bigint>")
+    made = docs.select("text", "row_key").mapInArrow(run, "class bigint, fragment int, shingles array<bigint>")
     return made.join(wanted, "class", "left_semi").dropDuplicates(["class", "fragment"])
 
 
@@ -276,24 +288,24 @@ def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return total.where(F.expr(f"100 * common >= {PERCENT} * (na + nb - common)")).select("a", "b", "common")
 
 
-def roots_of(docs: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
+def roots_of(docs: DataFrame, sets: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
     """(node, root) of all linked classes, round by round until no pair is left that could link two components."""
     first = stored(hopeful(central_pairs(rows), rows), "pairs")
-    links = [stored(verified(first, stored(segments(docs, both_ends(first), heavy, n), "segments")), "links")]
+    links = [stored(verified(first, stored(segments(docs, sets, both_ends(first), heavy, n), "segments")), "links")]
     tested, roots = [first.select("a", "b")], stored(components(links[0]), "roots")
     flat = rows.select(F.col("shingle").alias("bucket"), "class", "n", "pos", F.col("class").alias("root"))
     mixed = stored(mixed_rows(flat, roots), "mixed")
     light, crowd = by_size(open_by_prefix(mixed), LIGHT)
     second = crossing_pairs(light).join(first, ["a", "b"], "left_anti")
     second = stored(hopeful(second, rows), "pairs")
-    links.append(stored(verified(second, stored(segments(docs, both_ends(second), heavy, n), "segments")), "links"))
+    links.append(stored(verified(second, stored(segments(docs, sets, both_ends(second), heavy, n), "segments")), "links"))
     tested.append(second.select("a", "b"))
     roots = stored(components(reduce(DataFrame.unionByName, links)), "roots")
     mixed = stored(mixed_rows(mixed.drop("pos").join(crowd, "class", "left_semi"), roots), "mixed")
     full, turn, new = None, 1, True
     while mixed.limit(1).count():
         if full is None:
-            full = stored(segments(docs, mixed.select("class").distinct(), heavy, n), "segments")
+            full = stored(segments(docs, sets, mixed.select("class").distinct(), heavy, n), "segments")
         prefixes, mixed, full = still_open(mixed, full)
         if not prefixes.limit(1).count():
             break
@@ -314,10 +326,10 @@ def roots_of(docs: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
 def members(docs: DataFrame, n: int = N) -> DataFrame:
     """doc_id, row_key (64 bits of id and text), n (set size), class, root: one row a document. Rows with
     the same root are one component; empty sets are components of their own kind and share root 0."""
-    docs = identified(docs)
+    docs = bound_batches(identified(docs))
     heavy = heavy_shingles(docs, n)
     sets = stored(with_prefixes(docs, heavy, n), "sets")
-    roots = roots_of(docs, shared_prefix_rows(sets), heavy, n)
+    roots = roots_of(docs, sets, shared_prefix_rows(sets), heavy, n)
     found = sets.select("doc_id", "row_key", "n", "class").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     return found.withColumn("root", F.coalesce("root", "class"))
 
