@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from carelattice.llm.frames import shuffles_dropped
+from carelattice.llm.frames import fetched
 
 BITS = 26
 
@@ -14,10 +14,8 @@ BITS = 26
 def bitmap(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     """2**bits bits (8 MB by default); Spark ors the words, so the driver gets at most 2**bits / 64 rows."""
     slot = F.col(column).bitwiseAND(F.lit(2**bits - 1))
-    set_bits = df.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b"))
-    with shuffles_dropped(df.sparkSession):
-        words = set_bits.toArrow()
+    words = fetched(df.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")))
     out = np.zeros(2**bits // 64, np.uint64)
     out[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
     return out

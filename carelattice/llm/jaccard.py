@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
-from carelattice.llm.frames import bound_batches, identified, pieces, shuffles_dropped, stored
+from carelattice.llm.frames import bound_batches, fetched, identified, pieces, stored
 from carelattice.llm.rounds import PERCENT, by_size, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
@@ -129,8 +129,7 @@ def heavy_shingles(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]
         yield report()
 
     counts = docs.select("text").mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-    with shuffles_dropped(docs.sparkSession):
-        top = counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "s").limit(HEAVY_MOST).toArrow()
+    top = fetched(counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "s").limit(HEAVY_MOST))
     shingle, count = top["s"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingle)
     return shingle[order], count[order]
