@@ -31,14 +31,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carelattice.llm.frames import pieces as blocks_of
+from carelattice.llm.frames import bound_batches, fetched, pieces as blocks_of
 from carelattice.llm.words import SEGMENT, hash_spans, ramp, words
 
 IDS = 1 << 16
 HEAD = 1 << 20           # words whose pieces are folded once
 HEAD_BYTES = 48          # and the longest of these pieces
-COUNTED = 8 << 20        # a word is counted in blocks of so many bytes that hold it twice
-BLOCK_BYTES = 6 << 20
+BARE = 64                # words are folded without a blank before them, too, from so many occurrences on
+COUNTED = 64 << 20       # a word is counted in runs of so many bytes that hold it twice
+BLOCK_BYTES = 6 << 20    # a batch (``frames.BATCH``), unless its last text is very long
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -126,12 +127,13 @@ class Table(NamedTuple):
     start: np.ndarray    # of each piece's ids, one more than there are pieces
     ids: np.ndarray
 
-    def find(self, hashed: np.ndarray) -> np.ndarray:
-        """Place of each piece, or -1."""
-        if not len(self.hash):
-            return np.full(len(hashed), -1)
-        at = np.minimum(np.searchsorted(self.hash, hashed), len(self.hash) - 1)
-        return np.where(self.hash[at] == hashed, at, -1)
+
+def found_in(known: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Place of each hash among the sorted ``known`` ones, or -1."""
+    if not len(known):
+        return np.full(len(hashed), -1)
+    at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+    return np.where(known[at] == hashed, at, -1)
 
 
 def piece_arrays(pieces_: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,23 +176,36 @@ def frequent(texts: DataFrame, shared, pattern: str, head: int) -> Table:
     """The table of pieces of the most frequent words. What it holds only decides how often Spark folds."""
 
     def count(batches):
-        for batch in blocks_of(batches, 0, COUNTED):
+        held, bytes_ = [], 0  # of each block its distinct words only
+
+        def report():
+            value, n, size, data = (np.concatenate(part) for part in zip(*held))
+            _, first, inverse = np.unique(value, return_index=True, return_inverse=True)
+            total = np.bincount(inverse, n, len(first)).astype(np.int64)
+            at, total = first[total > 1], total[total > 1]
+            offsets = np.concatenate([[0], np.cumsum(size[at])]).astype(np.int32)
+            word = pa.Array.from_buffers(pa.binary(), len(at), [
+                None, pa.py_buffer(offsets), pa.py_buffer(gathered(data, (np.cumsum(size) - size)[at], size[at]))])
+            return pa.RecordBatch.from_arrays([word, pa.array(total)], names=["word", "n"])
+
+        for batch in blocks_of(batches, 0):
             found = words(batch.column(0))
             value, first, n = np.unique(found.hash, return_index=True, return_counts=True)
-            often = np.flatnonzero(n > 1)
-            at = first[often]
-            size = found.end[at] - found.start[at]
+            size = (found.end - found.start)[first]
             short = size <= HEAD_BYTES
-            at, size = at[short], size[short]
-            data = gathered(found.data, found.start[at], size)
-            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            word = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([word, pa.array(n[often][short])], names=["word", "n"])
+            held.append((value[short], n[short], size[short], gathered(found.data, found.start[first[short]], size[short])))
+            bytes_ += len(found.data)
+            if bytes_ >= COUNTED:
+                yield report()
+                held, bytes_ = [], 0
+        if held:
+            yield report()
 
     def cut(batches):
         find = _pattern(pattern).findall
         for batch in batches:
-            made = {p.encode() for w in batch.column(0).to_pylist() for t in [w.decode()] for p in (*find(t), *find(" " + t))}
+            made = {p.encode() for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t in [w.decode()]
+                    for p in (*find(" " + t), *(find(t) if n >= BARE else ()))}
             made = sorted(p for p in made if p not in shared.value[0] and len(p) <= HEAD_BYTES)
             data, offsets, hashed = piece_arrays(made)
             yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), byte_lists(data, offsets)], names=["hash", "piece"])
@@ -201,20 +216,20 @@ def frequent(texts: DataFrame, shared, pattern: str, head: int) -> Table:
                 [as_row(batch.column(0)), as_row(batch.column(1)), *fixed_rows(*shared.value)], names=["hashes", "pieces", "byte_ids", "place", "table"])
 
     counted = texts.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(head).select("word").repartition(64)
+    top = counted.orderBy(F.desc("n"), "word").limit(head).select("word", "n").repartition(64)
     made = top.mapInArrow(cut, "hash bigint, piece array<smallint>").dropDuplicates(["hash"])
     folded = made.mapInArrow(block, "hashes array<bigint>, pieces array<array<smallint>>, " + MAP).select("hashes", fold().alias("ids"))
-    got = folded.select(F.inline(F.arrays_zip("hashes", "ids"))).toArrow().combine_chunks()
+    got = fetched(folded.select(F.inline(F.arrays_zip("hashes", "ids")))).combine_chunks()
     if not len(got):
-        return Table(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint16))
+        return Table(np.zeros(0, np.uint64), np.zeros(1, np.int32), np.zeros(0, np.uint16))
     ids, offsets = _flat(got["ids"].chunk(0))
     hashed = got["hashes"].to_numpy().view(np.uint64)
     order = np.argsort(hashed)
     size = np.diff(offsets)[order]
-    return Table(hashed[order], np.concatenate([[0], np.cumsum(size)]), gathered(ids, offsets[:-1][order], size).astype(np.uint16))
+    return Table(hashed[order], np.concatenate([[0], np.cumsum(size)]).astype(np.int32), gathered(ids, offsets[:-1][order], size).astype(np.uint16))
 
 
-def split_batches(batches, ranks: dict[bytes, int], tables, head: Table, pattern: str):
+def split_batches(batches, ranks: dict[bytes, int], tables, hashes: np.ndarray, pattern: str):
     """A row a block: distinct pieces that are no token, and for each text where its pieces are listed.
 
     A place below ``IDS`` is a token; from there on it numbers the listed pieces. ``heads`` has the
@@ -235,7 +250,7 @@ def split_batches(batches, ranks: dict[bytes, int], tables, head: Table, pattern
                 known[piece] = token
             places.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
             counts.append(len(found))
-        heads = head.find(piece_arrays(listed)[2])
+        heads = found_in(hashes, piece_arrays(listed)[2])
         data, offsets, _ = piece_arrays([listed[i] for i in np.flatnonzero(heads < 0)])
         yield pa.RecordBatch.from_arrays([
             as_row(batch.column(0).cast(pa.int64())), as_row(pa.array(np.array(counts, np.int32))),
@@ -270,31 +285,30 @@ def decoded(ids: np.ndarray, tokens) -> bytes:
     return gathered(data, start[ids], size[ids]).tobytes()
 
 
-def assemble(batches, ranks: dict[bytes, int], head: Table, with_values: bool):
-    """A row a text again: its ids, what they decode to, and digests of both."""
-    tokens = token_bytes(ranks)
+def assemble(batches, tokens, table: tuple[np.ndarray, np.ndarray], with_values: bool):
+    """A row a text again: its ids, what they decode to, and digests of both. ``table``: start and ids of the head's pieces."""
+    head_start, head_ids = table
+    known = np.concatenate([np.arange(IDS, dtype=np.uint16), head_ids])
     for batch in batches:
         for k in range(len(batch)):
             row = batch.slice(k, 1)
             doc_ids, counts, places, heads = (row.column(j).flatten() for j in range(4))
             counts, places, heads = counts.to_numpy(), places.to_numpy(), heads.to_numpy()
             folded, offsets = _flat(row.column(4).flatten())
-            values = np.concatenate([np.arange(IDS), head.ids, folded]).astype("<u4")
+            values = np.concatenate([known, folded.astype(np.uint16)])
             in_head, turn = heads >= 0, np.cumsum(heads < 0) - 1
             begin, length = np.zeros(IDS + len(heads), np.int64), np.ones(IDS + len(heads), np.int64)
             begin[:IDS] = np.arange(IDS)
-            begin[IDS:][in_head] = IDS + head.start[heads[in_head]]
-            length[IDS:][in_head] = head.start[heads[in_head] + 1] - head.start[heads[in_head]]
-            begin[IDS:][~in_head] = IDS + len(head.ids) + offsets[turn[~in_head]]
+            begin[IDS:][in_head] = IDS + head_start[heads[in_head]]
+            length[IDS:][in_head] = head_start[heads[in_head] + 1] - head_start[heads[in_head]]
+            begin[IDS:][~in_head] = IDS + len(head_ids) + offsets[turn[~in_head]]
             length[IDS:][~in_head] = np.diff(offsets)[turn[~in_head]]
-            size = length[places]
-            ids = gathered(values, begin[places], size)
-            ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+            ends = np.concatenate([[0], np.cumsum(counts)])
             out = {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")}
             for a, z in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                mine = ids[a:z]
+                mine = gathered(values, begin[places[a:z]], length[places[a:z]]).astype("<u4")
                 text = decoded(mine, tokens)
-                out["n_tokens"].append(z - a)
+                out["n_tokens"].append(len(mine))
                 out["ids_sha256"].append(hashlib.sha256(mine.tobytes()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
                 if with_values:
@@ -314,12 +328,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     ranks = read_ranks(os.fspath(path))
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((ranks, pair_table(ranks)))
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = context.broadcast(frequent(texts, shared, pattern, head))
-    blocks = texts.mapInArrow(lambda batches: split_batches(batches, *shared.value, table.value, pattern), BLOCK)
+    texts = bound_batches(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    table = frequent(texts, shared, pattern, head)
+    hashes, rest = context.broadcast(table.hash), context.broadcast((token_bytes(ranks), table[1:]))  # a worker holds what it needs
+    blocks = texts.mapInArrow(lambda batches: split_batches(batches, *shared.value, hashes.value, pattern), BLOCK)
     folded = blocks.select("doc_ids", "counts", "places", "heads", fold().alias("folded"))
     fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_values else "")
-    return folded.mapInArrow(lambda batches: assemble(batches, shared.value[0], table.value, with_values), fields)
+    return folded.mapInArrow(lambda batches: assemble(batches, *rest.value, with_values), fields)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
