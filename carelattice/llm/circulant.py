@@ -175,11 +175,11 @@ def members(docs: DataFrame, n: int = N, bands: int = BANDS, rows: int = ROWS) -
     sets = stored(signed(docs, n, bands, rows), "signed")
     buckets = shared_bands(sets)
     full = stored(full_sets(docs, sets, buckets.select("class").distinct(), n), "sets")
-    mixed, links, tested, roots, new = buckets.withColumn("root", F.col("class")), [], [], None, True
+    mixed, flat, links, tested, roots, new = buckets.withColumn("root", F.col("class")), None, [], [], None, True
     for turn in range(ROUNDS + 1):
         last = not new or turn == ROUNDS
         if turn:
-            first, mixed, full = still_open(mixed_rows(mixed, roots), full)
+            first, mixed, full, flat = still_open(mixed_rows(mixed, roots), full, flat)
             if not first.limit(1).count():
                 break
             last = last or not mixed.limit(1).count()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from carelattice.llm.bloom import bitmap, marked
 from carelattice.llm.components import components
-from carelattice.llm.frames import bound_batches, fetched, identified, pieces, stored
+from carelattice.llm.frames import bound_batches, fetched, identified, lean, pieces, stored
 from carelattice.llm.rounds import PERCENT, by_size, crossing_pairs, mixed_rows, open_by_prefix, star_pairs, still_open
 from carelattice.llm.words import grams, mix, words
 
@@ -108,6 +108,19 @@ def _chosen(hashed, border, pick):
     return hashed[kept], owner[kept]
 
 
+def repeated(held: list[np.ndarray], times: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that ``held`` has so many times or more, and their counts; empties ``held``. Values that it has once, most of
+    them, are sorted in place and not copied again."""
+    value = np.concatenate(held) if held else np.zeros(0, np.uint64)
+    held.clear()
+    value.sort()
+    if times > 1 and len(value):
+        equal = np.concatenate([[False], value[1:] == value[:-1], [False]])
+        value = value[equal[1:] | equal[:-1]]
+    value, count = np.unique(value, return_counts=True)
+    return value[count >= times], count[count >= times]
+
+
 def heavy_shingles(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of many classes, sorted, and their counts (at most ``HEAVY_MOST``)."""
 
@@ -115,9 +128,8 @@ def heavy_shingles(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]
         seen, held, size = Seen(), [], 0
 
         def report():
-            shingle, count = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            often = count >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(shingle[often].view(np.int64)), pa.array(count[often])], names=["s", "n"])
+            shingle, count = repeated(held, LOCAL)
+            return pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(count)], names=["s", "n"])
 
         for batch in pieces(batches, 0):
             hashed, border = shingle_sets(batch.column(0), n)
@@ -125,10 +137,10 @@ def heavy_shingles(docs: DataFrame, n: int = N) -> tuple[np.ndarray, np.ndarray]
             size += len(held[-1])
             if size >= CHUNK_SHINGLES:
                 yield report()
-                held, size = [], 0
+                size = 0
         yield report()
 
-    counts = docs.select("text").mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(lean(run), "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
     top = fetched(counts.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "s").limit(HEAVY_MOST))
     shingle, count = top["s"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingle)
@@ -165,7 +177,7 @@ def with_prefixes(docs: DataFrame, heavy, n: int = N) -> DataFrame:
                 names=["doc_id", "row_key", "n", "class", "prefix"])
 
     return docs.select("doc_id", "text", "row_key").mapInArrow(
-        run, "doc_id bigint, row_key bigint, n bigint, class bigint, prefix array<bigint>")
+        lean(run), "doc_id bigint, row_key bigint, n bigint, class bigint, prefix array<bigint>")
 
 
 def shared_prefix_rows(sets: DataFrame) -> DataFrame:
@@ -188,8 +200,8 @@ def shared_prefix_rows(sets: DataFrame) -> DataFrame:
                  pa.array((np.arange(len(owner)) - offsets[owner])[kept].astype(np.int64))],
                 names=["shingle", "class", "n", "pos"])
 
-    rows = once.select("class", "n", "prefix").mapInArrow(run, "shingle bigint, class bigint, n bigint, pos bigint")
-    rows = stored(rows, "prefix-rows").distinct()
+    rows = once.select("class", "n", "prefix").mapInArrow(lean(run), "shingle bigint, class bigint, n bigint, pos bigint")
+    rows = stored(rows, "prefix-rows", bits).distinct()
     again = rows.groupBy("shingle").agg(F.count("*").alias("bucket")).where("bucket > 1")
     rows = rows.join(again, "shingle")
     central = rows.groupBy("class").agg(F.count("*").alias("shared"))  # relative to the prefix's length
@@ -251,7 +263,7 @@ def rows_marked(batches, bits: np.ndarray, key: int):
 
 
 def segments(docs: DataFrame, sets: DataFrame, wanted: DataFrame, heavy, n: int = N) -> DataFrame:
-    """(class, fragment, shingles) of the ``wanted`` classes of ``sets``: the order cut into fragments, the last
+    """(class, fragment, shingles) of the ``wanted`` classes of ``sets``, stored: the order cut into fragments, the last
     one for shingles of many classes."""
     bits = docs.sparkSession.sparkContext.broadcast((bitmap(wanted, "class"), heavy, bitmap(one_row_each(sets, wanted), "row_key")))
 
@@ -273,8 +285,8 @@ def segments(docs: DataFrame, sets: DataFrame, wanted: DataFrame, heavy, n: int
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(kept[order].view(np.int64)))],
                 names=["class", "fragment", "shingles"])
 
-    made = docs.select("text", "row_key").mapInArrow(run, "class bigint, fragment int, shingles array<bigint>")
-    return made.join(wanted, "class", "left_semi").dropDuplicates(["class", "fragment"])
+    made = docs.select("text", "row_key").mapInArrow(lean(run), "class bigint, fragment int, shingles array<bigint>")
+    return stored(made.join(wanted, "class", "left_semi").dropDuplicates(["class", "fragment"]), "segments", bits)
 
 
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -290,22 +302,22 @@ def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 def roots_of(docs: DataFrame, sets: DataFrame, rows: DataFrame, heavy, n: int = N) -> DataFrame:
     """(node, root) of all linked classes, round by round until no pair is left that could link two components."""
     first = stored(hopeful(central_pairs(rows), rows), "pairs")
-    links = [stored(verified(first, stored(segments(docs, sets, both_ends(first), heavy, n), "segments")), "links")]
+    links = [stored(verified(first, segments(docs, sets, both_ends(first), heavy, n)), "links")]
     tested, roots = [first.select("a", "b")], stored(components(links[0]), "roots")
     flat = rows.select(F.col("shingle").alias("bucket"), "class", "n", "pos", F.col("class").alias("root"))
     mixed = stored(mixed_rows(flat, roots), "mixed")
     light, crowd = by_size(open_by_prefix(mixed), LIGHT)
     second = crossing_pairs(light).join(first, ["a", "b"], "left_anti")
     second = stored(hopeful(second, rows), "pairs")
-    links.append(stored(verified(second, stored(segments(docs, sets, both_ends(second), heavy, n), "segments")), "links"))
+    links.append(stored(verified(second, segments(docs, sets, both_ends(second), heavy, n)), "links"))
     tested.append(second.select("a", "b"))
     roots = stored(components(reduce(DataFrame.unionByName, links)), "roots")
     mixed = stored(mixed_rows(mixed.drop("pos").join(crowd, "class", "left_semi"), roots), "mixed")
-    full, turn, new = None, 1, True
+    full, flat, turn, new = None, None, 1, True
     while mixed.limit(1).count():
         if full is None:
-            full = stored(segments(docs, sets, mixed.select("class").distinct(), heavy, n), "segments")
-        prefixes, mixed, full = still_open(mixed, full)
+            full = segments(docs, sets, mixed.select("class").distinct(), heavy, n)
+        prefixes, mixed, full, flat = still_open(mixed, full, flat)
         if not prefixes.limit(1).count():
             break
         last = not new or turn == ROUNDS or not mixed.limit(1).count()

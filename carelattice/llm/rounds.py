@@ -42,14 +42,25 @@ def size_step(n: F.Column) -> F.Column:
     return F.floor(F.log(n.cast("double")) / F.lit(math.log(STEP))).cast("int")
 
 
-def by_partner(rows: DataFrame) -> DataFrame:
-    """Each row once for each step of sizes (``other``) that a partner may have, with the overlap a link needs at least."""
-    sizes = F.sequence(size_step(F.ceil(F.col("n") * PERCENT / 100)), size_step(F.floor(F.col("n") * 100 / PERCENT)))
+def by_partner(rows: DataFrame, there: str | None = None) -> DataFrame:
+    """Each row once for each step of sizes (``other``) that a partner may have, with the overlap a link needs at least.
+    ``there``: a column of the steps that partners do have (step, lo, hi: their least and greatest root); others are left out."""
+    first, last = size_step(F.ceil(F.col("n") * PERCENT / 100)), size_step(F.floor(F.col("n") * 100 / PERCENT))
+    sizes = F.sequence(first, last)
+    if there:
+        sizes = F.transform(F.filter(there, lambda t: t["step"].between(first, last) & (
+            (t["lo"] != F.col("root")) | (t["hi"] != F.col("root")))), lambda t: t["step"])
     least = F.greatest(F.floor(F.exp(F.col("other") * F.lit(math.log(STEP))) * (1 - 1e-9)), F.ceil(F.col("n") * PERCENT / 100))
     need = F.floor(((F.col("n") + least) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
     return rows.withColumn("step", size_step(F.col("n"))).withColumn("other", F.explode(sizes)).withColumn("need", need)
 
 
+def steps_there(rows: DataFrame) -> DataFrame:
+    """For each bucket the steps of size of its rows (``there``, a few hundred at most) with their least and greatest root."""
+    ends = rows.groupBy("bucket", size_step(F.col("n")).alias("step")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return ends.groupBy("bucket").agg(F.collect_list(F.struct("step", "lo", "hi")).alias("there"))
+
+
 def meeting(met: DataFrame) -> DataFrame:
     """Of the prefix shingles s (class, n, root, step, other, s), those that are in the prefix of a class in another component,
     sizes fitting: (bucket, class, n, root, side). A bucket is a shingle and two steps of size; side -1 and 1 meet each other, 0 itself."""
@@ -64,12 +75,13 @@ def meeting(met: DataFrame) -> DataFrame:
 def open_by_prefix(rows: DataFrame) -> DataFrame:
     """Which of ``rows`` (prefixes in one order: bucket is a shingle, pos its place) may be the first common shingle of a link between
     components, as ``meeting`` gives them; sets aren't read. The first common shingle of a link leaves room for the overlap behind it in both sets.
-    All common shingles up to the end of the prefix that ends first lie in both prefixes, so in buckets of two components."""
+    All common shingles up to the end of the prefix that ends first lie in both prefixes, so in buckets of two components.
+    A row is dealt to the steps of size that other components have in its bucket, not to all that a link allows."""
     own = rows.groupBy("class").agg(F.count("*").alias("met"))
     upper = F.least(F.ceil(F.exp((F.col("other") + 1) * F.lit(math.log(STEP))) * (1 + 1e-9)), F.floor(F.col("n") * 100 / PERCENT))
     behind = F.ceil(F.greatest(F.col("n"), upper) * PERCENT / 100) - 1
     room = (F.col("n") - F.col("pos") >= F.col("need")) & (F.col("met") + behind >= F.col("need"))
-    met = by_partner(rows.join(own, "class")).where(room).select("class", "n", "root", "step", "other", F.col("bucket").alias("s"))
+    met = by_partner(rows.join(own, "class").join(steps_there(rows), "bucket"), "there").where(room).select("class", "n", "root", "step", "other", F.col("bucket").alias("s"))
     return stored(meeting(met), "open")
 
 
@@ -81,21 +93,26 @@ def by_size(prefixes: DataFrame, light: int) -> tuple[DataFrame, DataFrame]:
     return counted.where(F.col("held") <= light).drop("held"), stored(counted.where(F.col("held") > light).select("class").distinct(), "heavy")
 
 
-def still_open(rows: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def still_open(rows: DataFrame, full: DataFrame, flat: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """What can have a link out of its component: prefix shingles (as ``meeting`` gives them), the mixed rows and
-    the sets of their classes (in as many rows as ``full`` has of each, with its columns)."""
-    held = stored(full.join(rows.select("class", "n", "root").distinct(), "class"), "open")
-    flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
+    the sets of their classes (in as many rows as ``full`` has of each, with its columns); and the shingles that two components
+    share (class, bucket), for the next round: components only grow together, so that others needn't be listed again."""
+    classes = rows.select("class", "n", "root").distinct()
+    if flat is None:
+        held = stored(full.join(classes, "class"), "open")
+        flat = held.select("class", "n", "root", F.explode("shingles").alias("bucket"))
+    else:
+        flat = stored(flat.join(classes, "class"), "open")
     spread = flat.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("holders")).where("lo <> hi")
-    own = flat.join(spread.select("bucket", "holders"), "bucket").groupBy("class", "n", "root").agg(
-        F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
+    flat = stored(flat.join(spread.select("bucket", "holders"), "bucket"), "shared")
+    own = flat.groupBy("class", "n", "root").agg(F.sort_array(F.collect_list(F.struct("holders", "bucket"))).alias("l"))  # a set at most
     places = F.size("l") - F.col("need") + 1  # of the prefix, behind the component's own shingles
     met = by_partner(own).withColumn("places", places.cast("int"))
     met = met.where("places > 0").select("class", "n", "root", "step", "other", F.explode(F.slice("l.bucket", 1, F.col("places"))).alias("s"))
     first = stored(meeting(met), "first")
     left = first.select("class").distinct()
     return first, stored(mixed_rows(rows.join(left, "class", "left_semi")), "mixed"), stored(
-        held.select(*full.columns).join(left, "class", "left_semi"), "sets")
+        full.join(left, "class", "left_semi"), "sets"), flat.select("class", "bucket")
 
 
 def star_pairs(rows: DataFrame, turn: int) -> DataFrame:

@@ -3,13 +3,14 @@
 import glob
 import os
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from carelattice.llm import byte_bpe, circulant, frames, jaccard
+from carelattice.llm import byte_bpe, circulant, frames, jaccard, rounds
 from carelattice.llm.bloom import bitmap, marked
 from tests.llm.conftest import SCHEMA
 
@@ -80,3 +81,72 @@ def test_words_are_counted_over_batches(spark):
     shared = spark.sparkContext.broadcast((ranks, byte_bpe.pair_table(ranks)))
     table = byte_bpe.frequent(frames.bound_batches(texts), shared, public_tokenizers.PATTERN, 100)
     assert byte_bpe.piece_arrays([b" zqxvkjw"])[2][0] in table.hash
+
+
+def resident():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
+def test_a_worker_gives_its_memory_back():
+    """Free memory below a block that is still in use."""
+    pins = []
+
+    def many(batches):
+        blocks = [np.ones(12_000) for _ in range(2500)]  # 240 MB in blocks that are too small for pages of their own
+        pins.append(np.ones(12_000))
+        yield sum(map(len, blocks))
+
+    before = resident()
+    assert list(frames.lean(many)([])) == [30_000_000]
+    assert resident() - before < 60e6
+
+
+def test_shingles_of_many_classes_are_counted_without_copies_of_the_others():
+    pick = np.random.default_rng(5)
+    parts = [pick.integers(0, 2**63, 300_000).astype(np.uint64) for _ in range(3)] + [np.array([7, 7, 9, 7], np.uint64)]
+    parts.append(parts[0][:1000])
+    value, count = np.unique(np.concatenate(parts), return_counts=True)
+    for times in (1, 2, 3):
+        got = jaccard.repeated(list(parts), times)
+        assert (got[0] == value[count >= times]).all() and (got[1] == count[count >= times]).all()
+    held, size = list(parts), sum(p.nbytes for p in parts)
+    tracemalloc.start()
+    jaccard.repeated(held, 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.7 * size and not held
+    assert [len(x) for x in jaccard.repeated([], 2)] == [0, 0]
+
+
+def test_rows_go_to_the_steps_of_size_that_are_there(spark, monkeypatch):
+    """Prefix rows are written once for each step of size of another component in their bucket, not for all that fit."""
+    written = {}
+
+    def counted(df, purpose):
+        out = frames.stored(df, purpose)
+        written[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(rounds, "stored", counted)
+    rows = [(s, c, n, 0, root) for s in range(30) for c, n, root in ((1, 100, 1), (2, 100, 2), (3, 118, 3), (4, 400, 4), (5, 400, 4))]
+    frame = spark.createDataFrame(rows, "bucket bigint, class bigint, n bigint, pos bigint, root bigint")
+    found = rounds.open_by_prefix(frame).collect()
+    assert {r["class"] for r in found} == {1, 2, 3} and len(found) == 30 * 5  # 1 and 2 meet each other, both meet 3
+    assert written["first"] == 30 * 5
+
+
+def test_shingles_are_listed_once_over_the_rounds(spark):
+    """The next round reads the shingles that two components shared; the sets stay whole."""
+    texts = {1: [1, 2, 3, 4, 5, 6, 7, 8, 9, 90], 2: [1, 2, 3, 4, 5, 6, 7, 8, 9, 91], 3: [1, 2, 3, 4, 5, 6, 7, 8, 9, 92], 4: [50, 51]}
+    full = spark.createDataFrame([(c, p, [x for x in xs if x % 2 == p]) for c, xs in texts.items() for p in (0, 1)],
+                                 "class bigint, fragment int, shingles array<bigint>")
+    rows = lambda roots: spark.createDataFrame([(1, c, 10, roots[c]) for c in (1, 2, 3)], "bucket bigint, class bigint, n bigint, root bigint")
+    first, mixed, sets, flat = rounds.still_open(rows({1: 1, 2: 2, 3: 1}), full)
+    assert {r["class"] for r in first.collect()} == {r["class"] for r in mixed.collect()} == {1, 2, 3}
+    whole = sorted(map(tuple, full.where("class < 4").collect()))
+    assert sets.columns == full.columns and sorted(map(tuple, sets.collect())) == whole
+    assert sorted(map(tuple, flat.collect())) == [(c, x) for c in (1, 2, 3) for x in range(1, 10)]
+    again = rounds.still_open(rows({1: 1, 2: 2, 3: 1}), sets, flat)
+    assert sorted(map(tuple, again[0].collect())) == sorted(map(tuple, first.collect()))
+    assert again[3].count() == 27 and rounds.still_open(rows({1: 1, 2: 1, 3: 1}), again[2], again[3])[0].count() == 0
