@@ -6,7 +6,8 @@
    are neither tokens nor in the table, as byte arrays. No text is shuffled: a block is one row of
    distinct pieces and of the places where they occur.
 3. Spark folds the merges over each distinct piece: per step the pair of lowest rank (the leftmost of
-   equals) becomes one token, until no pair has a rank. Ranks of pairs come from a literal map that
+   equals) becomes one token, until no pair has a rank. Tokens are numbers that hold rank, place and id, so that a
+   step moves one array. Ranks of pairs come from a literal map that
    travels in the row (as a literal of the expression it would be repeated in every printed
    plan); a lookup is two array accesses.
 4. A second Arrow function puts each text's ids together; decoding concatenates the ids' bytes.
@@ -31,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carelattice.llm.frames import bound_batches, fetched, pieces as blocks_of
+from carelattice.llm.frames import bound_batches, fetched, lean, pieces as blocks_of
 from carelattice.llm.words import SEGMENT, hash_spans, ramp, words
 
 IDS = 1 << 16
@@ -81,38 +82,53 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+PLACE_BITS, TOKEN_BITS = 30, 16
+NONE = IDS << (PLACE_BITS + TOKEN_BITS)   # rank of a token that makes no pair with the next one
+
+
 def rank(a: Column, b: Column, place: Column, table: Column) -> Column:
-    """Rank of a pair of tokens; ``IDS`` or more if they make no token."""
-    return F.get(table, F.get(place, a) + b).bitwiseXOR((a.cast("bigint") + 1) * IDS)
+    """Rank of a pair of tokens; ``IDS`` if they make no token."""
+    return F.least(F.get(table, F.get(place, a) + b).bitwiseXOR((a.cast("bigint") + 1) * IDS), F.lit(IDS).cast("bigint"))
 
 
 def merged(piece: Column, byte_ids: Column, place: Column, table: Column) -> Column:
-    """Token ids of a piece given as an array of bytes."""
-    ids = F.transform(piece, lambda b: F.get(byte_ids, b))
+    """Token ids of a piece given as an array of bytes.
+
+    A token is one number: from the highest bits on the rank of its pair with the next token, the place of its first byte
+    and its id. The least number is the leftmost pair of lowest rank, and a step moves one array."""
+    shift = PLACE_BITS + TOKEN_BITS
+
+    def packed(pair: Column, rest: Column) -> Column:
+        return F.shiftleft(pair, shift).bitwiseOR(rest)
+
+    def token_of(x: Column) -> Column:
+        return x.bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)).cast("int")
 
-    def ranks(x: Column) -> Column:
-        return F.transform(F.slice(x, 1, F.size(x) - 1), lambda a, i: rank(a, F.get(x, i + 1), place, table))
+    def first(ids: Column) -> Column:
+        def one(a: Column, i: Column) -> Column:
+            pair = F.when(i + 1 < F.size(ids), rank(a, F.get(ids, i + 1), place, table)).otherwise(F.lit(IDS).cast("bigint"))
+            return packed(pair, F.shiftleft(i.cast("bigint"), TOKEN_BITS).bitwiseOR(a.cast("bigint")))
 
-    def step(state: Column, _: Column) -> Column:
-        x, r = state["ids"], state["ranks"]
-        none = F.array().cast("array<bigint>")
+        return F.transform(ids, one)
 
-        def apply(m: Column) -> Column:
-            token = m.cast("int")
+    def step(x: Column, _: Column) -> Column:
+        def apply(least: Column) -> Column:
+            token = F.shiftright(least, shift).cast("int")
 
             def at(p: Column) -> Column:  # 0-based place of the pair
-                left = F.when(p > 0, F.array(rank(F.get(x, p - 1), token, place, table))).otherwise(none)
-                right = F.when(p + 2 < F.size(x), F.array(rank(token, F.get(x, p + 2), place, table))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(x, F.lit(1), p), F.array(token), F.slice(x, p + 3, F.size(x))).alias("ids"),
-                    F.concat(F.slice(r, F.lit(1), F.greatest(p - 1, F.lit(0))), left, right, F.slice(r, p + 3, F.size(r) + 1)).alias("ranks"))
+                pair = F.when(p + 2 < F.size(x), rank(token, token_of(F.get(x, p + 2)), place, table)).otherwise(F.lit(IDS).cast("bigint"))
+                start = least.bitwiseAND(F.lit(((1 << PLACE_BITS) - 1) << TOKEN_BITS))
+                made, after = packed(pair, start.bitwiseOR(token.cast("bigint"))), F.slice(x, p + 3, F.size(x))
+                left = F.get(x, p - 1)
+                before = packed(rank(token_of(left), token, place, table), left.bitwiseAND(F.lit((1 << shift) - 1)))
+                return F.when(p > 0, F.concat(F.slice(x, F.lit(1), p - 1), F.array(before, made), after)).otherwise(F.concat(F.array(made), after))
 
-            return F.when(m < IDS, let((F.array_position(r, m) - 1).cast("int"), at)).otherwise(state)
+            return F.when(least < NONE, let((F.array_position(x, least) - 1).cast("int"), at)).otherwise(x)
 
-        return let(F.coalesce(F.array_min(r), F.lit(IDS).cast("bigint")), apply)
+        return let(F.coalesce(F.array_min(x), F.lit(NONE)), apply)
 
-    start = let(ids, lambda x: F.struct(x.alias("ids"), F.when(F.size(x) > 1, ranks(x)).otherwise(F.array().cast("array<bigint>")).alias("ranks")))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(piece) - 1, F.lit(1))), start, step, lambda s: s["ids"])
+    start = let(F.transform(piece, lambda b: F.get(byte_ids, b)), first)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(piece) - 1, F.lit(1))), start, step, lambda x: F.transform(x, token_of))
 
 
 @lru_cache(maxsize=2)
@@ -215,10 +231,10 @@ def frequent(texts: DataFrame, shared, pattern: str, head: int) -> Table:
             yield pa.RecordBatch.from_arrays(
                 [as_row(batch.column(0)), as_row(batch.column(1)), *fixed_rows(*shared.value)], names=["hashes", "pieces", "byte_ids", "place", "table"])
 
-    counted = texts.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInArrow(lean(count), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(head).select("word", "n").repartition(64)
-    made = top.mapInArrow(cut, "hash bigint, piece array<smallint>").dropDuplicates(["hash"])
-    folded = made.mapInArrow(block, "hashes array<bigint>, pieces array<array<smallint>>, " + MAP).select("hashes", fold().alias("ids"))
+    made = top.mapInArrow(lean(cut), "hash bigint, piece array<smallint>").dropDuplicates(["hash"])
+    folded = made.mapInArrow(lean(block), "hashes array<bigint>, pieces array<array<smallint>>, " + MAP).select("hashes", fold().alias("ids"))
     got = fetched(folded.select(F.inline(F.arrays_zip("hashes", "ids")))).combine_chunks()
     if not len(got):
         return Table(np.zeros(0, np.uint64), np.zeros(1, np.int32), np.zeros(0, np.uint16))
@@ -260,6 +276,8 @@ def split_batches(batches, ranks: dict[bytes, int], tables, hashes: np.ndarray,
 
 
 def _flat(array: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(array):  # Spark may hand over no offset at all
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
     offsets = array.offsets.to_numpy()
     return array.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False), offsets - offsets[0]
 
@@ -331,10 +349,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     texts = bound_batches(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     table = frequent(texts, shared, pattern, head)
     hashes, rest = context.broadcast(table.hash), context.broadcast((token_bytes(ranks), table[1:]))  # a worker holds what it needs
-    blocks = texts.mapInArrow(lambda batches: split_batches(batches, *shared.value, hashes.value, pattern), BLOCK)
+    blocks = texts.mapInArrow(lean(lambda batches: split_batches(batches, *shared.value, hashes.value, pattern)), BLOCK)
     folded = blocks.select("doc_ids", "counts", "places", "heads", fold().alias("folded"))
     fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_values else "")
-    return folded.mapInArrow(lambda batches: assemble(batches, *rest.value, with_values), fields)
+    return folded.mapInArrow(lean(lambda batches: assemble(batches, *rest.value, with_values)), fields)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

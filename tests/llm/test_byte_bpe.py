@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from carelattice.llm import byte_bpe
 
@@ -54,3 +55,19 @@ def test_empty_table_and_clashing_names(empty, clashing):
     assert byte_bpe.encode(empty, PATH, public_tokenizers.PATTERN).count() == 0
     row = byte_bpe.encode(clashing, PATH, public_tokenizers.PATTERN).first()
     assert row.n_tokens == len(reference(PATH, "a clashing row of some nine plain words here"))
+
+
+def test_a_step_of_the_fold_moves_one_array(spark):
+    """Ids and ranks lie in one array of numbers; of pairs of the same rank the leftmost is merged, however they are split."""
+    ranks = byte_bpe.read_ranks(PATH)
+    columns = [F.array().cast(t) for t in ("array<smallint>", "array<int>", "array<int>", "array<bigint>")]
+    assert str(byte_bpe.merged(*columns)).count("slice(") <= 3
+    rows = [(i, t) for i, t in enumerate(["a" * n for n in range(12)] + ["abab" * 9 + "aab", "ababa" * 7, "é" * 30, "x" * 700])]
+    got = byte_bpe.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), PATH, public_tokenizers.PATTERN, with_values=True, head=1).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: reference(PATH, t) for i, t in rows}
+    tiny = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aaa": 257, b"ba": 258, b"aba": 259, b"ab": 260}
+    place, table = byte_bpe.pair_table(tiny)
+    coder = tiktoken.Encoding("tiny", pat_str=r"\S+", mergeable_ranks=tiny, special_tokens={})
+    for text in ("aaaaaaa", "abababa", "baabaab", "bababaabab"):
+        frame = spark.createDataFrame([(list(text.encode()), list(range(256)), place.tolist(), table.tolist())], "piece array<smallint>, " + byte_bpe.MAP)
+        assert frame.select(byte_bpe.merged(*map(F.col, ("piece", "byte_ids", "place", "table"))).alias("x")).first().x == coder.encode_ordinary(text)
