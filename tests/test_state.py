@@ -93,3 +93,15 @@ def test_jobs_need_no_setting_of_the_session(spark, tmp_path):
     got = state.current_boards(spark.read.parquet(f"{tmp_path}/boards"), ["device_id"]).collect()
     assert {(r.device_id, r.place, r.n) for r in got} == {("a", 1, 2), ("a", 2, 1), ("b", 1, 3)}
     assert [(r.device_id, r.silent_since, r.due_at) for r in spark.read.parquet(f"{tmp_path}/silent").collect()] == [("a", at(60), at(150))]
+
+
+def test_silences_call_no_function_per_key(spark, tmp_path):
+    """Sessions in the state store; a reading on the last instant is in time, repeats and rows behind the watermark are dropped."""
+    rows = [[("a", "x", at(0), 1), ("a", "x", at(30), 2), ("a", "x", at(30), 3), (None, "x", at(5), 4), ("b", None, at(0), 5)],
+            [("c", "x", at(100), 6), ("a", None, None, 7)], [("d", "x", at(300), 8), ("b", None, at(99), 9)], [("b", None, at(20), 10), ("e", "x", at(310), 11)]]
+    found = state.silences(stream_of(spark, tmp_path, *rows), ["device_id", "kind"], "ts", F.lit(30), "10 seconds")
+    assert "TransformWithState" not in found._jdf.queryExecution().analyzed().toString()
+    run(found, tmp_path, "append", state.board_writer(f"{tmp_path}/out"))
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    want = {("a", at(30), at(60)), (None, at(5), at(35)), ("b", at(0), at(30)), ("b", at(99), at(129)), ("c", at(100), at(130))}
+    assert {(r.device_id, r.silent_since, r.due_at) for r in got} == want and len(got) == len(want)
