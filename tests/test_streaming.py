@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelattice.ml import readmission as r
 from carelattice.ml.features import FEATURES
+from carelattice.session import METHODS
 from carelattice.sources.tables import MESSAGE_SCHEMA, read_events
 from carelattice.streaming import silver, validate, windows
 
@@ -183,3 +184,23 @@ def test_late_rows_are_counted(spark, late):
     rows.observe(seen, F.sum((delay > 3600).cast("long")).alias("late")).collect()
     assert seen.get["late"] == late
     assert windows.observe_late(rows, "ts", "arrived", 3600).count() == 1
+
+
+def test_a_message_is_read_in_one_pass(spark):
+    """No look into the document a field, no interpreted lists for the valid, no method too long to be compiled."""
+    parsed = validate.parse(batch(spark, *[(t, v) for t, v, _ in CASES]))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_variant_get(_json" in plan and "$.source" not in plan
+    assert plan.count("from_json") + plan.count("jsontostructs") == 1 and parsed.sparkSession.conf.get(METHODS) == "8000"
+
+
+def test_texts_are_those_of_the_document(spark):
+    texts = {'"\\u00e4\\n \\"q\\""': "ä\n \"q\"", '" padded "': "padded", '""': "", '"72"': "72", '"\\ud83d\\ude00"': "\U0001f600", "72": None, "null": None, '["a"]': None}
+    sent = [(VITAL, f'{{"event_id":{x},"zz":1,"source":"ehr","b":2,"patient_id":"1"}}') for x in texts]
+    counts = {"-0": 0, "7.2e1": 72, "3.0": 3, '"2"': 2, "null": None}
+    sent += [(VITAL, f'{{"schema_version":{x},"source":"ehr","patient_id":"1"}}') for x in counts]
+    rows = validate.parse(batch(spark, *sent)).orderBy("offset").collect()
+    assert [r._v_event_id for r in rows[:len(texts)]] == list(texts.values())
+    assert [r.error_message.split("; ")[-2:] for r in rows[:len(texts)]] == [["zz: extra field", "b: extra field"]] * len(texts)
+    assert [r._v_schema_version for r in rows[len(texts):]] == list(counts.values())
+    assert [r.error_message for r in rows[len(texts):]] == [None, None, None, None, None]
