@@ -61,3 +61,30 @@ def test_parts_grow_with_rows(spark):
         assert entry._pinned(lambda spark, sf: spark.conf.get(name, None))(spark, "") is None
     finally:
         spark.conf.unset(name)
+
+
+def test_snapshots_and_messages_are_built_once_on_all_cores(spark, tmp_path, monkeypatch):
+    from suite import topics
+
+    day = F.lit("2000-01-01").cast("timestamp")
+    spark.range(50).select(F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"), day.alias("o_orderdate")).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(9).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    features = topics.view(spark, str(tmp_path), "patients").select(topics.c.surrogate_id(F.col("patient_id")).alias("person_id"))
+    monkeypatch.setattr(topics.ft, "trained", lambda *_: (None, None))
+    monkeypatch.setattr(topics.ft, "current_features", lambda *_: features)
+    monkeypatch.setattr(topics.silver, "scoring_job", lambda *_: None)
+    read, sent = [], []
+    monkeypatch.setattr(topics.silver, "publish_features", lambda df, *_: read.append((df.count(), df.inputFiles())))
+
+    def batches(spark, df, ts, purpose, start):
+        sent.append(df.rdd.getNumPartitions())
+        start(None, str(tmp_path)), start(None, str(tmp_path))
+        raise InterruptedError
+
+    monkeypatch.setattr(topics, "in_two_batches", batches)
+    try:
+        topics.scoring_versions_stream(spark, str(tmp_path))
+    except InterruptedError:
+        pass
+    assert [n for n, _ in read] == [5, 9] and all("current-features" in f for f in read[1][1])
+    assert sent[0] >= spark.sparkContext.defaultParallelism
